@@ -1,0 +1,5 @@
+"""Nothing streams here: every operator is a batch query over invoices.
+
+A filter change means running the batch query again with other parameters, so
+there is no watermark, window state or late data to handle.
+"""
