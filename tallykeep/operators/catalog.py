@@ -35,9 +35,9 @@ def catalogs_exist(spark: SparkSession) -> bool:
     return all(spark.catalog.tableExists(view) for view in CATALOG_VIEWS.values())
 
 
-def sold_tracks(scope: Scope, date_range: DateRange | None = None) -> DataFrame:
-    """TrackId of every track sold, each once."""
-    invoices = in_months(scope.invoices().select("InvoiceId", "dt"), date_range)
+def _sold_tracks(scope: Scope, date_range: DateRange | None) -> DataFrame:
+    """TrackId of every known track sold, each once; unknown ones may be among them."""
+    invoices = in_months(scope.invoices_for_lines().select("InvoiceId", "dt"), date_range)
     lines = scope.model.lines.select("InvoiceId", "TrackId")
     return lines.join(invoices, "InvoiceId").select("TrackId").distinct()
 
@@ -49,7 +49,7 @@ def catalog_sales(scope: Scope, group: str, date_range: DateRange | None = None)
     pass over the dimension counts the tracks sold and the catalog together.
     """
     name = group_column(group)
-    sold = sold_tracks(scope, date_range).withColumn("sold", F.lit(True))
+    sold = _sold_tracks(scope, date_range).withColumn("sold", F.lit(True))
     return (
         scope.model.tracks.filter(F.col(name).isNotNull())
         .join(sold, "TrackId", "left")

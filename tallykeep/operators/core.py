@@ -10,9 +10,6 @@ from tallykeep.functions.measures import money, ratio, total_cents
 from tallykeep.operators.filters import in_months
 from tallykeep.operators.scope import Scope
 
-DIVERSITY = ("num_genre", "num_artist", "num_billingcountry")
-
-
 def sold_invoices(scope: Scope, date_range: DateRange | None = None, country: bool = False) -> DataFrame:
     """Invoices with lines in the whole months of the range, with their totals."""
     rows = scope.invoices(country=country, totals=True).filter(F.col("num_lines").isNotNull())
@@ -86,8 +83,8 @@ def customer_kpis(scope: Scope, date_range: DateRange | None = None) -> DataFram
 def subset_metadata(scope: Scope, date_range: DateRange | None = None) -> DataFrame:
     """num_genre, num_artist, num_billingcountry among the lines sold.
 
-    The facts collapse to distinct (genre, artist, country) combinations first; the
-    three distinct counts then run over that small frame.
+    The facts collapse to distinct (genre, artist, country) combinations first; names
+    are counted on that small frame.
     """
     invoices = in_months(scope.invoices_for_lines(country=True), date_range)
     usable = scope.model.described_lines().filter(
@@ -96,10 +93,19 @@ def subset_metadata(scope: Scope, date_range: DateRange | None = None) -> DataFr
     combinations = (
         usable.join(invoices, "InvoiceId").select("genre", "artist", "country").distinct()
     )
-    return combinations.agg(
-        F.count_distinct("genre").alias("num_genre"),
-        F.count_distinct("artist").alias("num_artist"),
-        F.count_distinct("country").alias("num_billingcountry"),
+    names = combinations.select(F.explode(names_of("genre", "artist", "country")).alias("name"))
+    known = names.filter(F.col("name.value").isNotNull()).distinct()
+    return known.agg(
+        F.count_if(F.col("name.kind") == "genre").alias("num_genre"),
+        F.count_if(F.col("name.kind") == "artist").alias("num_artist"),
+        F.count_if(F.col("name.kind") == "country").alias("num_billingcountry"),
+    )
+
+
+def names_of(*columns: str) -> Column:
+    """Array of (kind, value), one entry per column."""
+    return F.array(
+        *[F.struct(F.lit(name).alias("kind"), F.col(name).alias("value")) for name in columns]
     )
 
 

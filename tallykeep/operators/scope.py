@@ -50,7 +50,7 @@ class Scope:
         return found.select(*wanted)
 
     def invoices_for_lines(self, country: bool = False) -> DataFrame:
-        """Invoices for a join with lines of known genre or artist.
+        """Invoices for a result made of lines of known genre or artist only.
 
         Where such a line is itself proof that the invoice belongs to the working
         set, the pass over the lines that looks for one is left out.

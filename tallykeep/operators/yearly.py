@@ -58,9 +58,10 @@ def _customer_side(scope: Scope, name: str, date_range: DateRange) -> DataFrame:
 def _track_side(scope: Scope, name: str, date_range: DateRange) -> DataFrame:
     """Per year and group: distinct tracks sold, and those sold for the first time.
 
-    Lines shrink to one row per (track, year) before they meet the dimension.
+    Lines shrink to one row per (track, year) before they meet the dimension, where
+    those of unknown tracks drop out.
     """
-    invoices = in_days(scope.invoices(), date_range).select(
+    invoices = in_days(scope.invoices_for_lines(), date_range).select(
         "InvoiceId", F.year("dt").alias("year")
     )
     sold = (
@@ -120,10 +121,15 @@ def top_group_bars(yearly: DataFrame, group: str, metric: str = "revenue", max_n
     year) travel together, so ranking needs no second pass over the input.
     """
     name = group_column(group)
+    if dict(yearly.dtypes)[metric] == "double":
+        # money: summed in whole cents, so the total does not depend on the order of rows
+        total = F.sum(F.col(metric).cast("decimal(28,2)")).cast("double")
+    else:
+        total = F.sum(metric)
     by_group = (
         yearly.groupBy(name)
         .agg(
-            F.coalesce(F.sum(metric), F.lit(0)).alias("total_metric"),
+            F.coalesce(total, F.lit(0)).alias("total_metric"),
             F.min("year").alias("first_year"),
             F.collect_list(F.struct(*yearly.columns)).alias("rows"),
         )
