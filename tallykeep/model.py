@@ -18,6 +18,7 @@ class SalesModel:
     ``tracks``    TrackId, genre, artist; one row per track, NULL where unknown
     ``genres``    genre; every genre name, sold or not
     ``artists``   artist; every artist name, sold or not
+    ``countries`` country; every country an invoice was billed to
 
     ``headers`` exists next to ``billed`` because the country may cost a join that
     most operators have no use for. Money is kept in whole cents: BIGINT sums are
@@ -37,6 +38,7 @@ class SalesModel:
     tracks: DataFrame
     genres: DataFrame
     artists: DataFrame
+    countries: DataFrame
     paired_dimensions: bool = False
     described: DataFrame | None = None
 

@@ -22,8 +22,7 @@ def filter_choices(model: SalesModel) -> DataFrame:
 
     Genres and artists come from the dimension, sold or not; countries from invoices.
     """
-    country = model.invoices(country=True).select("country").distinct()
-    lists = {"genre": model.genres, "artist": model.artists, "country": country}
+    lists = {"genre": model.genres, "artist": model.artists, "country": model.countries}
     frames = [
         frame.select(F.lit(kind).alias("kind"), F.col(kind).alias("value"))
         for kind, frame in lists.items()

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallykeep.functions.countries import SCHEMA, with_flag, with_iso3
+from tallykeep.model import SalesModel
 from tallykeep.operators import behaviour, catalog, cohorts, core, geo, groups, timeseries, topn, yearly
 from tallykeep.operators.filters import SalesFilter
 from tallykeep.operators.groups import ARTIST, COUNTRY, GENRE
@@ -44,12 +45,24 @@ def _query(function: Query) -> Query:
     return function
 
 
+_MODELS: dict[tuple[int, str], SalesModel] = {}
+
+
+def _model(spark: SparkSession, folder: str) -> SalesModel:
+    """The model of a folder, defined once per session. It holds plans, no data."""
+    key = (id(spark), folder)
+    known = _MODELS.get(key)
+    if known is None or known.spark is not spark:
+        known = _MODELS[key] = read_star(spark, folder)
+    return known
+
+
 def _everything(spark: SparkSession, folder: str) -> Scope:
-    return all_invoices(read_star(spark, folder))
+    return all_invoices(_model(spark, folder))
 
 
 def _set(spark: SparkSession, folder: str, flt: SalesFilter | None = None) -> Scope:
-    return working_set(read_star(spark, folder), flt)
+    return working_set(_model(spark, folder), flt)
 
 
 def _nation_codes(spark: SparkSession) -> DataFrame:
@@ -177,12 +190,12 @@ def group_kpis_country(spark, folder):
 
 @_query
 def catalog_genre(spark, folder):
-    return catalog.catalog(read_star(spark, folder), GENRE)
+    return catalog.catalog(_model(spark, folder), GENRE)
 
 
 @_query
 def catalog_artist(spark, folder):
-    return catalog.catalog(read_star(spark, folder), ARTIST)
+    return catalog.catalog(_model(spark, folder), ARTIST)
 
 
 @_query
@@ -425,17 +438,17 @@ def shared_kpis_topn_artist(spark, folder):
 
 @_query
 def filter_meta(spark, folder):
-    return metadata.filter_meta(read_star(spark, folder))
+    return metadata.filter_meta(_model(spark, folder))
 
 
 @_query
 def dataset_overview(spark, folder):
-    return metadata.dataset_overview(read_star(spark, folder))
+    return metadata.dataset_overview(_model(spark, folder))
 
 
 @_query
 def insights_comparison(spark, folder):
-    model = read_star(spark, folder)
+    model = _model(spark, folder)
     chosen = working_set(model, BY_GENRE).stage()
     return insights.compare(all_invoices(model), chosen, YEAR)
 

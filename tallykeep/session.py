@@ -46,6 +46,9 @@ def stored_bytes(spark: SparkSession, path: str) -> int:
     return int(file_system.getContentSummary(hadoop_path).getLength())
 
 
+_local_roots: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new folder below the cluster's ``spark.checkpoint.dir``.
 
@@ -56,6 +59,8 @@ def shared_folder(spark: SparkSession) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="tallykeep-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        application = spark.sparkContext.applicationId
+        if application not in _local_roots:
+            _local_roots[application] = tempfile.mkdtemp(prefix="tallykeep-")
+        root = _local_roots[application]
     return f"{root.rstrip('/')}/tallykeep-{uuid.uuid4().hex}"

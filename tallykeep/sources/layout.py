@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallykeep.model import SalesModel
 
-PARTS = ("invoices", "lines", "tracks", "genres", "artists")
+DIMENSIONS = ("tracks", "genres", "artists", "countries")
+PARTS = ("invoices", "lines", *DIMENSIONS)
 
 
 def _save(df: DataFrame, table: str, buckets: int | None) -> None:
@@ -30,7 +31,7 @@ def write_layout(model: SalesModel, prefix: str, buckets: int) -> None:
     lines = model.described_lines()
     _save(invoices.repartition(buckets, "InvoiceId"), f"{prefix}_invoices", buckets)
     _save(lines.repartition(buckets, "InvoiceId"), f"{prefix}_lines", buckets)
-    for name in ("tracks", "genres", "artists"):
+    for name in DIMENSIONS:
         _save(getattr(model, name), f"{prefix}_{name}", None)
 
 
@@ -46,6 +47,7 @@ def read_layout(spark: SparkSession, prefix: str, paired_dimensions: bool = Fals
         tracks=tables["tracks"],
         genres=tables["genres"],
         artists=tables["artists"],
+        countries=tables["countries"],
         paired_dimensions=paired_dimensions,
         described=described,
     )

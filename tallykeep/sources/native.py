@@ -53,6 +53,7 @@ def native_model(
         tracks=tracks,
         genres=genre_names.select("genre").distinct(),
         artists=artist_names.select("artist").distinct(),
+        countries=billed.select("country").filter("country IS NOT NULL").distinct(),
     )
 
 

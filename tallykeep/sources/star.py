@@ -59,6 +59,8 @@ def star_model(
         tracks=tracks,
         genres=tracks.select("genre").distinct(),
         artists=tracks.select("artist").distinct(),
+        # Customers first lose their repeats, so a busy one is a single row in the join.
+        countries=headers.select("CustomerId").distinct().join(homes, "CustomerId").select("country").distinct(),
         paired_dimensions=True,
     )
 
