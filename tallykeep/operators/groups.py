@@ -35,8 +35,14 @@ def grouped_lines(scope: Scope, group: str, date_range: DateRange | None) -> Dat
         lines.filter(F.col("group_val").isNotNull())
         .select("InvoiceId", "group_val", "qty", "cents")
         .join(invoices, "InvoiceId")
-        .groupBy("InvoiceId", "CustomerId", "dt", "group_val")
-        .agg(F.sum("qty").alias("qty"), F.sum("cents").alias("cents"))
+        .groupBy("InvoiceId", "group_val")
+        .agg(
+            # one customer and date per invoice: kept out of the key, which is hashed per line
+            F.min("CustomerId").alias("CustomerId"),
+            F.min("dt").alias("dt"),
+            F.sum("qty").alias("qty"),
+            F.sum("cents").alias("cents"),
+        )
     )
 
 

@@ -17,18 +17,22 @@ from pyspark.sql import functions as F
 
 from tallykeep.model import SalesModel
 from tallykeep.operators.filters import SalesFilter, keep_all
-from tallykeep.session import shared_folder
+from tallykeep.session import remove_folder, shared_folder
 
 TOTALS = ("num_lines", "qty", "cents")
 
 
 @dataclass(frozen=True)
 class Scope:
-    """``flt`` None means every invoice. ``stored`` holds a materialised working set."""
+    """``flt`` None means every invoice. ``stored`` holds a materialised working set.
+
+    ``folder`` is where :meth:`stage` wrote it.
+    """
 
     model: SalesModel
     flt: SalesFilter | None = None
     stored: DataFrame | None = None
+    folder: str | None = None
 
     def invoices(self, country: bool = False, totals: bool = False) -> DataFrame:
         """InvoiceId, CustomerId, dt and, on request, country and line totals.
@@ -77,10 +81,6 @@ class Scope:
         rows = self.invoices(country=True, totals=True)
         return replace(self, stored=rows.persist(StorageLevel.MEMORY_AND_DISK))
 
-    def unpersist(self) -> None:
-        if self.stored is not None:
-            self.stored.unpersist()
-
     def stage(self) -> "Scope":
         """Write the set to the shared folder and read it back.
 
@@ -92,7 +92,14 @@ class Scope:
         spark = self.model.spark
         path = shared_folder(spark)
         self.invoices(country=True, totals=True).write.parquet(path)
-        return replace(self, stored=spark.read.parquet(path))
+        return replace(self, stored=spark.read.parquet(path), folder=path)
+
+    def release(self) -> None:
+        """Give back what :meth:`persist` or :meth:`stage` holds, once no result needs it."""
+        if self.folder is not None:
+            remove_folder(self.model.spark, self.folder)
+        elif self.stored is not None:
+            self.stored.unpersist()
 
     def _candidates(self, country: bool) -> DataFrame:
         source = self.model.invoices(country or self.flt.needs_country)

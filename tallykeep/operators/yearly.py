@@ -17,9 +17,9 @@ def _customer_side(scope: Scope, name: str, date_range: DateRange) -> DataFrame:
     """Per year and group: customers, purchases, countries, tracks, revenue.
 
     Lines shrink to invoices, then to one row per (year, group, customer, country).
-    The windows see those rows only: at most years x groups per customer. The lowest
-    country of a customer stands for them when customers are counted, which leaves
-    the country as the single distinct count.
+    The window sees those rows only, in that order: the first row of a year and group
+    stands for the customer when customers are counted, which leaves the country as
+    the single distinct count.
     """
     invoices = in_days(scope.invoices_for_lines(country=True), date_range)
     lines = scope.model.described_lines().withColumn("group_val", F.col(name))
@@ -27,22 +27,28 @@ def _customer_side(scope: Scope, name: str, date_range: DateRange) -> DataFrame:
         lines.filter(F.col("group_val").isNotNull())
         .select("InvoiceId", "group_val", "qty", "cents")
         .join(invoices, "InvoiceId")
-        .groupBy("InvoiceId", "CustomerId", "dt", "country", "group_val")
-        .agg(F.sum("qty").alias("qty"), F.sum("cents").alias("cents"))
+        .groupBy("InvoiceId", "country", "group_val")
+        .agg(
+            F.min("CustomerId").alias("CustomerId"),
+            F.min(F.year("dt")).alias("year"),
+            F.sum("qty").alias("qty"),
+            F.sum("cents").alias("cents"),
+        )
     )
-    keys = ["CustomerId", "year", "group_val"]
-    per_customer = per_invoice.groupBy(
-        "CustomerId", F.year("dt").alias("year"), "group_val", "country"
-    ).agg(
+    per_customer = per_invoice.groupBy("CustomerId", "year", "group_val", "country").agg(
         F.count(F.lit(1)).alias("purchases"),
         F.sum("qty").alias("qty"),
         F.sum("cents").alias("cents"),
     )
-    first_year = F.min("year").over(Window.partitionBy("CustomerId"))
-    place = F.row_number().over(Window.partitionBy(*keys).orderBy("country"))
+    ordered = Window.partitionBy("CustomerId").orderBy("year", "group_val", "country")
+    previous = F.lag(F.struct("year", "group_val")).over(ordered)
     return (
-        per_customer.withColumn("stands", place == 1)
-        .withColumn("first_time", F.col("year") == first_year)
+        per_customer.withColumns(
+            {"previous": previous, "first_time": F.col("year") == F.first("year").over(ordered)}
+        )
+        .withColumn(
+            "stands", F.coalesce(F.col("previous") != F.struct("year", "group_val"), F.lit(True))
+        )
         .groupBy("year", "group_val")
         .agg(
             F.count_if("stands").alias("num_customers"),

@@ -19,6 +19,9 @@ _SETTINGS = {
     # Lets AQE split a hot join key even where an aggregation on the same key
     # follows the join; without it the skewed partition would stay in one task.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Joins invoices to lines without sorting the lines, once every partition of the
+    # invoices has been measured to be no larger than this.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
 }
 
 
@@ -39,13 +42,25 @@ def tune(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
     return spark
 
 
+def _located(spark: SparkSession, path: str):
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
 def stored_bytes(spark: SparkSession, path: str) -> int:
     """Size of everything below ``path``, from the file system's own summary."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    file_system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    file_system, hadoop_path = _located(spark, path)
     return int(file_system.getContentSummary(hadoop_path).getLength())
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder handed out by :func:`shared_folder`."""
+    if "/tallykeep-" not in path:
+        raise ValueError(f"not a folder made here: {path}")
+    file_system, hadoop_path = _located(spark, path)
+    file_system.delete(hadoop_path, True)
+
+
 _local_roots: dict[str, str] = {}
 
 

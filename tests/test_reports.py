@@ -170,3 +170,8 @@ def test_shared_folder_is_below_the_checkpoint_dir(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     first, second = session.shared_folder(spark), session.shared_folder(spark)
     assert first.startswith(root + "/") and first != second
+
+
+def test_only_own_folders_are_removed(spark, tmp_path):
+    with pytest.raises(ValueError):
+        session.remove_folder(spark, str(tmp_path))

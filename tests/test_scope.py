@@ -1,5 +1,6 @@
 """Which invoices are looked at, and over which dates."""
 
+import os
 from datetime import date
 
 import pytest
@@ -151,8 +152,12 @@ def test_materialised_scope_gives_the_same(spark, keep):
         groups.group_kpis(lazy, "BillingCountry").orderBy("group_val")
     )
     assert getattr(kept, keep)() is kept
+    kept.release()
     if keep == "persist":
-        kept.unpersist()
+        assert not kept.stored.is_cached
+    else:
+        assert not os.path.exists(kept.folder)
+    lazy.release()
 
 
 def test_events_columns(spark):
