@@ -8,12 +8,18 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# One shuffle partition per this many input bytes; AQE merges what turns out small.
-BYTES_PER_SHUFFLE_PARTITION = 128 * 1024 * 1024
+MEGABYTE = 1024 * 1024
+
+# Stored bytes behind one shuffle partition. Only the columns in use are shuffled, a
+# fraction of that; AQE merges what still turns out small.
+BYTES_PER_SHUFFLE_PARTITION = 512 * MEGABYTE
+# Beyond these, blocks (scan tasks x shuffle partitions) cost more than larger tasks do.
+MOST_SHUFFLE_PARTITIONS = 32_768
+MOST_SCAN_TASKS = 100_000
+SMALLEST_SPLIT, LARGEST_SPLIT = 128 * MEGABYTE, 1024 * MEGABYTE
 
 _INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-# Remembers the value set here, to tell it from one the user has chosen.
-_OURS = "spark.tallykeep.initialPartitionNum"
+_SPLIT_BYTES = "spark.sql.files.maxPartitionBytes"
 
 _SETTINGS = {
     # Lets AQE split a hot join key even where an aggregation on the same key
@@ -25,20 +31,28 @@ _SETTINGS = {
 }
 
 
+def _set(spark: SparkSession, key: str, value: str) -> None:
+    """Set a value unless the user has; what was set here earlier is remembered."""
+    mark = f"spark.tallykeep.{key.removeprefix('spark.')}"
+    if spark.conf.get(key, None) == spark.conf.get(mark, None):
+        spark.conf.set(key, value)
+        spark.conf.set(mark, value)
+
+
 def tune(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
     """Apply the runtime settings, leaving alone whatever the user has set.
 
-    With ``input_bytes`` the number of shuffle partitions grows with the data. It
-    is only ever raised: small inputs keep ``spark.sql.shuffle.partitions``.
+    With ``input_bytes``, shuffle partitions and scan splits grow with the data. Both
+    are only ever raised: small inputs keep the session's values.
     """
     for key, value in _SETTINGS.items():
-        if spark.conf.get(key, None) is None:
-            spark.conf.set(key, value)
-    if input_bytes is not None and spark.conf.get(_INITIAL_PARTITIONS, None) == spark.conf.get(_OURS, None):
+        _set(spark, key, value)
+    if input_bytes is not None:
         base = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        wanted = str(max(base, math.ceil(input_bytes / BYTES_PER_SHUFFLE_PARTITION)))
-        spark.conf.set(_INITIAL_PARTITIONS, wanted)
-        spark.conf.set(_OURS, wanted)
+        wanted = math.ceil(input_bytes / BYTES_PER_SHUFFLE_PARTITION)
+        _set(spark, _INITIAL_PARTITIONS, str(max(base, min(wanted, MOST_SHUFFLE_PARTITIONS))))
+        split = math.ceil(input_bytes / MOST_SCAN_TASKS)
+        _set(spark, _SPLIT_BYTES, str(max(SMALLEST_SPLIT, min(split, LARGEST_SPLIT))))
     return spark
 
 

@@ -21,22 +21,26 @@ def day(text: str) -> date:
 def store(spark, invoices, lines, tracks=None, price="0.99"):
     """``invoices``: (InvoiceId, CustomerId, date text, country); ``lines``: (InvoiceId, TrackId, Quantity)."""
     tracks = TRACKS if tracks is None else tracks
+
+    def frame(rows, schema):
+        return spark.createDataFrame(list(rows), schema).coalesce(1)
+
     return native_model(
         spark,
-        invoice=spark.createDataFrame(
+        invoice=frame(
             [(i, c, day(d), place) for i, c, d, place in invoices],
             "InvoiceId int, CustomerId int, InvoiceDate date, BillingCountry string",
         ),
-        invoice_line=spark.createDataFrame(
+        invoice_line=frame(
             [(i, t, price, q) for i, t, q in lines],
             "InvoiceId int, TrackId int, UnitPrice string, Quantity int",
         ),
-        track=spark.createDataFrame(
+        track=frame(
             [(t, a, g) for t, (a, g) in tracks.items()], "TrackId int, AlbumId int, GenreId int"
         ),
-        album=spark.createDataFrame(list(ALBUMS.items()), "AlbumId int, ArtistId int"),
-        artist=spark.createDataFrame(list(ARTISTS.items()), "ArtistId int, Name string"),
-        genre=spark.createDataFrame(list(GENRES.items()), "GenreId int, Name string"),
+        album=frame(ALBUMS.items(), "AlbumId int, ArtistId int"),
+        artist=frame(ARTISTS.items(), "ArtistId int, Name string"),
+        genre=frame(GENRES.items(), "GenreId int, Name string"),
     )
 
 

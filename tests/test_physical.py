@@ -1,14 +1,16 @@
 """Plans meant for large data: what is shuffled, joined and kept in one task."""
 
 import re
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
 from store import dicts, store
-from tallykeep.operators import behaviour, cohorts, core, groups, timeseries, yearly
+from tallykeep.operators import behaviour, cohorts, core, groups, timeseries, topn, yearly
 from tallykeep.operators.filters import SalesFilter
 from tallykeep.operators.scope import all_invoices, working_set
+from tallykeep.plans import insights
 from tallykeep.registry.queries import queries
 from tallykeep.session import tune
 from tallykeep.sources.star import read_star
@@ -80,11 +82,23 @@ def test_windows_see_aggregated_rows_only(large, build):
         assert "HashAggregate" in lines[below + 1]
 
 
+@pytest.mark.parametrize(
+    "build",
+    [
+        lambda s: topn.top_groups_by_metric(groups.group_kpis(s, "Artist", YEAR)),
+        lambda s: insights.best_sellers(s, YEAR),
+    ],
+)
+def test_rankings_are_cut_before_the_shuffle(large, build):
+    assert re.search(r"WindowGroupLimit .* Partial", plan_of(build(working_set(large))))
+
+
 def _hot_store(spark):
-    """One invoice, one customer and one track hold most of the rows."""
+    """One invoice, one customer and one track hold most of the rows, written by many tasks."""
     invoices = [(i, 1 if i < 400 else 2 + i % 50, f"20{18 + i % 3}-0{1 + i % 9}-{10 + i % 18}", "USA") for i in range(900)]
     lines = [(1 if k < 4000 else k % 900, 1 if k % 2 else 1 + k % 5, 1 + k % 3) for k in range(9000)]
-    return store(spark, invoices, lines)
+    model = store(spark, invoices, lines)
+    return replace(model, lines=model.lines.repartition(8))
 
 
 def test_results_hold_when_skewed_joins_are_split(spark):

@@ -152,18 +152,30 @@ def test_layout_spares_the_shuffle_of_lines(spark, stored):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_tune_keeps_user_settings(spark):
-    key, initial = "spark.sql.adaptive.forceOptimizeSkewedJoin", session._INITIAL_PARTITIONS
+def test_tune_follows_the_data(spark):
+    initial, split = session._INITIAL_PARTITIONS, session._SPLIT_BYTES
     fresh = spark.newSession()
     session.tune(fresh, 10 * session.BYTES_PER_SHUFFLE_PARTITION)
-    assert fresh.conf.get(key) == "true" and fresh.conf.get(initial) == "10"
+    assert fresh.conf.get("spark.sql.adaptive.forceOptimizeSkewedJoin") == "true"
+    assert (fresh.conf.get(initial), fresh.conf.get(split)) == ("10", str(session.SMALLEST_SPLIT))
+    session.tune(fresh, 100 * 1024**4)
+    assert fresh.conf.get(initial) == str(session.MOST_SHUFFLE_PARTITIONS)
+    assert fresh.conf.get(split) == str(session.LARGEST_SPLIT)
     session.tune(fresh, 1)
     assert fresh.conf.get(initial) == fresh.conf.get("spark.sql.shuffle.partitions")
-    chosen = spark.newSession()
-    chosen.conf.set(key, "false")
-    chosen.conf.set(initial, "33")
-    session.tune(chosen, 100 * session.BYTES_PER_SHUFFLE_PARTITION)
-    assert chosen.conf.get(key) == "false" and chosen.conf.get(initial) == "33"
+
+
+def test_tune_keeps_user_settings(spark):
+    chosen = {
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "false",
+        session._INITIAL_PARTITIONS: "33",
+        session._SPLIT_BYTES: "1000000",
+    }
+    own = spark.newSession()
+    for key, value in chosen.items():
+        own.conf.set(key, value)
+    session.tune(own, 100 * 1024**4)
+    assert {key: own.conf.get(key) for key in chosen} == chosen
 
 
 def test_shared_folder_is_below_the_checkpoint_dir(spark):
