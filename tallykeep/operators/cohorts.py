@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallykeep.functions.dates import DateRange, elapsed_months, month_index, month_start, within
@@ -44,18 +44,24 @@ def _customer_months(scope: Scope, date_range: DateRange | None) -> DataFrame:
     )
 
 
-def _whole_report() -> WindowSpec:
-    """All rows of a report of at most one row per (cohort, offset), whatever the data size."""
-    return Window.partitionBy(F.lit(0))
+def _limited(report: DataFrame, max_offset: int | None) -> DataFrame:
+    """One row: the rows of a report up to the limit, by default the months the scope spans.
 
-
-def _within_limit(max_offset: int | None) -> Column:
-    """Offsets up to the limit; by default the whole months the scope spans."""
-    if max_offset is not None:
-        return F.col("month_offset") <= max_offset
-    first = F.min("scope_from").over(_whole_report())
-    last = F.max("scope_to").over(_whole_report())
-    return F.col("month_offset") <= elapsed_months(first, last)
+    A report has at most one row per (cohort, offset), whatever the data size, so it
+    travels as one array and the limit needs no second pass over the data.
+    """
+    packed = report.agg(
+        F.min("scope_from").alias("scope_from"),
+        F.max("scope_to").alias("scope_to"),
+        F.collect_list(F.struct(*report.columns)).alias("rows"),
+    )
+    if max_offset is None:
+        limit = elapsed_months(F.col("scope_from"), F.col("scope_to"))
+    else:
+        limit = F.lit(max_offset)
+    return packed.select(
+        F.filter("rows", lambda row: row["month_offset"] <= limit).alias("rows")
+    )
 
 
 def cohort_retention(
@@ -63,7 +69,8 @@ def cohort_retention(
 ) -> DataFrame:
     """cohort_month, month_offset, num_active_customers, cohort_size, retention_pct.
 
-    Sizes count every customer of the cohort: each has exactly one row at offset 0.
+    Sizes count every customer of the cohort: each has exactly one row at offset 0,
+    which is within any limit.
     """
     report = _customer_months(scope, date_range).groupBy("cohort", "month_offset").agg(
         F.count("CustomerId").alias("customers"),
@@ -73,9 +80,10 @@ def cohort_retention(
     )
     size = F.max(F.when(F.col("month_offset") == 0, F.col("customers")))
     return (
-        report.withColumn("kept", _within_limit(max_offset))
+        _limited(report, max_offset)
+        .select(F.inline("rows"))
         .withColumn("cohort_size", size.over(Window.partitionBy("cohort")))
-        .filter("kept AND month_offset > 0 AND num_active_customers > 0")
+        .filter("month_offset > 0 AND num_active_customers > 0")
         .select(
             month_start(F.col("cohort")).alias("cohort_month"),
             "month_offset",
@@ -108,11 +116,12 @@ def retention_decay(
             F.max("scope_to").alias("scope_to"),
         )
     )
-    base = F.sum(F.when(F.col("kept"), F.col("entering"))).over(_whole_report())
+    base = F.aggregate("rows", F.lit(0).cast("bigint"), lambda total, row: total + row["entering"])
     return (
-        report.withColumn("kept", _within_limit(max_offset))
-        .withColumn("num_customers", base)
-        .filter("kept AND month_offset > 0 AND num_retained > 0")
+        _limited(report, max_offset)
+        .select(base.alias("num_customers"), F.explode("rows").alias("row"))
+        .select("row.*", "num_customers")
+        .filter("month_offset > 0 AND num_retained > 0")
         .select(
             "month_offset",
             "num_retained",
