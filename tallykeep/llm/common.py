@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,11 +25,24 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches of texts small, unless the user has chosen a size."""
+    """Prepare for Python workers: small Arrow batches, unless the user has chosen a size."""
+    importable(spark)
     if spark.conf.get(_ARROW_KEY, _ARROW_DEFAULT) == _ARROW_DEFAULT:
         spark.conf.set(_ARROW_KEY, ARROW_ROWS)
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver found it.
+
+    Where executors do not see that folder, ship the package with ``--py-files``.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    environment = spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
+
+
 def partitions(spark: SparkSession) -> int:
     """The number of shuffle partitions the session asks for."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -7,7 +7,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallykeep.llm import quality
+from tallykeep.llm import quality, repeats
 from tallykeep.llm.common import only, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,3 +28,8 @@ def queries() -> dict[str, Query]:
 def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged, result = quality.with_quality(only(table(spark, folder, "documents"), "doc_id", "text"))
     return judged.select("doc_id", F.col(f"{result}.*"))
+
+
+@_query
+def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.removed_digest(table(spark, folder, "documents"))
