@@ -7,9 +7,12 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallykeep.llm import quality, repeats
+from tallykeep.llm import bpe, quality, repeats
 from tallykeep.llm.common import only, table
 
+# The vocabulary the BPE query uses; its place is looked up where the package is installed.
+VOCABULARY = "word_bpe_49k.json"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 _QUERIES: dict[str, Query] = {}
@@ -33,3 +36,14 @@ def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.removed_digest(table(spark, folder, "documents"))
+
+
+def vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(VOCABULARY)
+
+
+@_query
+def op8_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.digest(table(spark, folder, "documents"), vocabulary())
