@@ -7,7 +7,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallykeep.llm import bpe, quality, repeats
+from tallykeep.llm import bpe, chat, quality, repeats, urls
 from tallykeep.llm.common import only, table
 
 # The vocabulary the BPE query uses; its place is looked up where the package is installed.
@@ -47,3 +47,21 @@ def vocabulary() -> str:
 @_query
 def op8_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digest(table(spark, folder, "documents"), vocabulary())
+
+
+@_query
+def op9_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    labels = table(spark, folder, "labels")
+    bad = ((F.col("quality") == 0) | (F.col("toxic") == 1)).cast("long")
+    pages = only(table(spark, folder, "pages"), "page_id", "url")
+    return urls.judge(pages, labels.select(F.col("doc_id").alias("page_id"), bad.alias("bad")))
+
+
+@_query
+def op10_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    given = only(table(spark, folder, "conversations"), "conv_id", "turn", "role", "text")
+    added = spark.sql(
+        "SELECT -1L AS conv_id, turn, role, '</s>[INST] ok [/INST]' AS text "
+        "FROM VALUES (0L, 'user'), (1L, 'assistant') AS t(turn, role)"
+    )
+    return chat.digest(chat.windows(given.unionByName(added)))
