@@ -7,7 +7,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallykeep.llm import bpe, chat, quality, repeats, urls
+from tallykeep.llm import bpe, chat, ngram_join, quality, repeats, urls
 from tallykeep.llm.common import only, table
 
 # The vocabulary the BPE query uses; its place is looked up where the package is installed.
@@ -27,6 +27,11 @@ def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
 
+@_query
+def op1_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.link_components(table(spark, folder, "documents"))
+
+
 @_query
 def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged, result = quality.with_quality(only(table(spark, folder, "documents"), "doc_id", "text"))

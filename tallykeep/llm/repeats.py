@@ -29,72 +29,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallykeep.llm.common import bounded_batches, partitions
+from tallykeep.llm.packing import PACKED, by_document, packed, unpacked
 from tallykeep.llm.words import text_ngrams
 
 PASSAGE_WORDS = 13
 # The longest block of which every passage holds a whole anchor.
 BLOCK_WORDS = (PASSAGE_WORDS + 1) // 2
 
-_PACKED = "part int, ids binary, counts binary, hashes binary"
 _FOUND = "doc_id long, hashes binary"
 _RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 
 
-def _packed(parts: int, ids: list[int], found: list[np.ndarray], width: type) -> pa.RecordBatch:
-    """Rows of (partition, ids, hashes per id, hashes) from the hashes of each document.
-
-    A hash belongs to the partition of its upper half; only ``width`` of it is kept.
-    """
-    counts = [len(one) for one in found]
-    hashes = np.concatenate(found) if found else np.empty(0, dtype=np.uint64)
-    rows = np.repeat(np.arange(len(ids)), counts)
-    to = ((hashes >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
-    order = np.argsort(to, kind="stable")
-    rows, to, hashes = rows[order], to[order], hashes[order].astype(width)
-    edges = np.flatnonzero(np.r_[True, to[1:] != to[:-1], True]) if len(to) else np.zeros(1, dtype=np.int64)
-    columns: tuple[list, ...] = ([], [], [], [])
-    all_ids = np.array(ids, dtype=np.int64)
-    for begin, end in zip(edges[:-1], edges[1:]):
-        docs, each = np.unique(rows[begin:end], return_counts=True)
-        columns[0].append(int(to[begin]))
-        columns[1].append(all_ids[docs].tobytes())
-        columns[2].append(each.astype(np.int32).tobytes())
-        columns[3].append(hashes[begin:end].tobytes())
-    return pa.RecordBatch.from_arrays(
-        [pa.array(columns[0], pa.int32()), *[pa.array(one, pa.binary()) for one in columns[1:]]],
-        names=["part", "ids", "counts", "hashes"],
-    )
-
-
-def _unpacked(batches: Iterator[pa.RecordBatch], width: type) -> Iterator[tuple]:
-    """For each partition number in a task: ids, and per hash its id's rank and the hash."""
-    gathered: dict[int, list[tuple]] = {}
-    for batch in batches:
-        for row in batch.to_pylist():
-            gathered.setdefault(row["part"], []).append((row["ids"], row["counts"], row["hashes"]))
-    while gathered:
-        _, rows = gathered.popitem()
-        ids, ranks = np.unique(np.concatenate([np.frombuffer(r[0], np.int64) for r in rows]), return_inverse=True)
-        counts = np.concatenate([np.frombuffer(r[1], np.int32) for r in rows])
-        hashes = np.concatenate([np.frombuffer(r[2], width) for r in rows])
-        rows.clear()
-        yield ids, np.repeat(ranks.astype(np.uint64), counts), hashes
-
-
-def _by_document(ids: np.ndarray, ranks: np.ndarray, hashes: np.ndarray) -> pa.RecordBatch:
-    """One row per document with its hashes."""
-    order = np.argsort(ranks, kind="stable")
-    ranks, hashes = ranks[order], hashes[order]
-    edges = np.flatnonzero(np.r_[True, ranks[1:] != ranks[:-1], True]) if len(ranks) else np.zeros(1, dtype=np.int64)
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(ids[ranks[edges[:-1]].astype(np.int64)], pa.int64()),
-            pa.array([hashes[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:])], pa.binary()),
-        ],
-        names=["doc_id", "hashes"],
-    )
-
-
 def _block_keys(blocks: np.ndarray) -> np.ndarray:
     """Block hashes with the lowest bit free for the mark of an anchor."""
     return blocks & ~np.uint64(1)
@@ -111,14 +56,14 @@ def _emit_blocks(parts: int):
                     keys[::BLOCK_WORDS] |= np.uint64(1)
                     ids.append(numbers[row])
                     found.append(np.unique(keys))
-            yield _packed(parts, ids, found, np.uint32)
+            yield packed(parts, ids, found, np.uint32)
 
     return emit
 
 
 def _probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Blocks that meet an anchor of an earlier document, and the anchors so met."""
-    for ids, ranks, hashes in _unpacked(batches, np.uint32):
+    for ids, ranks, hashes in unpacked(batches, np.uint32):
         # block, document, mark: one integer, so that one sort brings equal blocks together
         rows = (hashes >> np.uint32(1)).astype(np.uint64) << np.uint64(33)
         rows |= (ranks << np.uint64(1)) | (hashes & np.uint32(1)).astype(np.uint64)
@@ -132,7 +77,7 @@ def _probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         least = np.minimum.reduceat(np.where(anchor == 1, rank, np.uint64(2**32)), heads)[group]
         most = np.maximum.reduceat(rank, heads)[group]
         hit = (rank > least) | ((anchor == 1) & (rank < most))
-        yield _by_document(ids, rank[hit], block[hit].astype(np.uint32))
+        yield by_document(ids, rank[hit], block[hit].astype(np.uint32))
 
 
 def _emit_passages(parts: int):
@@ -151,14 +96,14 @@ def _emit_passages(parts: int):
                 near = sums[PASSAGE_WORDS - BLOCK_WORDS + 1 :] - sums[: len(whole)]
                 ids.append(numbers[row])
                 found.append(np.unique(whole[near > 0]))
-            yield _packed(parts, ids, found, np.uint64)
+            yield packed(parts, ids, found, np.uint64)
 
     return emit
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Passages that an earlier document holds too."""
-    for ids, ranks, hashes in _unpacked(batches, np.uint64):
+    for ids, ranks, hashes in unpacked(batches, np.uint64):
         order = np.argsort(hashes, kind="stable")
         hashes, ranks = hashes[order], ranks[order]
         if not len(hashes):
@@ -166,7 +111,7 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         new = np.r_[True, hashes[1:] != hashes[:-1]]
         least = np.minimum.reduceat(ranks, np.flatnonzero(new))[np.cumsum(new) - 1]
         later = ranks > least
-        yield _by_document(ids, ranks[later], hashes[later])
+        yield by_document(ids, ranks[later], hashes[later])
 
 
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,9 +155,9 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     parts = partitions(spark)
     texts = _dealt(docs)
-    blocks = texts.mapInArrow(_emit_blocks(parts), _PACKED).repartition(parts, "part")
+    blocks = texts.mapInArrow(_emit_blocks(parts), PACKED).repartition(parts, "part")
     hits = _collected(blocks.mapInArrow(_probe, _FOUND))
-    passages = texts.join(hits, "doc_id").mapInArrow(_emit_passages(parts), _PACKED).repartition(parts, "part")
+    passages = texts.join(hits, "doc_id").mapInArrow(_emit_passages(parts), PACKED).repartition(parts, "part")
     return _collected(passages.mapInArrow(_verify, _FOUND))
 
 
