@@ -7,7 +7,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallykeep.llm import bpe, chat, ngram_join, quality, repeats, urls
+from tallykeep.llm import bpe, chat, decontaminate, ngram_join, quality, repeats, urls
 from tallykeep.llm.common import only, table
 
 # The vocabulary the BPE query uses; its place is looked up where the package is installed.
@@ -43,6 +43,11 @@ def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.removed_digest(table(spark, folder, "documents"))
 
 
+@_query
+def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def vocabulary() -> str:
     import public_tokenizers
 
