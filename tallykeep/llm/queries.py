@@ -7,7 +7,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallykeep.llm import bpe, chat, decontaminate, ngram_join, pii, quality, repeats, urls
+from tallykeep.llm import bpe, chat, decontaminate, ngram_join, pages, pii, quality, repeats, urls
 from tallykeep.llm.common import only, table
 
 # The vocabulary the BPE query uses; its place is looked up where the package is installed.
@@ -48,6 +48,11 @@ def op4_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.span_digest(table(spark, folder, "documents"))
 
 
+@_query
+def op6_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return pages.extract(table(spark, folder, "pages"))
+
+
 @_query
 def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
