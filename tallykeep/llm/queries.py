@@ -7,7 +7,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallykeep.llm import bpe, chat, decontaminate, ngram_join, pages, pii, quality, repeats, urls
+from tallykeep.llm import bpe, chat, decontaminate, ngram_join, pages, pii, quality, repeats, urls, warc
 from tallykeep.llm.common import only, table
 
 # The vocabulary the BPE query uses; its place is looked up where the package is installed.
@@ -48,6 +48,22 @@ def op4_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.span_digest(table(spark, folder, "documents"))
 
 
+@_query
+def op5_warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
+    pages = only(table(spark, folder, "pages"), "page_id", "url", "html")
+    resolved = warc.resolve(warc.parse(warc.captures_of(pages)))
+    lines = F.transform("fields", lambda one: F.concat(one["name"], F.lit(": "), one["value"]))
+    return resolved.select(
+        F.substring_index("record_id", ":", 1).cast("long").alias("page_id"),
+        "url_key",
+        "at",
+        "outcome",
+        F.substring_index("source_id", ":", 1).cast("long").alias("source_page_id"),
+        "source_at",
+        F.array_join(lines, "\n").alias("header"),
+    )
+
+
 @_query
 def op6_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return pages.extract(table(spark, folder, "pages"))
