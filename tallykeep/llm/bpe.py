@@ -122,6 +122,24 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
+def _encoded_digest(path: str):
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = codec(path).encode
+        for batch in batches:
+            columns: tuple[list, ...] = ([], [], [])
+            for text in batch.column(1):
+                ids, _, decoded = encode(text.as_py() or "")
+                columns[0].append(np.frombuffer(ids, dtype="<u4").astype(np.int32))
+                columns[1].append(hashlib.sha256(ids).hexdigest())
+                columns[2].append(hashlib.sha256(decoded.encode()).hexdigest())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(columns[0], pa.list_(pa.int32())), *[pa.array(c, pa.string()) for c in columns[1:]]],
+                names=["doc_id", "ids", "ids_sha256", "decoded_sha256"],
+            )
+
+    return digest
+
+
 def _digest(path: str):
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = codec(path).encode
@@ -181,3 +199,9 @@ def digest(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """Per document: number of tokens, SHA-256 of the ids and of the decoded text."""
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     return _id_and(docs, text, "string").mapInArrow(_digest(path), schema)
+
+
+def encoded_digest(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
+    """Per document: the token ids, their SHA-256 and that of the decoded text."""
+    schema = "doc_id long, ids array<int>, ids_sha256 string, decoded_sha256 string"
+    return _id_and(docs, text, "string").mapInArrow(_encoded_digest(path), schema)

@@ -48,20 +48,25 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def durable(frame: DataFrame) -> DataFrame:
-    """Materialise a frame in the cluster's checkpoint folder and cut its lineage.
+def shared_root(spark: SparkSession) -> str:
+    """The folder all executors share, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only a local session without ``spark.checkpoint.dir`` (a test) gets a folder of
-    its own; a cluster session has to name one that all executors share.
+    Only a local session without that setting (a test) gets a folder of its own.
     """
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="tallykeep-shared-")
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder
+
+
+def durable(frame: DataFrame) -> DataFrame:
+    """Materialise a frame in the shared folder and cut its lineage."""
     context = frame.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = frame.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="tallykeep-checkpoint-")
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(shared_root(frame.sparkSession))
     return frame.checkpoint(eager=True)
 
 

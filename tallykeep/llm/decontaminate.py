@@ -157,4 +157,5 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that hold no item, with their columns unchanged; those without an id stay."""
-    return docs.join(leaks(docs, benchmark).select("doc_id").distinct(), "doc_id", "left_anti")
+    leaking = leaks(docs, benchmark).select("doc_id").distinct()
+    return docs.join(leaking, "doc_id", "left_anti").select(*docs.columns)

@@ -1,7 +1,7 @@
 """N-gram Jaccard join: count-vector R-trees over documents' word shingles.
 
-Two documents link when their sets of 4-word shingles overlap by at least 85 percent of
-their union. A set's shingles are hashed into groups; the numbers per group are a point.
+Two documents link when their sets of word shingles overlap by a given share of their
+union, such as 85 percent of that of 4-word shingles. A set's shingles are hashed into groups; the numbers per group are a point.
 Two sets share at most the sum, over groups, of the smaller number, so a tree whose
 nodes keep the largest number per group bounds the overlap of a probe with everything
 below a node. Pairs the bound admits are verified on the sets themselves.
@@ -26,21 +26,19 @@ links by any of them; extra columns are ignored; an empty table gives an empty r
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallykeep.llm.common import bounded_batches, durable, partitions
+from tallykeep.llm.common import bounded_batches, durable, free_name, partitions
 from tallykeep.llm.graph import components
 from tallykeep.llm.packing import PACKED, packed, unpacked
 from tallykeep.llm.words import mix, shingle_sets
 
-SHINGLE_WORDS = 4
-# Two sets link when 100 * intersection >= LINK_PERCENT * union.
-LINK_PERCENT = 85
 # Shingles of a set per group of its point, about; more groups bound more tightly.
 SHINGLES_PER_GROUP = 8
 # Counters of the corpus' shingles. Their number is fixed; they only order shingles.
@@ -51,14 +49,30 @@ CELL_SETS = 128
 _DESCRIBED = "doc_id long, n long, low long, high long, point binary, slots binary"
 
 
-def least_overlap(sizes: np.ndarray | int) -> np.ndarray | int:
-    """The least intersection of linked sets, from the sum of their sizes."""
-    return -(-LINK_PERCENT * sizes // (100 + LINK_PERCENT))
+class Linking(NamedTuple):
+    """Words of a shingle, and the least share of the union, in percent, that linked sets share."""
 
+    words: int
+    percent: int
 
-def prefix_length(size: int) -> int:
-    """So many of a set's first shingles meet those of every linked set."""
-    return size - -(-LINK_PERCENT * size // 100) + 1
+    def least_overlap(self, sizes):
+        """The least intersection of linked sets, from the sum of their sizes."""
+        return -(-self.percent * sizes // (100 + self.percent))
+
+    def least_size(self, size):
+        """The least size of a set linked to one of this size."""
+        return -(-self.percent * size // 100)
+
+    def prefix_length(self, size: int) -> int:
+        """So many of a set's first shingles meet those of every linked set."""
+        return size - self.least_size(size) + 1
+
+    def holds(self, shared: int, sizes: int) -> bool:
+        return 100 * shared >= self.percent * (sizes - shared)
+
+
+JOIN = Linking(words=4, percent=85)
+NEAR_DUPLICATE = Linking(words=5, percent=80)
 
 
 def group_bits(size: int) -> int:
@@ -70,6 +84,11 @@ def point_of(shingles: np.ndarray, bits: int) -> np.ndarray:
     return np.bincount((shingles >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
 
 
+def fingerprint(shingles: np.ndarray) -> int:
+    """A signed 64-bit number of a set, whatever the order."""
+    return int(mix(shingles).sum(dtype=np.uint64).view(np.int64))
+
+
 def coarser(point: np.ndarray, bits: int) -> np.ndarray:
     """The same point with 2 ** bits groups."""
     return point if len(point) == 1 << bits else point.reshape(1 << bits, -1).sum(axis=1)
@@ -80,7 +99,8 @@ class CountTree:
 
     FAN = 16
 
-    def __init__(self, sizes: np.ndarray, points: np.ndarray):
+    def __init__(self, sizes: np.ndarray, points: np.ndarray, link: Linking):
+        self.link = link
         # neighbours in size, then along the most varied group, share a leaf
         varied = int(np.argmax(points.var(axis=0)))
         self.order = np.lexsort((points[:, varied], np.log2(sizes + 1).round(1)))
@@ -94,35 +114,43 @@ class CountTree:
 
     def probe(self, size: int, point: np.ndarray) -> np.ndarray:
         """Indexes of the points that may be linked to a set of this size and point."""
+        link = self.link
         at = np.arange(len(self.levels[-1][0]))
         for depth in range(len(self.levels) - 1, -1, -1):
             upper, least, most = self.levels[depth]
-            fits = (100 * most[at] >= LINK_PERCENT * size) & (100 * size >= LINK_PERCENT * least[at])
+            fits = (most[at] >= link.least_size(size)) & (link.least_size(least[at]) <= size)
             at = at[fits]
             bound = np.minimum(upper[at], point).sum(axis=1)
-            at = at[bound >= least_overlap(size + np.maximum(least[at], -(-LINK_PERCENT * size // 100)))]
+            at = at[bound >= link.least_overlap(size + np.maximum(least[at], link.least_size(size)))]
             if depth and len(at):
                 below = (at[:, None] * self.FAN + np.arange(self.FAN)).ravel()
                 at = below[below < len(self.levels[depth - 1][0])]
             elif not len(at):
                 return at
-        exact = least_overlap(size + self.levels[0][1][at])
+        exact = link.least_overlap(size + self.levels[0][1][at])
         at = at[np.minimum(self.levels[0][0][at], point).sum(axis=1) >= exact]
         return self.order[at]
 
 
-def join_trees(sizes: np.ndarray, points: list[np.ndarray], root: np.ndarray, verify, sides: np.ndarray | None = None):
+def join_trees(
+    sizes: np.ndarray,
+    points: list[np.ndarray],
+    root: np.ndarray,
+    link: Linking,
+    verify: Callable[[int, int], bool],
+    sides: np.ndarray | None = None,
+) -> list[tuple[int, int]]:
     """Connect sets by trees; returns the links that joined two components.
 
     ``root`` numbers the components so far and is updated. There is a tree per number of
     groups; a set probes the tree of its own number and, as linked sets differ little in
     size, the one of half as many. With ``sides``, sets of one side do not meet.
     """
-    links = []
+    links: list[tuple[int, int]] = []
     bits = np.array([int(len(point)).bit_length() - 1 for point in points])
     for level in np.unique(bits):
         held = np.flatnonzero(bits == level)
-        tree = CountTree(sizes[held], np.stack([points[i] for i in held]))
+        tree = CountTree(sizes[held], np.stack([points[i] for i in held]), link)
         for i in np.flatnonzero((bits == level) | (bits == level + 1)):
             if (root[held] == root[i]).all():
                 continue
@@ -136,30 +164,29 @@ def join_trees(sizes: np.ndarray, points: list[np.ndarray], root: np.ndarray, ve
     return links
 
 
-def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _describe(link: Linking):
     """Size, fingerprint and point of every set, and one row of shingles per counting slot."""
-    slots = np.zeros(1 << SLOT_BITS, dtype=np.int64)
-
-    def rows(ids, columns, last=None):
-        ids, columns = ids + [None] * (last is not None), [c + [None] * (last is not None) for c in columns]
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-        arrays = [pa.array(c, kind) for c, kind in zip(columns, kinds)]
-        slot_rows = pa.array([None] * (len(ids) - (last is not None)) + ([last] if last is not None else []), pa.binary())
-        return pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), *arrays, slot_rows], names=["doc_id", "n", "low", "high", "point", "slots"]
-        )
+    names = ["doc_id", "n", "low", "high", "point", "slots"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
 
-    for batch in batches:
-        ids = batch.column(0).to_pylist()
-        columns: list[list] = [[], [], [], []]
-        for _, shingles in shingle_sets(batch.column(1), SHINGLE_WORDS):
-            columns[0].append(len(shingles))
-            columns[1].append(int(mix(shingles).sum(dtype=np.uint64).view(np.int64)))
-            columns[2].append(int(mix(~shingles).sum(dtype=np.uint64).view(np.int64)))
-            columns[3].append(point_of(shingles, group_bits(len(shingles))).astype(np.uint32).tobytes())
-            np.add.at(slots, (shingles >> np.uint64(64 - SLOT_BITS)).astype(np.int64), 1)
-        yield rows(ids, columns)
-    yield rows([], [[], [], [], []], slots.tobytes())
+    def record(columns: list[list]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds)], names=names)
+
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slots = np.zeros(1 << SLOT_BITS, dtype=np.int64)
+        for batch in batches:
+            ids = batch.column(0).to_pylist()
+            columns: list[list] = [ids, [], [], [], [], [None] * len(ids)]
+            for _, shingles in shingle_sets(batch.column(1), link.words):
+                columns[1].append(len(shingles))
+                columns[2].append(fingerprint(shingles))
+                columns[3].append(fingerprint(~shingles))
+                columns[4].append(point_of(shingles, group_bits(len(shingles))).astype(np.uint32).tobytes())
+                slots += np.bincount((shingles >> np.uint64(64 - SLOT_BITS)).astype(np.int64), minlength=len(slots))
+            yield record(columns)
+        yield record([[None], [None], [None], [None], [None], [slots.tobytes()]])
+
+    return describe
 
 
 def _slot_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,17 +199,17 @@ def _slot_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     )
 
 
-def _emit_prefixes(parts: int, slots: np.ndarray):
+def _emit_prefixes(parts: int, slots: np.ndarray, link: Linking):
     """The rarest shingles of every set, enough to meet every linked set."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints: dict[int, np.ndarray] = {}
-            for _, shingles in shingle_sets(batch.column(0), SHINGLE_WORDS):
+            for _, shingles in shingle_sets(batch.column(0), link.words):
                 if len(shingles):
                     rarity = slots[(shingles >> np.uint64(64 - SLOT_BITS)).astype(np.int64)]
-                    order = np.lexsort((shingles, rarity))[: prefix_length(len(shingles))]
-                    prints[int(mix(shingles).sum(dtype=np.uint64).view(np.int64))] = shingles[order]
+                    order = np.lexsort((shingles, rarity))[: link.prefix_length(len(shingles))]
+                    prints[fingerprint(shingles)] = shingles[order]
             yield packed(parts, list(prints), list(prints.values()), np.uint32)
 
     return emit
@@ -229,42 +256,45 @@ def _with_part(batches: Iterator[pa.RecordBatch]):
             yield part, ids, ranks, hashes
 
 
-def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _candidates(link: Linking):
     """Candidate links among the groups of a partition, as far as they connect sets.
 
     Rows hold either a partition's groups or one of its sets (print, n, point).
     """
-    groups: dict[int, tuple] = {}
-    sets: dict[int, dict[int, tuple[int, np.ndarray]]] = {}
-    for batch in batches:
-        for row in batch.to_pylist():
-            if row["members"] is not None:
-                groups[row["part"]] = row["prints"], row["members"], row["lengths"]
-            else:
-                point = np.frombuffer(row["point"], np.uint32).astype(np.int32)
-                sets.setdefault(row["part"], {})[row["print"]] = row["n"], point
-    links: tuple[list, list] = ([], [])
-    for part, (prints, members, lengths) in groups.items():
-        known = sets.pop(part)
-        sizes = np.array([known[one][0] for one in prints], dtype=np.int64)
-        points = [known[one][1] for one in prints]
-        root = np.arange(len(prints))
-        members = np.frombuffer(members, np.int32)
-        lengths = np.frombuffer(lengths, np.int32)
-        heads = np.r_[0, np.cumsum(lengths)[:-1]].astype(np.int64)
-        pairs = [(members[h], members[h + 1]) for h in heads[lengths == 2]]
-        joined = _join_pairs(sizes, points, root, pairs)
-        for h, length in zip(heads[lengths > 2], lengths[lengths > 2]):
-            group = members[h : h + length]
-            if (root[group] == root[group[0]]).all():
-                continue
-            own = root[group].copy()
-            found = join_trees(sizes[group], [points[i] for i in group], own, lambda i, j: True)
-            for i, j in found:
+
+    def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        groups: dict[int, tuple] = {}
+        sets: dict[int, dict[int, tuple[int, np.ndarray]]] = {}
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["members"] is not None:
+                    groups[row["part"]] = row["prints"], row["members"], row["lengths"]
+                else:
+                    point = np.frombuffer(row["point"], np.uint32).astype(np.int32)
+                    sets.setdefault(row["part"], {})[row["print"]] = row["n"], point
+        links: tuple[list, list] = ([], [])
+        for part, (prints, members, lengths) in groups.items():
+            joined = _join_groups(link, prints, sets.pop(part), np.frombuffer(members, np.int32), np.frombuffer(lengths, np.int32))
+            links[0].extend(prints[i] for i, _ in joined)
+            links[1].extend(prints[j] for _, j in joined)
+        yield pa.RecordBatch.from_arrays([pa.array(one, pa.int64()) for one in links], names=["a", "b"])
+
+    return candidates
+
+
+def _join_groups(link: Linking, prints: list[int], known: dict, members: np.ndarray, lengths: np.ndarray) -> list:
+    """Links found in groups of sets that share a shingle; pairs first, they need no tree."""
+    sizes = np.array([known[one][0] for one in prints], dtype=np.int64)
+    points = [known[one][1] for one in prints]
+    root = np.arange(len(prints))
+    heads = np.r_[0, np.cumsum(lengths)[:-1]].astype(np.int64)
+    joined = _join_pairs(link, sizes, points, root, [(members[h], members[h + 1]) for h in heads[lengths == 2]])
+    for h, length in zip(heads[lengths > 2], lengths[lengths > 2]):
+        group = members[h : h + length]
+        if (root[group] != root[group[0]]).any():
+            for i, j in join_trees(sizes[group], [points[i] for i in group], root[group], link, lambda i, j: True):
                 _unite(root, int(group[i]), int(group[j]), joined)
-        links[0].extend(prints[i] for i, _ in joined)
-        links[1].extend(prints[j] for _, j in joined)
-    yield pa.RecordBatch.from_arrays([pa.array(one, pa.int64()) for one in links], names=["a", "b"])
+    return joined
 
 
 def _unite(root: np.ndarray, i: int, j: int, joined: list) -> None:
@@ -273,38 +303,42 @@ def _unite(root: np.ndarray, i: int, j: int, joined: list) -> None:
         joined.append((i, j))
 
 
-def _join_pairs(sizes: np.ndarray, points: list[np.ndarray], root: np.ndarray, pairs: list) -> list:
+def _join_pairs(link: Linking, sizes: np.ndarray, points: list[np.ndarray], root: np.ndarray, pairs: list) -> list:
     """Pairs that the bound admits: trees of two points, without the tree."""
     joined: list = []
     for i, j in pairs:
         i, j = int(i), int(j)
         small, large = min(sizes[i], sizes[j]), max(sizes[i], sizes[j])
-        if root[i] != root[j] and 100 * small >= LINK_PERCENT * large:
+        if root[i] != root[j] and small >= link.least_size(large):
             bits = min(len(points[i]), len(points[j])).bit_length() - 1
             bound = np.minimum(coarser(points[i], bits), coarser(points[j], bits)).sum()
-            if bound >= least_overlap(small + large):
+            if bound >= link.least_overlap(small + large):
                 _unite(root, i, j, joined)
     return joined
 
 
-def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _verified(link: Linking):
     """Links among the sets of each cell; rows come ordered by cell."""
-    for cell in _cells(batches):
-        ids = np.array([row[0] for row in cell], dtype=np.int64)
-        sides = np.array([row[1] for row in cell])
-        sets = [one for _, one in shingle_sets(pa.array([row[2] for row in cell], pa.string()), SHINGLE_WORDS)]
-        sizes = np.array([len(one) for one in sets], dtype=np.int64)
-        points = [point_of(one, group_bits(len(one))) for one in sets]
-
-        def linked(i: int, j: int) -> bool:
-            shared = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-            return 100 * shared >= LINK_PERCENT * (len(sets[i]) + len(sets[j]) - shared)
-
-        crossing = sides if sides.min() != sides.max() else None
-        links = join_trees(sizes, points, np.arange(len(ids)), linked, crossing)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([int(ids[link[k]]) for link in links], pa.int64()) for k in (0, 1)], names=["a", "b"]
-        )
+
+    def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cell in _cells(batches):
+            ids = [row[0] for row in cell]
+            sides = np.array([row[1] for row in cell])
+            sets = [one for _, one in shingle_sets(pa.array([row[2] for row in cell], pa.string()), link.words)]
+            sizes = np.array([len(one) for one in sets], dtype=np.int64)
+            points = [point_of(one, group_bits(len(one))) for one in sets]
+
+            def linked(i: int, j: int) -> bool:
+                shared = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                return link.holds(shared, len(sets[i]) + len(sets[j]))
+
+            crossing = sides if sides.min() != sides.max() else None
+            links = join_trees(sizes, points, np.arange(len(ids)), link, linked, crossing)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([ids[pair[k]] for pair in links], pa.int64()) for k in (0, 1)], names=["a", "b"]
+            )
+
+    return verified
 
 
 def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
@@ -340,21 +374,21 @@ def _dealt_to_cells(gathered: DataFrame) -> DataFrame:
     )
 
 
-def _sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _sets(docs: DataFrame, link: Linking) -> tuple[DataFrame, DataFrame]:
     """Every document's set (doc_id, n, low, high, point), and the corpus' slots."""
-    described = durable(docs.mapInArrow(_describe, _DESCRIBED))
+    described = durable(docs.mapInArrow(_describe(link), _DESCRIBED))
     slots = described.filter(F.col("slots").isNotNull()).select("slots").mapInArrow(_slot_rows, "slot long, n long")
     return described.filter(F.col("slots").isNull()).drop("slots"), slots.groupBy("slot").agg(F.sum("n").alias("n"))
 
 
-def _candidate_links(docs: DataFrame, nodes: DataFrame, slots: DataFrame) -> DataFrame:
+def _candidate_links(docs: DataFrame, nodes: DataFrame, slots: DataFrame, link: Linking) -> DataFrame:
     """(a, b): fingerprints of sets that may be linked, enough to connect all that are."""
     spark = docs.sparkSession
     parts = partitions(spark)
     counted = np.zeros(1 << SLOT_BITS, dtype=np.int64)
     for row in slots.collect():  # a fixed number of rows
         counted[row["slot"]] = row["n"]
-    prefixes = docs.select("text").mapInArrow(_emit_prefixes(parts, counted), PACKED).repartition(parts, "part")
+    prefixes = docs.select("text").mapInArrow(_emit_prefixes(parts, counted, link), PACKED).repartition(parts, "part")
     shared = durable(
         prefixes.mapInArrow(_share, "part int, prints array<long>, members binary, lengths binary")
     )
@@ -366,10 +400,10 @@ def _candidate_links(docs: DataFrame, nodes: DataFrame, slots: DataFrame) -> Dat
         F.lit(None).cast("binary").alias("lengths"),
     )
     rows = points.unionByName(shared, allowMissingColumns=True).repartition(parts, "part")
-    return rows.mapInArrow(_candidates, "a long, b long")
+    return rows.mapInArrow(_candidates(link), "a long, b long")
 
 
-def _links(docs: DataFrame, nodes: DataFrame, candidates: DataFrame) -> DataFrame:
+def _links(docs: DataFrame, nodes: DataFrame, candidates: DataFrame, link: Linking) -> DataFrame:
     """(a, b): verified links between documents, one for each set, that connect all linked."""
     parts = partitions(docs.sparkSession)
     gatherings = components(candidates).select(F.col("node").alias("low"), F.col("component").alias("cluster"))
@@ -378,21 +412,21 @@ def _links(docs: DataFrame, nodes: DataFrame, candidates: DataFrame) -> DataFram
     placed = durable(gathered.join(durable(sizes), "cluster"))
     cells = _dealt_to_cells(docs.join(placed, "doc_id"))
     ordered = cells.repartition(parts, "cluster", "first", "second").sortWithinPartitions("cluster", "first", "second")
-    return ordered.mapInArrow(_verified, "a long, b long")
+    return ordered.mapInArrow(_verified(link), "a long, b long")
 
 
-def link_components(docs: DataFrame) -> DataFrame:
+def link_components(docs: DataFrame, link: Linking = JOIN) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs`` (doc_id, text)."""
     bounded_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sets, slots = _sets(docs)
+    sets, slots = _sets(docs, link)
     # of copies the smallest id stands for all; any of them has the set's point
     nodes = durable(
         sets.filter((F.col("n") > 0) & F.col("doc_id").isNotNull())
         .groupBy("n", "low", "high")
         .agg(F.min("doc_id").alias("doc_id"), F.first("point").alias("point"))
     )
-    linked = components(_links(docs, nodes, _candidate_links(docs, nodes, slots)))
+    linked = components(_links(docs, nodes, _candidate_links(docs, nodes, slots, link), link))
     known = durable(
         nodes.join(linked, nodes["doc_id"] == linked["node"], "left").select(
             "n", "low", "high", F.coalesce("component", nodes["doc_id"]).alias("component")
@@ -405,3 +439,17 @@ def link_components(docs: DataFrame) -> DataFrame:
         F.col("n").alias("n_shingles"),
         F.when(alone, F.col("doc_id")).otherwise(F.col("component")).alias("component_id"),
     )
+
+
+def first_of_each(docs: DataFrame, link: Linking = NEAR_DUPLICATE) -> DataFrame:
+    """The documents that are the smallest of their component, with their columns unchanged.
+
+    Of rows that share an id one stays; rows without an id all stay.
+    """
+    later = link_components(docs, link).filter(F.col("component_id") < F.col("doc_id")).select("doc_id").distinct()
+    kept = docs.join(later, "doc_id", "left_anti")
+    place = free_name(kept, "place")
+    others = [F.col(f"`{name}`") for name in kept.columns if name != "doc_id"]
+    order = Window.partitionBy("doc_id").orderBy(*others)
+    numbered = kept.withColumn(place, F.row_number().over(order))
+    return numbered.filter(F.col("doc_id").isNull() | (F.col(place) == 1)).drop(place).select(*docs.columns)

@@ -164,4 +164,8 @@ def with_quality(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] =
 def keep_good(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The documents that pass, with their columns unchanged."""
     judged, quality = with_quality(docs, text, rules)
-    return judged.filter(F.col(quality)["kept"]).drop(quality)
+    kept = free_name(judged, "kept")
+    # a generated column, as a filter on a computed one would be pushed below its
+    # computation and compute everything again inside the condition
+    once = judged.select(*judged.columns, F.explode(F.array(F.col(quality)["kept"])).alias(kept))
+    return once.filter(F.col(kept)).select(*docs.columns)
