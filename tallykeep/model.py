@@ -55,6 +55,16 @@ class SalesModel:
             return self.described
         return self.lines.join(self.tracks, "TrackId", "left")
 
+    def lines_of(self, invoices: DataFrame) -> DataFrame:
+        """Described lines of the given invoices, with the invoices' columns.
+
+        On raw tables the invoices come first: a date range or filter on them spares
+        most lines the search for their track.
+        """
+        if self.described is not None:
+            return self.described.join(invoices, "InvoiceId")
+        return self.lines.join(invoices, "InvoiceId").join(self.tracks, "TrackId", "left")
+
     def line_totals(self) -> DataFrame:
         """InvoiceId, num_lines, qty, cents over all lines of each invoice."""
         return self.lines.groupBy("InvoiceId").agg(

@@ -32,7 +32,7 @@ def window_ends(scope: Scope, date_range: DateRange | None) -> tuple[Column, Col
 
 
 def customer_bounds(scope: Scope, date_range: DateRange | None = None) -> DataFrame:
-    """One row per customer with a purchase in the window.
+    """One row per customer with a purchase in the window; without an id there is no customer.
 
     first_date, second_date, last_date and total_purchases span all purchases of the
     scope; first_in_window, second_in_window, last_in_window and num_in_window those
@@ -43,7 +43,8 @@ def customer_bounds(scope: Scope, date_range: DateRange | None = None) -> DataFr
     The day after a single-purchase day then holds the second purchase.
     """
     start, end = window_ends(scope, date_range)
-    days = scope.invoices().groupBy("CustomerId", "dt").agg(F.count(F.lit(1)).alias("n"))
+    known = scope.invoices().filter(F.col("CustomerId").isNotNull())
+    days = known.groupBy("CustomerId", "dt").agg(F.count(F.lit(1)).alias("n"))
     history = Window.partitionBy("CustomerId").orderBy("dt")
     days = days.withColumn(
         "second", F.when(F.col("n") > 1, F.col("dt")).otherwise(F.lead("dt").over(history))

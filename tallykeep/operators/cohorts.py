@@ -24,6 +24,8 @@ def _customer_months(scope: Scope, date_range: DateRange | None) -> DataFrame:
 
     The scope is stacked on the full data and both are reduced to customer months in
     one shuffle, instead of joining them; the window sees a customer's months only.
+    Purchases without a customer id belong to no cohort and are nobody's activity; only
+    their dates count, for the months the scope spans.
     """
     everything = scope.model.invoices().select("CustomerId", "dt")
     if scope.flt is None:
@@ -32,14 +34,15 @@ def _customer_months(scope: Scope, date_range: DateRange | None) -> DataFrame:
         chosen = scope.invoices().select("CustomerId", "dt", F.col("dt").alias("scope_dt"))
         stacked = everything.withColumn("scope_dt", F.lit(None).cast("date")).unionByName(chosen)
     in_range = F.lit(True) if date_range is None else within(F.col("scope_dt"), date_range)
-    active = F.col("scope_dt").isNotNull() & in_range
+    someone = F.col("CustomerId").isNotNull()
+    active = someone & F.col("scope_dt").isNotNull() & in_range
     per_month = stacked.groupBy("CustomerId", month_index(F.col("dt")).alias("month")).agg(
         F.max(F.coalesce(active, F.lit(False))).alias("active"),
         F.min("scope_dt").alias("scope_from"),
         F.max("scope_dt").alias("scope_to"),
     )
     cohort = F.min("month").over(Window.partitionBy("CustomerId"))
-    return per_month.withColumn("cohort", cohort).withColumn(
+    return per_month.withColumn("cohort", F.when(someone, cohort)).withColumn(
         "month_offset", F.col("month") - F.col("cohort")
     )
 

@@ -64,10 +64,12 @@ def customer_columns() -> list[Column]:
 def customer_kpis(scope: Scope, date_range: DateRange | None = None) -> DataFrame:
     """total_customers, pct_new_customers, on the dates as given.
 
-    New are those whose first purchase in the whole scope lies in the range.
+    New are those whose first purchase in the whole scope lies in the range. Purchases
+    without a customer id are nobody's.
     """
     active = _in_range(date_range, rounded=False)
-    per_customer = scope.invoices().groupBy("CustomerId").agg(
+    known = scope.invoices().filter(F.col("CustomerId").isNotNull())
+    per_customer = known.groupBy("CustomerId").agg(
         F.min("dt").alias("dt"), F.max(active).alias("active")
     )
     return (
@@ -87,12 +89,10 @@ def subset_metadata(scope: Scope, date_range: DateRange | None = None) -> DataFr
     are counted on that small frame.
     """
     invoices = in_months(scope.invoices_for_lines(country=True), date_range)
-    usable = scope.model.described_lines().filter(
+    usable = scope.model.lines_of(invoices).filter(
         F.col("genre").isNotNull() & F.col("artist").isNotNull()
     )
-    combinations = (
-        usable.join(invoices, "InvoiceId").select("genre", "artist", "country").distinct()
-    )
+    combinations = usable.select("genre", "artist", "country").distinct()
     names = combinations.select(F.explode(names_of("genre", "artist", "country")).alias("name"))
     known = names.filter(F.col("name.value").isNotNull()).distinct()
     return known.agg(
@@ -113,7 +113,8 @@ def core_kpis(scope: Scope, date_range: DateRange | None = None) -> DataFrame:
     """Revenue, customer and purchase block in one row from one pass.
 
     Equal to the three operators above side by side: money and orders on whole
-    months, customers on the dates as given. No row when nothing was sold.
+    months, customers on the dates as given. Purchases without a customer id count as
+    money and orders only. No row when nothing was sold.
     """
     sold = F.col("num_lines").isNotNull() & _in_range(date_range, rounded=True)
     per_customer = scope.invoices(totals=True).groupBy("CustomerId").agg(
@@ -123,9 +124,10 @@ def core_kpis(scope: Scope, date_range: DateRange | None = None) -> DataFrame:
         F.sum(F.when(sold, F.col("qty"))).alias("tracks"),
         F.sum(F.when(sold, F.col("cents"))).alias("cents"),
     )
+    someone = F.col("active") & F.col("CustomerId").isNotNull()
     totals = per_customer.agg(
-        F.count_if("active").alias("customers"),
-        F.count_if(F.col("active") & _in_range(date_range, rounded=False)).alias("new_customers"),
+        F.count_if(someone).alias("customers"),
+        F.count_if(someone & _in_range(date_range, rounded=False)).alias("new_customers"),
         F.sum("orders").alias("orders"),
         F.sum("tracks").alias("tracks"),
         total_cents(F.col("cents")).alias("cents"),

@@ -31,7 +31,8 @@ def _months_of_year(year: Column, date_range: DateRange) -> Column:
 def geo_metrics(scope: Scope, date_range: DateRange, mode: str = "yearly") -> DataFrame:
     """year, num_months, country and the KPIs; year is 'All' for the aggregate.
 
-    First-time customers bought there on their first day in the range. A customer
+    First-time customers bought there on their first day in the range. Purchases without
+    a customer id are not part of the report. A customer
     is reduced to one row per country and year; the row of their first year there
     is marked, so the totals over all years are plain sums of the yearly ones.
     """
@@ -39,7 +40,7 @@ def geo_metrics(scope: Scope, date_range: DateRange, mode: str = "yearly") -> Da
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
     sold = in_days(scope.invoices(country=True, totals=True), date_range)
     per_customer = (
-        sold.filter(F.col("num_lines").isNotNull())
+        sold.filter(F.col("num_lines").isNotNull() & F.col("CustomerId").isNotNull())
         .groupBy("CustomerId", "country", F.year("dt").alias("year"))
         .agg(
             F.count(F.lit(1)).alias("purchases"),

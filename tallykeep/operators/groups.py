@@ -30,11 +30,9 @@ def group_column(group: str) -> str:
 def grouped_lines(scope: Scope, group: str, date_range: DateRange | None) -> DataFrame:
     """One row per invoice and group: InvoiceId, CustomerId, dt, group_val, qty, cents."""
     invoices = in_months(scope.invoices_for_lines(), date_range)
-    lines = scope.model.described_lines().withColumn("group_val", F.col(group_column(group)))
+    lines = scope.model.lines_of(invoices).withColumn("group_val", F.col(group_column(group)))
     return (
         lines.filter(F.col("group_val").isNotNull())
-        .select("InvoiceId", "group_val", "qty", "cents")
-        .join(invoices, "InvoiceId")
         .groupBy("InvoiceId", "group_val")
         .agg(
             # one customer and date per invoice: kept out of the key, which is hashed per line
@@ -52,6 +50,8 @@ def group_kpis(scope: Scope, group: str, date_range: DateRange | None = None) ->
     First-time customers bought from the group on their first day in the range,
     whatever else they bought that day.
 
+    Purchases without a customer id count as purchases, tracks and revenue only.
+
     Sums shrink the facts step by step (invoice, customer, group), so no step counts
     distinct values over lines and a hot group or customer is combined before each
     shuffle. The window sees one row per customer and group.
@@ -66,9 +66,12 @@ def group_kpis(scope: Scope, group: str, date_range: DateRange | None = None) ->
         F.sum("cents").alias("cents"),
         F.min("dt").alias("first_here"),
     )
-    first_anywhere = F.min("first_here").over(Window.partitionBy("CustomerId"))
+    # the rows without an id have no order among them, so they need not meet in one task
+    apart = F.when(F.col("CustomerId").isNull(), F.col("group_val"))
+    first_anywhere = F.min("first_here").over(Window.partitionBy("CustomerId", apart))
+    first_time = F.col("CustomerId").isNotNull() & (F.col("first_here") == first_anywhere)
     return (
-        per_customer.withColumn("first_time", F.col("first_here") == first_anywhere)
+        per_customer.withColumn("first_time", first_time)
         .groupBy("group_val")
         .agg(
             F.count("CustomerId").alias("num_customers"),

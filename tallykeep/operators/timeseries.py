@@ -15,12 +15,14 @@ def monthly_summary(scope: Scope, date_range: DateRange) -> DataFrame:
     """month, num_purchases, num_customers, tracks_sold, revenue, first_time_customers.
 
     First-time customers bought in the month of their first purchase in the whole
-    scope, which may lie before the range. Customers are reduced to one row per
+    scope, which may lie before the range. Purchases without a customer id are not part
+    of the report. Customers are reduced to one row per
     month first; the window looks for the first of those rows.
     """
     sold = F.col("num_lines").isNotNull() & within(F.col("dt"), date_range)
     per_month = (
         scope.invoices(totals=True)
+        .filter(F.col("CustomerId").isNotNull())
         .groupBy("CustomerId", F.trunc("dt", "MM").alias("month"))
         .agg(
             F.count_if(sold).alias("purchases"),

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tallykeep.functions.countries import country_dimension, with_flag
 from tallykeep.functions.display import format_kpi
-from tallykeep.functions.measures import ratio
+from tallykeep.functions.measures import cents, money, ratio, total_cents
 from tallykeep.operators.groups import COUNTRY
 
 
@@ -88,9 +88,11 @@ def with_ratios(df: DataFrame, total_revenue: Column | float | None = None) -> D
     The share is taken of ``total_revenue`` (a number or a scalar subquery). Without
     one it is taken of the rows given, within each metric if there are several.
     """
-    if total_revenue is None:
-        over = Window.partitionBy(*(["metric"] if "metric" in df.columns else []))
-        whole = F.sum("revenue").over(over)
+    if total_revenue is None and "metric" in df.columns:
+        whole = F.sum("revenue").over(Window.partitionBy("metric"))
+    elif total_revenue is None:
+        # summed in every task first; a window over all rows would gather them in one
+        whole = df.agg(money(total_cents(cents(F.col("revenue")))).alias("whole")).scalar()
     else:
         whole = total_revenue if isinstance(total_revenue, Column) else F.lit(total_revenue)
     return df.withColumns(

@@ -19,14 +19,12 @@ def _customer_side(scope: Scope, name: str, date_range: DateRange) -> DataFrame:
     Lines shrink to invoices, then to one row per (year, group, customer, country).
     The window sees those rows only, in that order: the first row of a year and group
     stands for the customer when customers are counted, which leaves the country as
-    the single distinct count.
+    the single distinct count. Purchases without a customer id stand for no customer.
     """
     invoices = in_days(scope.invoices_for_lines(country=True), date_range)
-    lines = scope.model.described_lines().withColumn("group_val", F.col(name))
+    lines = scope.model.lines_of(invoices).withColumn("group_val", F.col(name))
     per_invoice = (
         lines.filter(F.col("group_val").isNotNull())
-        .select("InvoiceId", "group_val", "qty", "cents")
-        .join(invoices, "InvoiceId")
         .groupBy("InvoiceId", "country", "group_val")
         .agg(
             F.min("CustomerId").alias("CustomerId"),
@@ -40,14 +38,18 @@ def _customer_side(scope: Scope, name: str, date_range: DateRange) -> DataFrame:
         F.sum("qty").alias("qty"),
         F.sum("cents").alias("cents"),
     )
-    ordered = Window.partitionBy("CustomerId").orderBy("year", "group_val", "country")
+    # the rows without an id have no order among them, so they need not meet in one task
+    apart = F.when(F.col("CustomerId").isNull(), F.struct("year", "group_val"))
+    ordered = Window.partitionBy("CustomerId", apart).orderBy("year", "group_val", "country")
     previous = F.lag(F.struct("year", "group_val")).over(ordered)
     return (
         per_customer.withColumns(
             {"previous": previous, "first_time": F.col("year") == F.first("year").over(ordered)}
         )
         .withColumn(
-            "stands", F.coalesce(F.col("previous") != F.struct("year", "group_val"), F.lit(True))
+            "stands",
+            F.col("CustomerId").isNotNull()
+            & F.coalesce(F.col("previous") != F.struct("year", "group_val"), F.lit(True)),
         )
         .groupBy("year", "group_val")
         .agg(
