@@ -1,11 +1,16 @@
 """Country names and codes: a small dimension joined to result tables.
 
-The list itself comes from the JVM's locale data (English names, ISO codes). Only
-the spellings it does not know are written down here.
+The list (ISO codes and English names) is a file beside this module, so labels are the
+same on every cluster; other spellings are written down here.
 """
 
 from __future__ import annotations
 
+import csv
+import json
+import os
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,29 +54,32 @@ FLAG_LETTERS = "".join(chr(0x1F1E6 + i) for i in range(26))
 
 SCHEMA = "alias string, kind string, iso2 string, iso3 string, name string"
 
-_known: list[tuple[str, str, str, str, str]] = []
+LIST = os.path.join(os.path.dirname(os.path.abspath(__file__)), "countries.csv")
 
 
 def _key(text: str) -> str:
     return text.strip().upper()
 
 
-def _entries(spark: SparkSession) -> list[tuple[str, str, str, str, str]]:
-    if not _known:
-        locale = spark._jvm.java.util.Locale
-        for iso2 in locale.getISOCountries():
-            place = locale("", iso2)
-            iso3, name = place.getISO3Country(), place.getDisplayCountry(locale.ENGLISH)
-            spellings = {_key(text) for text in [name, *OTHER_SPELLINGS.get(iso2, [])]}
-            _known.extend((text, "name", iso2, iso3, name) for text in sorted(spellings))
-            _known.append((iso2, "iso2", iso2, iso3, name))
-            _known.append((iso3, "iso3", iso2, iso3, name))
-    return list(_known)
+@lru_cache(maxsize=4)
+def listed(path: str = LIST) -> tuple[tuple[str, str, str], ...]:
+    """(iso2, iso3, name) of every country, by iso2."""
+    with open(path, newline="", encoding="utf-8") as file:
+        return tuple((row["iso2"], row["iso3"], row["name"]) for row in csv.DictReader(file))
+
+
+def _entries(path: str) -> list[tuple[str, str, str, str, str]]:
+    found = []
+    for iso2, iso3, name in listed(path):
+        spellings = {_key(text) for text in [name, *OTHER_SPELLINGS.get(iso2, [])]}
+        found += [(text, "name", iso2, iso3, name) for text in sorted(spellings)]
+        found += [(iso2, "iso2", iso2, iso3, name), (iso3, "iso3", iso2, iso3, name)]
+    return found
 
 
-def country_dimension(spark: SparkSession) -> DataFrame:
+def country_dimension(spark: SparkSession, path: str = LIST) -> DataFrame:
     """alias (upper case), kind (name, iso2 or iso3), iso2, iso3, name."""
-    return spark.createDataFrame(_entries(spark), SCHEMA)
+    return spark.createDataFrame(_entries(path), SCHEMA)
 
 
 def _lookup(dimension: DataFrame, priority: list[str], prefix: str) -> DataFrame:
@@ -133,3 +141,24 @@ def with_flag(
         .withColumn(output, F.when(code.rlike("^[A-Z]{2}$"), text).otherwise(""))
         .drop("_c_alias", "_c_iso2", "_c_iso3", "_c_name")
     )
+
+
+def _constant_map(pairs: dict[str, str]) -> Column:
+    """A map as one literal, folded when the query is planned."""
+    return F.from_json(F.lit(json.dumps(pairs)), "map<string,string>")
+
+
+def country_text(value: Column, label: bool = True, label_type: str = "name", path: str = LIST) -> Column:
+    """What :func:`with_flag` adds, as an expression: for a few values, without a join."""
+    if label_type not in ("name", "iso3"):
+        raise ValueError("label_type must be 'name' or 'iso3'")
+    order = {"name": 0, "iso3": 1, "iso2": 2}
+    codes: dict[str, str] = {}
+    for alias, _, iso2, _, _ in sorted(_entries(path), key=lambda entry: order[entry[1]]):
+        codes.setdefault(alias, iso2)
+    labels = {iso2: {"name": name, "iso3": iso3}[label_type] for iso2, iso3, name in listed(path)}
+    code = F.coalesce(F.try_element_at(_constant_map(codes), F.upper(F.trim(value))), F.upper(value))
+    text = flag(code)
+    if label:
+        text = F.concat_ws(" ", text, F.coalesce(F.try_element_at(_constant_map(labels), code), F.lit("NA")))
+    return F.when(code.rlike("^[A-Z]{2}$"), text).otherwise("")

@@ -7,7 +7,9 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-KINDS = ("dollar", "percent", "number", "float")
+from tallykeep.functions.countries import country_text
+
+KINDS = ("dollar", "percent", "number", "float", "country")
 
 
 def _digits(accuracy: float) -> int:
@@ -25,12 +27,15 @@ def _signed(value: Column, body: Column) -> Column:
 
 
 def format_kpi(value: Column, kind: str = "number", accuracy: float = 0.01, prefix: str = "$") -> Column:
-    """Text of a numeric KPI; ``"NA"`` where it is missing.
+    """Text of a KPI; ``"NA"`` where a number is missing.
 
-    ``number`` drops the decimals of whole values, ``float`` always shows them.
+    ``country`` gives flag and name of a country, however it is spelled, and an empty
+    text for an unknown one. ``number`` drops the decimals of whole values, ``float`` always shows them.
     """
     if kind not in KINDS:
         raise ValueError(f"kind must be one of {KINDS}, not {kind!r}")
+    if kind == "country":
+        return country_text(value)
     x = value.cast("double")
     if kind == "dollar":
         text = _signed(x, F.concat(F.lit(prefix), _grouped(F.abs(x), accuracy)))

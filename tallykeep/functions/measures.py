@@ -6,8 +6,28 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def cents_of(amount: Column) -> Column:
-    """A double amount as whole cents; stays in generated code."""
+# A double amount of whole cents is this close to them, up to some 10 billion.
+CENT_TOLERANCE = 1e-4
+
+
+def _refuse(value: Column, what: str) -> Column:
+    return F.raise_error(F.concat(F.lit(f"{what}: not a whole number of units: "), value.cast("string")))
+
+
+def whole(value: Column, name: str) -> Column:
+    """A whole number as BIGINT; a fraction is an error, as sums would silently differ."""
+    return F.when(value.isNull() | (value % 1 == 0), value.cast("bigint")).otherwise(_refuse(value, name))
+
+
+def cents_of(amount: Column, name: str) -> Column:
+    """A double amount as whole cents; a fraction of a cent is an error."""
+    cents = F.rint(amount * 100)
+    exact = amount.isNull() | (F.abs(amount * 100 - cents) < CENT_TOLERANCE)
+    return F.when(exact, cents.cast("bigint")).otherwise(_refuse(amount, name))
+
+
+def cents(amount: Column) -> Column:
+    """Money that was whole cents before, as cents again."""
     return F.rint(amount * 100).cast("bigint")
 
 

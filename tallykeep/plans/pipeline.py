@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallykeep.functions.dates import DateRange
+from tallykeep.functions.display import format_kpi
 from tallykeep.operators.behaviour import beside, retention_kpis
 from tallykeep.operators.catalog import catalog_sales, enrich_with_catalog
 from tallykeep.operators.core import core_kpis, subset_metadata
@@ -21,12 +22,14 @@ from tallykeep.operators.topn import METRICS, Metric, format_top_groups, top_gro
 class SharedKpis:
     """``core`` and ``metadata`` hold one row, ``topn`` one long frame per group.
 
-    All are empty, or zero for metadata, when the scope sold nothing in the range.
+    ``num_vals`` is (group, num_vals): the number of genres, artists and countries sold,
+    as text. All are empty, or zero for metadata, when the scope sold nothing in the range.
     """
 
     core: DataFrame
     metadata: DataFrame
     topn: dict[str, DataFrame]
+    num_vals: DataFrame
     retention: DataFrame
 
     def one_row(self) -> DataFrame:
@@ -42,6 +45,15 @@ def full_group_table(scope: Scope, group: str, date_range: DateRange | None) ->
     return table
 
 
+def possible_values(metadata: DataFrame) -> DataFrame:
+    """(group, num_vals) from :func:`subset_metadata`: a display text per dimension."""
+    rows = [
+        F.struct(F.lit(group).alias("group"), format_kpi(F.col(f"num_{group.lower()}")).alias("num_vals"))
+        for group in GROUPS
+    ]
+    return metadata.select(F.explode(F.array(*rows)).alias("row")).select("row.*")
+
+
 def shared_kpis(
     scope: Scope,
     cohorts: DataFrame,
@@ -50,16 +62,19 @@ def shared_kpis(
     top_n: int = 5,
     offsets: Sequence[int] = (3, 6, 9),
 ) -> SharedKpis:
-    """Lazy frames of every KPI block. Pass a staged scope: it is read many times."""
+    """Lazy frames of every KPI block. A staged or persisted scope is read many times
+    but computed once."""
     core = core_kpis(scope, date_range)
     revenue = core.select("total_revenue")
     topn = {}
     for group in GROUPS:
         best = top_groups_by_metric(full_group_table(scope, group, date_range), metrics, top_n)
         topn[group] = format_top_groups(best, group, revenue.scalar())
+    metadata = subset_metadata(scope, date_range)
     return SharedKpis(
         core=core,
-        metadata=subset_metadata(scope, date_range),
+        metadata=metadata,
         topn=topn,
+        num_vals=possible_values(metadata),
         retention=retention_kpis(scope, date_range, cohorts, offsets),
     )

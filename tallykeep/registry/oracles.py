@@ -6,7 +6,8 @@ that agreement is evidence: nothing here follows the shape of the Spark plans.
 
 from __future__ import annotations
 
-from tallykeep.registry.queries import COMBINED, EMPTY, LONG, MID_MONTH, NATION_CODES, YEAR
+from tallykeep.functions.countries import listed
+from tallykeep.registry.queries import COMBINED, COUNTRY_STEP, EMPTY, LONG, MID_MONTH, NATION_CODES, YEAR
 
 ALL = "all_invoices"
 SET = "chosen"
@@ -139,7 +140,7 @@ def _groups_cte(tbl: str, column: str, dates) -> str:
              CAST(SUM(b.amount) AS DOUBLE) AS revenue,
              COUNT(DISTINCT CASE WHEN b.dt = f.first_dt THEN b.CustomerId END) AS first_time_customers
       FROM base b
-      JOIN (SELECT CustomerId, MIN(dt) AS first_dt FROM base GROUP BY CustomerId) f
+      LEFT JOIN (SELECT CustomerId, MIN(dt) AS first_dt FROM base GROUP BY CustomerId) f
         ON f.CustomerId = b.CustomerId
       GROUP BY b.group_val)"""
 
@@ -271,7 +272,7 @@ _LABELLED = f"CASE WHEN c.iso2 IS NULL THEN '' ELSE {_FLAG} || ' ' || c.label EN
 def _top_display_country() -> str:
     return _with(
         f"""SELECT t.*, {_formatted(_RATIO_KINDS)}, {_LABELLED} AS group_label
-            FROM (SELECT *, {_with_ratios('SUM(revenue) OVER ()')}
+            FROM (SELECT *, {_with_ratios('CAST(SUM(CAST(revenue AS DECIMAL(28,2))) OVER () AS DOUBLE)')}
                   FROM (SELECT * FROM group_table ORDER BY revenue DESC, group_val LIMIT 5)) t
             LEFT JOIN codes c ON c.name = t.group_val""",
         _groups_cte(SET, "e.country", YEAR),
@@ -363,6 +364,15 @@ def _countries() -> str:
     )
 
 
+def _country_names() -> str:
+    entries = [
+        (key, iso2, iso3, name.replace("'", "''")) for key, (iso2, iso3, name) in enumerate(listed()[::COUNTRY_STEP])
+    ]
+    values = ", ".join(f"({key}, '{iso2}', '{iso3}', '{name}')" for key, iso2, iso3, name in entries)
+    return f"""SELECT n_name, c.label AS country, c.iso3 AS iso3, {_FLAG} AS flag, {_FLAG} || ' ' || c.label AS labelled
+      FROM nation LEFT JOIN (VALUES {values}) AS c(place, iso2, iso3, label) ON c.place = n_nationkey"""
+
+
 def _yearly_cte(name: str, dates) -> str:
     return f"""year_base AS (
       SELECT e.CustomerId, e.InvoiceId, e.dt, e.country, s.TrackId, s.qty, s.amount, s.{name} AS {name}
@@ -377,9 +387,9 @@ def _yearly_cte(name: str, dates) -> str:
              COUNT(DISTINCT CASE WHEN year(b.dt) = year(t.first_dt) THEN b.TrackId END) AS first_tracks_sold,
              MAX(c.num_tracks) AS catalog_size
       FROM year_base b
-      JOIN (SELECT CustomerId, MIN(dt) AS first_dt FROM year_base GROUP BY CustomerId) f
+      LEFT JOIN (SELECT CustomerId, MIN(dt) AS first_dt FROM year_base GROUP BY CustomerId) f
         ON f.CustomerId = b.CustomerId
-      JOIN (SELECT TrackId, MIN(dt) AS first_dt FROM year_base GROUP BY TrackId) t ON t.TrackId = b.TrackId
+      LEFT JOIN (SELECT TrackId, MIN(dt) AS first_dt FROM year_base GROUP BY TrackId) t ON t.TrackId = b.TrackId
       LEFT JOIN ({_catalog(name)}) c ON c.{name} = b.{name}
       GROUP BY 1, 2)"""
 
@@ -422,7 +432,7 @@ def _activity_ctes(tbl: str, dates, max_offset=None) -> tuple[str, str]:
     return (
         """cohort_of AS (
           SELECT CustomerId, CAST(date_trunc('month', MIN(dt)) AS DATE) AS cohort_month
-          FROM all_invoices GROUP BY CustomerId)""",
+          FROM all_invoices WHERE CustomerId IS NOT NULL GROUP BY CustomerId)""",
         f"""activity AS (
           SELECT e.CustomerId, c.cohort_month, {offset} AS month_offset
           FROM {tbl} e JOIN cohort_of c ON c.CustomerId = e.CustomerId
@@ -479,27 +489,23 @@ def _ends(tbl: str, dates) -> tuple[str, str]:
 
 
 def _bounds_ctes(tbl: str, dates) -> tuple[str, ...]:
+    """Every value read off a customer's dates in order (0-based undefined ones are NULL)."""
     start, end = _ends(tbl, dates)
     return (
-        f"""history AS (
-          SELECT CustomerId, dt, ROW_NUMBER() OVER (PARTITION BY CustomerId ORDER BY dt, InvoiceId) AS place
-          FROM {tbl})""",
-        f"""inside AS (
-          SELECT CustomerId, dt, ROW_NUMBER() OVER (PARTITION BY CustomerId ORDER BY dt, InvoiceId) AS place
-          FROM {tbl} WHERE dt BETWEEN {start} AND {end})""",
-        f"""bounds AS (
-          SELECT h.CustomerId, h.first_date, h.second_date, h.last_date, h.total_purchases,
-                 w.first_in_window, w.second_in_window, w.last_in_window, w.num_in_window,
-                 h.last_before_window, h.first_after_window
-          FROM (SELECT CustomerId, MAX(dt) FILTER (WHERE place = 1) AS first_date,
-                       MAX(dt) FILTER (WHERE place = 2) AS second_date, MAX(dt) AS last_date,
-                       COUNT(*) AS total_purchases, MAX(dt) FILTER (WHERE dt < {start}) AS last_before_window,
-                       MIN(dt) FILTER (WHERE dt > {end}) AS first_after_window
-                FROM history GROUP BY CustomerId) h
-          JOIN (SELECT CustomerId, MAX(dt) FILTER (WHERE place = 1) AS first_in_window,
-                       MAX(dt) FILTER (WHERE place = 2) AS second_in_window, MAX(dt) AS last_in_window,
-                       COUNT(*) AS num_in_window
-                FROM inside GROUP BY CustomerId) w USING (CustomerId))""",
+        f"""dated AS (
+          SELECT CustomerId, list(dt ORDER BY dt NULLS LAST) AS every, {start} AS low, {end} AS high
+          FROM {tbl} WHERE CustomerId IS NOT NULL GROUP BY CustomerId)""",
+        """parted AS (
+          SELECT CustomerId, every, list_filter(every, lambda d: d < low) AS earlier,
+                 list_filter(every, lambda d: d >= low AND d <= high) AS within,
+                 list_filter(every, lambda d: d > high) AS later
+          FROM dated)""",
+        """bounds AS (
+          SELECT CustomerId, every[1] AS first_date, every[2] AS second_date, list_max(every) AS last_date,
+                 len(every) AS total_purchases, within[1] AS first_in_window, within[2] AS second_in_window,
+                 within[-1] AS last_in_window, len(within) AS num_in_window, earlier[-1] AS last_before_window,
+                 later[1] AS first_after_window
+          FROM parted WHERE len(within) > 0)""",
     )
 
 
@@ -609,7 +615,7 @@ def _best_cte(offsets) -> str:
     return f"best AS (SELECT {', '.join(columns)})"
 
 
-def _card(tbl: str, dates) -> str:
+def _card(tbl: str, dates, **chosen) -> str:
     texts = ", ".join(f"{_text(name, kind)} AS {name}" for name, kind in _SUMMARY_KINDS.items())
     return _with(
         f"SELECT {texts}, best.* FROM summary, best",
@@ -617,6 +623,7 @@ def _card(tbl: str, dates) -> str:
         _SUMMARY,
         *_matrix_ctes(tbl, dates),
         _best_cte((3, 6, 9)),
+        **chosen,
     )
 
 
@@ -641,6 +648,32 @@ def _shared(dates, **chosen) -> str:
     )
 
 
+def _shared_top_country(dates, **chosen) -> str:
+    """The test nations have no code, so every label is empty."""
+    return _with(
+        f"""SELECT *, {_formatted(_RATIO_KINDS)}, '' AS group_label
+            FROM (SELECT *, {_with_ratios('(SELECT total_revenue FROM revenue)')} FROM ranked)""",
+        _groups_cte(SET, "e.country", dates),
+        _revenue_cte(SET, dates),
+        _ranked_cte("group_table"),
+        **chosen,
+    )
+
+
+def _num_vals(dates, **chosen) -> str:
+    counted = ", ".join(
+        f"({kind!r}, (SELECT {_text(f'COUNT(DISTINCT {column})', 'number')} FROM sold))"
+        for kind, column in (("Genre", "genre"), ("Artist", "artist"), ("BillingCountry", "country"))
+    )
+    return _with(
+        f'SELECT * FROM (VALUES {counted}) AS t("group", num_vals)',
+        f"""sold AS (
+          SELECT s.genre, s.artist, e.country FROM {SET} e JOIN sales s ON s.InvoiceId = e.InvoiceId
+          WHERE s.genre IS NOT NULL AND s.artist IS NOT NULL AND {_months('e.dt', dates)})""",
+        **chosen,
+    )
+
+
 def _filter_meta() -> str:
     return _with(
         """SELECT 'min_date' AS kind, CAST(MIN(dt) AS VARCHAR) AS value FROM all_invoices
@@ -671,10 +704,9 @@ def _dataset() -> str:
 
 def _insight_values(tbl: str, dates) -> list[tuple[str, str, str]]:
     def leader(column: str, place: int) -> str:
-        known = "TRUE" if column == "e.country" else f"{column} IS NOT NULL"
         return f"""(SELECT name || ' (' || {_text('revenue', 'dollar')} || ')' FROM (
             SELECT {column} AS name, SUM(s.amount) AS revenue FROM {tbl} e
-            JOIN sales s ON s.InvoiceId = e.InvoiceId WHERE {known} AND {_months('e.dt', dates)}
+            JOIN sales s ON s.InvoiceId = e.InvoiceId WHERE {column} IS NOT NULL AND {_months('e.dt', dates)}
             GROUP BY {column} ORDER BY revenue DESC, name LIMIT 1 OFFSET {place - 1}))"""
 
     def single(column: str, table: str, kind: str) -> str:
@@ -773,6 +805,7 @@ def oracle_sql() -> dict[str, str]:
         "geo_one_year": _geo("geo_yearly", MID_MONTH, MID_MONTHS, **ARTISTS),
         "geo_frames": _geo_frames(),
         "country_enriched": _countries(),
+        "country_names": _country_names(),
         "group_yearly_genre": _yearly("genre", LONG),
         "group_yearly_artist": _yearly("artist", LONG),
         "group_yearly_genre_filtered": _yearly("genre", MID_MONTH, **ARTISTS),
@@ -793,7 +826,11 @@ def oracle_sql() -> dict[str, str]:
         "retention_kpis_empty": _card(SET, EMPTY),
         "top_cohorts": _best(ALL, LONG),
         "shared_kpis": _shared(YEAR, **GENRES),
+        "shared_kpis_topn_genre": _top_display("genre", YEAR, **GENRES),
         "shared_kpis_topn_artist": _top_display("artist", YEAR, **GENRES),
+        "shared_kpis_topn_country": _shared_top_country(YEAR, **GENRES),
+        "shared_kpis_num_vals": _num_vals(YEAR, **GENRES),
+        "shared_kpis_retention": _card(SET, YEAR, **GENRES),
         "filter_meta": _filter_meta(),
         "dataset_overview": _dataset(),
         "insights_comparison": _insights(YEAR, **GENRES),

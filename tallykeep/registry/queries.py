@@ -7,7 +7,8 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallykeep.functions.countries import SCHEMA, with_flag, with_iso3
+from tallykeep.functions.countries import SCHEMA, country_dimension, listed, with_flag, with_iso3
+from tallykeep.functions.display import format_kpi
 from tallykeep.model import SalesModel
 from tallykeep.operators import behaviour, catalog, cohorts, core, geo, groups, timeseries, topn, yearly
 from tallykeep.operators.filters import SalesFilter
@@ -45,16 +46,8 @@ def _query(function: Query) -> Query:
     return function
 
 
-_MODELS: dict[tuple[int, str], SalesModel] = {}
-
-
 def _model(spark: SparkSession, folder: str) -> SalesModel:
-    """The model of a folder, defined once per session. It holds plans, no data."""
-    key = (id(spark), folder)
-    known = _MODELS.get(key)
-    if known is None or known.spark is not spark:
-        known = _MODELS[key] = read_star(spark, folder)
-    return known
+    return read_star(spark, folder)
 
 
 def _everything(spark: SparkSession, folder: str) -> Scope:
@@ -308,6 +301,21 @@ def country_enriched(spark, folder):
     return with_flag(flagged, "group_val", known, "labelled", label=True)
 
 
+# Nations take the names of listed countries so many places apart.
+COUNTRY_STEP = 9
+
+
+@_query
+def country_names(spark, folder):
+    """Codes and flags from the whole country list, for nations under listed names."""
+    names = [name for _, _, name in listed()][::COUNTRY_STEP]
+    spelled = F.get(F.array(*[F.lit(name) for name in names]), F.col("n_nationkey"))
+    table = spark.read.parquet(f"{folder}/nation.parquet").select("n_name", spelled.alias("country"))
+    known = country_dimension(spark)
+    flagged = with_flag(with_iso3(table, "country", known), "country", known, "flag")
+    return flagged.withColumn("labelled", format_kpi(F.col("country"), "country"))
+
+
 @_query
 def group_yearly_genre(spark, folder):
     return yearly.yearly_summary(_set(spark, folder), GENRE, LONG)
@@ -423,17 +431,40 @@ def top_cohorts(spark, folder):
 # Reports
 
 
+def _shared(spark: SparkSession, folder: str) -> pipeline.SharedKpis:
+    """The blocks of one filtered scope. Building them runs no job and stores nothing."""
+    scope = _set(spark, folder, BY_GENRE)
+    return pipeline.shared_kpis(scope, cohorts.cohort_retention(scope, YEAR), YEAR)
+
+
 @_query
 def shared_kpis(spark, folder):
-    scope = _set(spark, folder, BY_GENRE).stage()
-    return pipeline.shared_kpis(scope, cohorts.cohort_retention(scope, YEAR), YEAR).one_row()
+    return _shared(spark, folder).one_row()
+
+
+@_query
+def shared_kpis_topn_genre(spark, folder):
+    return _shared(spark, folder).topn[GENRE]
 
 
 @_query
 def shared_kpis_topn_artist(spark, folder):
-    scope = _set(spark, folder, BY_GENRE).stage()
-    kpis = pipeline.shared_kpis(scope, cohorts.cohort_retention(scope, YEAR), YEAR)
-    return kpis.topn[ARTIST]
+    return _shared(spark, folder).topn[ARTIST]
+
+
+@_query
+def shared_kpis_topn_country(spark, folder):
+    return _shared(spark, folder).topn[COUNTRY]
+
+
+@_query
+def shared_kpis_num_vals(spark, folder):
+    return _shared(spark, folder).num_vals
+
+
+@_query
+def shared_kpis_retention(spark, folder):
+    return _shared(spark, folder).retention
 
 
 @_query
@@ -449,8 +480,7 @@ def dataset_overview(spark, folder):
 @_query
 def insights_comparison(spark, folder):
     model = _model(spark, folder)
-    chosen = working_set(model, BY_GENRE).stage()
-    return insights.compare(all_invoices(model), chosen, YEAR)
+    return insights.compare(all_invoices(model), working_set(model, BY_GENRE), YEAR)
 
 
 def queries() -> dict[str, Query]:

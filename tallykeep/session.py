@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -13,22 +12,12 @@ MEGABYTE = 1024 * 1024
 # Stored bytes behind one shuffle partition. Only the columns in use are shuffled, a
 # fraction of that; AQE merges what still turns out small.
 BYTES_PER_SHUFFLE_PARTITION = 512 * MEGABYTE
-# Beyond these, blocks (scan tasks x shuffle partitions) cost more than larger tasks do.
-MOST_SHUFFLE_PARTITIONS = 32_768
-MOST_SCAN_TASKS = 100_000
-SMALLEST_SPLIT, LARGEST_SPLIT = 128 * MEGABYTE, 1024 * MEGABYTE
 
 _INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-_SPLIT_BYTES = "spark.sql.files.maxPartitionBytes"
-
-_SETTINGS = {
-    # Lets AQE split a hot join key even where an aggregation on the same key
-    # follows the join; without it the skewed partition would stay in one task.
-    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # Joins invoices to lines without sorting the lines, once every partition of the
-    # invoices has been measured to be no larger than this.
-    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
-}
+_HASH_JOIN_BYTES = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
+# Lets AQE split a hot join key even where an aggregation on the same key follows the
+# join; without it the skewed partition would stay in one task.
+_SPLIT_SKEWED = "spark.sql.adaptive.forceOptimizeSkewedJoin"
 
 
 def _set(spark: SparkSession, key: str, value: str) -> None:
@@ -39,20 +28,32 @@ def _set(spark: SparkSession, key: str, value: str) -> None:
         spark.conf.set(mark, value)
 
 
-def tune(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
+def _raise_to(spark: SparkSession, key: str, value: int) -> None:
+    """Like :func:`_set`, but never below what was set here for an earlier model."""
+    _set(spark, key, str(max(value, int(spark.conf.get(f"spark.tallykeep.{key.removeprefix('spark.')}", "0")))))
+
+
+def tune(
+    spark: SparkSession,
+    input_bytes: int | None = None,
+    bytes_per_partition: int = BYTES_PER_SHUFFLE_PARTITION,
+    hash_join_bytes: int | None = None,
+) -> SparkSession:
     """Apply the runtime settings, leaving alone whatever the user has set.
 
-    With ``input_bytes``, shuffle partitions and scan splits grow with the data. Both
-    are only ever raised: small inputs keep the session's values.
+    With ``input_bytes``, the number of shuffle partitions grows with the data, without
+    a limit. Settings act when a query runs, so they are only ever raised: reading a
+    small model leaves a large one, read before, with the partitions it needs.
+
+    ``hash_join_bytes`` lets AQE hash-join where every partition of one side is measured
+    to be no larger; by default that is left to Spark.
     """
-    for key, value in _SETTINGS.items():
-        _set(spark, key, value)
+    _set(spark, _SPLIT_SKEWED, "true")
+    if hash_join_bytes is not None:
+        _set(spark, _HASH_JOIN_BYTES, str(hash_join_bytes))
     if input_bytes is not None:
         base = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        wanted = math.ceil(input_bytes / BYTES_PER_SHUFFLE_PARTITION)
-        _set(spark, _INITIAL_PARTITIONS, str(max(base, min(wanted, MOST_SHUFFLE_PARTITIONS))))
-        split = math.ceil(input_bytes / MOST_SCAN_TASKS)
-        _set(spark, _SPLIT_BYTES, str(max(SMALLEST_SPLIT, min(split, LARGEST_SPLIT))))
+        _raise_to(spark, _INITIAL_PARTITIONS, max(base, math.ceil(input_bytes / bytes_per_partition)))
     return spark
 
 
@@ -75,21 +76,9 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     file_system.delete(hadoop_path, True)
 
 
-_local_roots: dict[str, str] = {}
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder below the cluster's ``spark.checkpoint.dir``.
-
-    Only a local session without that setting (a test) gets a temporary folder; a
-    cluster session has to name a folder that every executor can reach.
-    """
+    """A new folder below ``spark.checkpoint.dir``, which all executors have to reach."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        application = spark.sparkContext.applicationId
-        if application not in _local_roots:
-            _local_roots[application] = tempfile.mkdtemp(prefix="tallykeep-")
-        root = _local_roots[application]
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     return f"{root.rstrip('/')}/tallykeep-{uuid.uuid4().hex}"

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallykeep.functions.measures import cents_of, whole
 from tallykeep.model import SalesModel
 
 
@@ -23,19 +24,23 @@ def native_model(
     artist: DataFrame,
     genre: DataFrame,
 ) -> SalesModel:
-    """A track without a genre or without an artist keeps NULL for the missing one."""
+    """A track without a genre or without an artist keeps NULL for the missing one.
+
+    Fractional quantities and unit prices with fractions of a cent are refused when read.
+    """
     billed = invoice.select(
         F.col("InvoiceId").cast("bigint"),
         F.col("CustomerId").cast("bigint"),
         F.col("InvoiceDate").cast("date").alias("dt"),
         F.col("BillingCountry").alias("country"),
     )
-    amount = F.col("UnitPrice").cast("decimal(10,2)") * F.col("Quantity").cast("bigint")
+    quantity = whole(F.col("Quantity"), "Quantity")
+    price = cents_of(F.col("UnitPrice").cast("double"), "UnitPrice")
     lines = invoice_line.select(
         F.col("InvoiceId").cast("bigint"),
         F.col("TrackId").cast("bigint"),
-        F.col("Quantity").cast("bigint").alias("qty"),
-        (amount * 100).cast("bigint").alias("cents"),
+        quantity.alias("qty"),
+        (price * quantity).alias("cents"),
     )
     genre_names = genre.select("GenreId", F.col("Name").alias("genre"))
     artist_names = artist.select("ArtistId", F.col("Name").alias("artist"))

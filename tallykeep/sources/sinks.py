@@ -1,8 +1,37 @@
-"""Result sinks: CSV export and temporary views."""
+"""Result sinks: ordered reports, CSV export and temporary views."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# The columns each report is sorted by. Operators leave their rows unsorted; only what
+# leaves the engine is put in order, missing values last.
+ORDER = {
+    "monthly": ("month",),
+    "geo": ("year", "country"),
+    "groups": ("group_val",),
+    "yearly_genre": ("year", "genre"),
+    "yearly_artist": ("year", "artist"),
+    "cohorts": ("cohort_month", "month_offset"),
+    "decay": ("month_offset",),
+    "choices": ("kind", "value"),
+    "top": ("metric", "rank"),
+    "bars": ("-total_metric", "year", "genre", "artist"),
+}
+
+# The reports offered as files.
+EXPORTS = ("monthly", "geo", "yearly_genre", "yearly_artist", "cohorts", "decay")
+
+
+def ordered(df: DataFrame, report: str) -> DataFrame:
+    """The rows of a report in its documented order; a leading minus sorts downwards."""
+    keys = []
+    for name in ORDER[report]:
+        if name.lstrip("-") in df.columns:
+            column = F.col(name.lstrip("-"))
+            keys.append(column.desc_nulls_last() if name.startswith("-") else column.asc_nulls_last())
+    return df.orderBy(*keys)
 
 
 def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
@@ -14,6 +43,15 @@ def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     out.write.mode("overwrite").option("header", True).csv(path)
 
 
+def export_report(df: DataFrame, report: str, folder: str) -> str:
+    """Write one of ``EXPORTS`` as a sorted CSV file in ``<folder>/<report>``; returns that path."""
+    if report not in EXPORTS:
+        raise ValueError(f"report must be one of {EXPORTS}, not {report!r}")
+    path = f"{folder.rstrip('/')}/{report}"
+    export_csv(ordered(df, report), path, single_file=True)
+    return path
+
+
 def publish_view(df: DataFrame, name: str) -> None:
     """Make a frame queryable by name, replacing an earlier one."""
     df.createOrReplaceTempView(name)

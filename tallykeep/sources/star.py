@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallykeep.functions.measures import cents_of
+from tallykeep.functions.measures import cents_of, whole
 from tallykeep.model import SalesModel
 from tallykeep.session import stored_bytes, tune
 
@@ -31,6 +31,7 @@ def star_model(
 
     The billing country is the nation of the ordering customer, NULL when the
     customer is unknown. A part counts as a track when it has a type and a brand.
+    Fractional quantities and fractions of a cent are refused when they are read.
     """
     headers = orders.select(
         F.col("o_orderkey").alias("InvoiceId"),
@@ -43,8 +44,8 @@ def star_model(
     lines = lineitem.select(
         F.col("l_orderkey").alias("InvoiceId"),
         F.col("l_partkey").alias("TrackId"),
-        F.col("l_quantity").cast("bigint").alias("qty"),
-        cents_of(F.col("l_extendedprice")).alias("cents"),
+        whole(F.col("l_quantity"), "l_quantity").alias("qty"),
+        cents_of(F.col("l_extendedprice"), "l_extendedprice").alias("cents"),
     )
     tracks = part.filter(F.col("p_type").isNotNull() & F.col("p_brand").isNotNull()).select(
         F.col("p_partkey").alias("TrackId"),

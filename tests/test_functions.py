@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from store import dicts, keyed, only
 from tallykeep.functions import dates
-from tallykeep.functions.countries import country_dimension, with_flag, with_iso3
+from tallykeep.functions.countries import country_dimension, country_text, with_flag, with_iso3
 from tallykeep.functions.display import format_kpi, month_label
-from tallykeep.functions.measures import cents_of, money, ratio
+from tallykeep.functions.measures import cents_of, money, ratio, whole
 
 
 @pytest.mark.parametrize(
@@ -45,7 +45,7 @@ def test_format_kpi_options(spark):
     )
     assert shown == {"euro": "€1,234.57", "tenth": "1,234.6", "whole": "1,235"}
     with pytest.raises(ValueError):
-        format_kpi(F.col("x"), "country")
+        format_kpi(F.col("x"), "euro")
 
 
 def test_date_ranges():
@@ -82,8 +82,8 @@ def test_measures(spark):
     frame = spark.createDataFrame([(19.99, 0), (0.29, 4)], "x double, n int")
     rows = dicts(
         frame.select(
-            cents_of(F.col("x")).alias("cents"),
-            money(cents_of(F.col("x"))).alias("back"),
+            cents_of(F.col("x"), "x").alias("cents"),
+            money(cents_of(F.col("x"), "x")).alias("back"),
             ratio(F.col("x"), F.col("n")).alias("ratio"),
         )
     )
@@ -92,6 +92,19 @@ def test_measures(spark):
     assert rows[0]["ratio"] is None
 
 
+@pytest.mark.parametrize("value, read", [(2.7, whole), (0.5, whole), (0.999, cents_of), (1234.5678, cents_of)])
+def test_fractions_are_refused(spark, value, read):
+    frame = spark.createDataFrame([(value,)], "x double")
+    with pytest.raises(Exception, match="not a whole number of units"):
+        frame.select(read(F.col("x"), "x")).collect()
+
+
+def test_whole_numbers_pass(spark):
+    frame = spark.createDataFrame([(3.0, 1e9 + 0.99), (None, None)], "q double, x double")
+    rows = dicts(frame.select(whole(F.col("q"), "q").alias("q"), cents_of(F.col("x"), "x").alias("x")))
+    assert [tuple(row.values()) for row in rows] == [(3, 100_000_000_099), (None, None)]
+
+
 COUNTRIES = {
     # input: (iso3, flag, labelled by name, labelled by iso3)
     "United States": ("USA", "🇺🇸", "🇺🇸 United States", "🇺🇸 USA"),
@@ -115,10 +128,15 @@ def test_countries(spark):
     frame = with_flag(frame, "place", known)
     frame = with_flag(frame, "place", known, "named", label=True)
     frame = with_flag(frame, "place", known, "coded", label=True, label_type="iso3")
+    frame = frame.withColumn("shown", format_kpi(F.col("place"), "country"))
+    frame = frame.withColumn("bare", country_text(F.col("place"), label=False))
+    frame = frame.withColumn("short", country_text(F.col("place"), label_type="iso3"))
     rows = keyed(frame, "place")
     assert {
         place: (row["iso3"], row["flag"], row["named"], row["coded"]) for place, row in rows.items()
     } == COUNTRIES
+    for row in rows.values():
+        assert (row["bare"], row["shown"], row["short"]) == (row["flag"], row["named"], row["coded"])
     with pytest.raises(ValueError):
         with_flag(frame, "place", known, label_type="iso2")
 

@@ -8,10 +8,10 @@ import pytest
 
 from store import dicts, keyed, only, store
 from tallykeep import session
-from tallykeep.operators import cohorts, core, groups, timeseries, yearly
+from tallykeep.operators import cohorts, core, geo, groups, timeseries, yearly
 from tallykeep.operators.filters import SalesFilter
 from tallykeep.operators.scope import all_invoices, working_set
-from tallykeep.plans import insights, pipeline
+from tallykeep.plans import insights, metadata, pipeline
 from tallykeep.sources import layout, native, sinks
 
 INVOICES = [
@@ -35,7 +35,7 @@ def shared(scope, window, **options):
 
 
 def test_shared_kpis(model):
-    scope = working_set(model, SalesFilter(country=["USA", "Peru"])).stage()
+    scope = working_set(model, SalesFilter(country=["USA", "Peru"]))
     kpis = shared(scope, YEAR, top_n=1)
     row = only(kpis.one_row())
     assert row["total_revenue"] == pytest.approx(9 * 0.99)
@@ -47,6 +47,7 @@ def test_shared_kpis(model):
     assert (country["group_val"], country["group_label"]) == ("Peru", "🇵🇪 Peru")
     assert "pct_catalog_sold" not in country
     assert only(kpis.retention)["top_cohort_month_3"] == "Jan 2020"
+    assert {row["group"]: row["num_vals"] for row in dicts(kpis.num_vals)} == {"Genre": "2", "Artist": "3", "BillingCountry": "2"}
     assert timeseries.overview(kpis.core, YEAR).collect()[0]["avg_rev"] == "$0.74"
 
 
@@ -58,13 +59,13 @@ def test_shared_kpis_without_sales(model):
 
 
 def test_insights(model):
-    chosen = working_set(model, SalesFilter(country="Peru")).stage()
+    chosen = working_set(model, SalesFilter(country="Peru"))
     rows = keyed(insights.compare(all_invoices(model), chosen, YEAR), "kpi")
     assert {kpi: (row["overall"], row["filtered"]) for kpi, row in rows.items()} == {
         "Total Revenue": ("$17.82", "$4.95"),
-        "Top Market 1": ("Chile ($8.91)", "Peru ($4.95)"),
-        "Top Market 2": ("Peru ($4.95)", None),
-        "Top Market 3": ("USA ($3.96)", None),
+        "Top Market 1": ("🇨🇱 Chile ($8.91)", "🇵🇪 Peru ($4.95)"),
+        "Top Market 2": ("🇵🇪 Peru ($4.95)", None),
+        "Top Market 3": ("🇺🇸 United States ($3.96)", None),
         "Top Genre": ("Jazz ($13.86)", "Jazz ($3.96)"),
         "Top Artist": ("Bob ($13.86)", "Bob ($3.96)"),
         "Total Orders": ("5", "2"),
@@ -79,16 +80,46 @@ def test_insights(model):
     }
 
 
-def test_csv_export(model, tmp_path):
-    table = timeseries.monthly_summary(working_set(model), YEAR).orderBy("month")
-    path = str(tmp_path / "monthly")
+REPORTS = {
+    "monthly": (lambda scope: timeseries.monthly_summary(scope, YEAR), ["month"]),
+    "geo": (lambda scope: geo.geo_metrics(scope, YEAR, "both"), ["year", "country"]),
+    "groups": (lambda scope: groups.group_kpis(scope, "Artist", YEAR), ["group_val"]),
+    "yearly_genre": (lambda scope: yearly.yearly_summary(scope, "Genre", YEAR), ["year", "genre"]),
+    "yearly_artist": (lambda scope: yearly.yearly_summary(scope, "Artist", YEAR), ["year", "artist"]),
+    "cohorts": (lambda scope: cohorts.cohort_retention(scope, YEAR, 12), ["cohort_month", "month_offset"]),
+    "decay": (lambda scope: cohorts.retention_decay(scope, YEAR, 12), ["month_offset"]),
+    "choices": (lambda scope: metadata.filter_choices(scope.model), ["kind", "value"]),
+}
+
+
+@pytest.mark.parametrize("report", REPORTS)
+def test_reports_are_ordered_where_they_leave(model, report):
+    build, keys = REPORTS[report]
+    table = build(working_set(model))
+    rows = [tuple(row[key] for key in keys) for row in sinks.ordered(table.repartition(5), report).collect()]
+    assert len(rows) > 1 and rows == sorted(rows)
+
+
+def test_bars_are_ordered_by_total(model):
+    bars = yearly.top_group_bars(yearly.yearly_summary(working_set(model), "Artist", YEAR), "Artist", "revenue", 3)
+    totals = [row["total_metric"] for row in sinks.ordered(bars.repartition(5), "bars").collect()]
+    assert totals == sorted(totals, reverse=True)
+
+
+@pytest.mark.parametrize("report", sinks.EXPORTS)
+def test_exported_reports(model, tmp_path, report):
+    build, keys = REPORTS[report]
+    table = build(working_set(model))
     for _ in range(2):
-        sinks.export_csv(table, path, single_file=True)
+        path = sinks.export_report(table, report, str(tmp_path))
     (part,) = glob.glob(os.path.join(path, "*.csv"))
     with open(part, newline="") as handle:
-        rows = list(csv.reader(handle))
-    assert rows[0] == table.columns
-    assert [row[0] for row in rows[1:]] == ["2020-01", "2020-02", "2020-04"]
+        header, *rows = list(csv.reader(handle))
+    assert header == table.columns and len(rows) == table.count()
+    if report == "monthly":
+        assert [row[0] for row in rows] == ["2020-01", "2020-02", "2020-04"]
+    with pytest.raises(ValueError):
+        sinks.export_report(table, "choices", str(tmp_path))
 
 
 def test_published_view(spark, model):
@@ -152,32 +183,51 @@ def test_layout_spares_the_shuffle_of_lines(spark, stored):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_tune_follows_the_data(spark):
-    initial, split = session._INITIAL_PARTITIONS, session._SPLIT_BYTES
+def test_tune_follows_the_data_without_a_limit(spark):
+    initial = session._INITIAL_PARTITIONS
     fresh = spark.newSession()
     session.tune(fresh, 10 * session.BYTES_PER_SHUFFLE_PARTITION)
     assert fresh.conf.get("spark.sql.adaptive.forceOptimizeSkewedJoin") == "true"
-    assert (fresh.conf.get(initial), fresh.conf.get(split)) == ("10", str(session.SMALLEST_SPLIT))
+    assert fresh.conf.get(initial) == "10"
     session.tune(fresh, 100 * 1024**4)
-    assert fresh.conf.get(initial) == str(session.MOST_SHUFFLE_PARTITIONS)
-    assert fresh.conf.get(split) == str(session.LARGEST_SPLIT)
-    session.tune(fresh, 1)
-    assert fresh.conf.get(initial) == fresh.conf.get("spark.sql.shuffle.partitions")
+    assert fresh.conf.get(initial) == str(100 * 1024**4 // session.BYTES_PER_SHUFFLE_PARTITION)
+
+
+def test_a_small_model_leaves_the_large_one_its_partitions(spark):
+    fresh = spark.newSession()
+    session.tune(fresh, 10**15)
+    large = fresh.conf.get(session._INITIAL_PARTITIONS)
+    session.tune(fresh, 10**6)
+    assert fresh.conf.get(session._INITIAL_PARTITIONS) == large
 
 
 def test_tune_keeps_user_settings(spark):
     chosen = {
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "false",
         session._INITIAL_PARTITIONS: "33",
-        session._SPLIT_BYTES: "1000000",
+        session._HASH_JOIN_BYTES: "1000000",
     }
     own = spark.newSession()
     for key, value in chosen.items():
         own.conf.set(key, value)
-    session.tune(own, 100 * 1024**4)
+    session.tune(own, 100 * 1024**4, hash_join_bytes=5)
     assert {key: own.conf.get(key) for key in chosen} == chosen
 
 
+def test_building_a_query_runs_no_job_and_stores_nothing(spark, tmp_path):
+    from tallykeep.registry import queries
+
+    def folders():
+        root = spark.conf.get("spark.checkpoint.dir").removeprefix("file:")
+        return sorted(os.listdir(root)) if os.path.isdir(root) else []
+
+    tracker = spark.sparkContext.statusTracker()
+    before = folders(), tracker.getJobIdsForGroup(None)
+    for name in ("shared_kpis", "shared_kpis_topn_artist", "insights_comparison"):
+        queries.queries()[name](spark, "/root/testdata/sf0.001")
+    assert (folders(), tracker.getJobIdsForGroup(None)) == before
+
+
 def test_shared_folder_is_below_the_checkpoint_dir(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     first, second = session.shared_folder(spark), session.shared_folder(spark)
