@@ -91,7 +91,3 @@ def plain_text(column: str | Column) -> Column:
 def split_words(text: Column) -> Column:
     """Words of a text: runs of anything but the six ASCII white space characters."""
     return F.filter(F.split(text, f"[{SPACE_CLASS}]+"), lambda word: word != "")
-
-
-def lower_ascii(text: Column) -> Column:
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -16,7 +16,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallykeep.llm.common import SPACE_CLASS, free_name, lower_ascii, plain_text, split_words
+from tallykeep.llm.common import SPACE_CLASS, free_name, plain_text, split_words
 
 
 class Rule(NamedTuple):
@@ -43,6 +43,9 @@ STOP_WORDS = (
     "el los las y del se por con no su para al lo como más o pero sus"
 ).split()
 
+# As they stand in a text; a set of literals is one hash lookup a word.
+STOP_FORMS = sorted({form + mark for word in STOP_WORDS for form in (word, word.capitalize(), word.upper()) for mark in ("", ".", ",")})
+
 LEAST_WORDS = 50
 # The largest share, in percent, of words inside three-word windows seen before or again.
 MOST_REPEATED_PERCENT = 50
@@ -102,7 +105,6 @@ def with_quality(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] =
     lines = free_name(docs, "quality_lines")
     counts = free_name(docs, "quality_counts")
     result = free_name(docs, "quality")
-    stops = F.array(*[F.lit(word) for word in sorted(set(STOP_WORDS))])
     staged = (
         docs.withColumn(source, plain_text(F.col(f"`{text}`")))
         .withColumn(words, split_words(F.col(source)))
@@ -119,8 +121,7 @@ def with_quality(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] =
                 (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
                 _covered(F.col(ordered)).cast("long").alias("n_repeat_words"),
                 F.size(lines).cast("long").alias("n_lines"),
-                F.size(F.filter(words, lambda word: F.array_contains(stops, F.rtrim(lower_ascii(word), F.lit(".,")))))
-                .cast("long")
+                F.size(F.filter(words, lambda word: word.isin(STOP_FORMS))).cast("long")
                 .alias("n_stop_words"),
             ),
         )
