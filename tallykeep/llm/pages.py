@@ -27,7 +27,9 @@ from pyspark.sql import functions as F
 from tallykeep.llm.common import bounded_batches
 
 _TOKEN = re.compile(
-    r"<(?:!--(?:.*?-->|.*\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)([^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*)(?:>|\Z))",
+    r"<(?:!--(?:.*?-->|.*\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)"
+    # a quote that is never closed does not count, and the tag ends at its first >
+    r"([^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*(?=>|\Z)|[^>]*)(?:>|\Z))",
     re.S,
 )
 _NAMES = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)

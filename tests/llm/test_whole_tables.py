@@ -1,0 +1,76 @@
+"""Every query over a whole given table, against SQL or plain Python."""
+
+import numpy as np
+import pytest
+
+import compare
+from llm import plain
+from tallykeep.llm import oracles, pii, queries
+
+FOLDER = "/root/testdata/sf0.001"
+QUERIES = queries.queries()
+ORACLES = oracles.oracle_sql()
+
+
+def given(spark, name, *columns):
+    return [tuple(row) for row in spark.read.parquet(f"{FOLDER}/{name}.parquet").select(*columns).collect()]
+
+
+def rows(spark, name, key):
+    return {row[key]: row for row in QUERIES[name](spark, FOLDER).collect()}
+
+
+def test_there_is_one_query_per_operator():
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+
+
+@pytest.mark.parametrize("name", ORACLES)
+def test_equals_sql(spark, name):
+    assert compare.spark_rows(QUERIES[name](spark, FOLDER)) == compare.duck_rows(compare.connect(FOLDER), ORACLES[name])
+
+
+def test_pii_base_spans(spark):
+    found = rows(spark, "op4_pii", "doc_id")
+    for doc_id, text in given(spark, "documents", "doc_id", "text"):
+        spans = plain.personal(text)
+        row = found.pop(doc_id)
+        assert [row[f"n_{kind}"] for kind in pii.BASE_KINDS] == [sum(s[0] == k for s in spans) for k in pii.BASE_KINDS]
+        written = ",".join("%s:%d:%d" % s for s in spans)
+        assert row.base_sha256 == plain.sha(written)
+        assert row.spans == written or row.spans.startswith(written + "," if written else "")
+    assert not found
+
+
+def test_warc_revisits(spark):
+    found = rows(spark, "op5_warc_revisits", "page_id")
+    expected = plain.revisits(given(spark, "pages", "page_id", "url", "html"))
+    assert {i: (r.url_key, r.outcome, r.source_page_id) for i, r in found.items()} == expected
+
+
+def test_main_texts(spark):
+    found = rows(spark, "op6_html_extraction", "page_id")
+    for page_id, page in given(spark, "pages", "page_id", "html"):
+        assert found[page_id].text == plain.article(page)
+        assert found[page_id].n_chars == len(found[page_id].text)
+
+
+def test_bpe_equals_the_library(spark):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(queries.vocabulary())
+    found = rows(spark, "op8_bpe", "doc_id")
+    for doc_id, text in given(spark, "documents", "doc_id", "text"):
+        ids = library.encode(text or "", add_special_tokens=False).ids
+        row = found[doc_id]
+        assert (row.n_tokens, row.ids_sha256) == (len(ids), plain.hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest())
+        assert row.decoded_sha256 == plain.sha(library.decode(ids, skip_special_tokens=False))
+
+
+def test_url_rules(spark):
+    found = rows(spark, "op9_url_filters", "page_id")
+    for page_id, url in given(spark, "pages", "page_id", "url"):
+        host, path, rule, verdict = plain.ruled(url)
+        row = found.pop(page_id)
+        assert (row.host, row.path, row.rule) == (host, path, rule)
+        assert row.verdict == (verdict or ("block" if row.purity >= 0.5 else "allow"))
+    assert not found
