@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tallykeep.llm import bpe, decontaminate, ngram_join, pii, quality
 from tallykeep.llm.common import shared_root, table
 from tallykeep.llm.queries import vocabulary
+from tallykeep.session import remove_folder
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,11 +58,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to ``documents``; each one's rows are written and read again."""
-    folder = f"{shared_root(spark).rstrip('/')}/corpus-{uuid.uuid4().hex}"
-    docs = table(spark, sf_dir, "documents")
+    """Apply the stages to ``documents``; each one's rows are written and read again.
+
+    Only the last stage's files stay, below the shared folder, as the result reads them.
+    """
+    folder = f"{shared_root(spark).rstrip('/')}/tallykeep-corpus-{uuid.uuid4().hex}"
+    docs, before = table(spark, sf_dir, "documents"), None
     for number, (_, stage) in enumerate(STAGES):
-        path = f"{folder}/{number}"
+        path = f"{folder}-{number}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            remove_folder(spark, before)
+        before = path
     return docs

@@ -18,7 +18,6 @@ from __future__ import annotations
 import html as entities
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -235,8 +234,7 @@ def _tree(printed: str) -> Node:
     return node()
 
 
-@lru_cache(maxsize=4)
-def _trained(application: str) -> Node:
+def _train(spark: SparkSession) -> Node:
     from pyspark.ml.classification import DecisionTreeClassifier
     from pyspark.ml.feature import VectorAssembler
 
@@ -245,15 +243,20 @@ def _trained(application: str) -> Node:
         found = blocks(page)
         rows += [(*row, float(block.marked)) for row, block in zip(features(found), found)]
     values = ", ".join("(" + ", ".join(f"double('{value}')" for value in row) + ")" for row in rows)
-    spark = SparkSession.getActiveSession()
     table = spark.sql(f"SELECT * FROM VALUES {values} AS t({', '.join((*FEATURES, 'label'))})").coalesce(1)
     ready = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(table)
     return _tree(DecisionTreeClassifier(maxDepth=8, minInstancesPerNode=1, seed=1).fit(ready).toDebugString)
 
 
+_trained: dict[str, Node] = {}
+
+
 def classifier(spark: SparkSession) -> Node:
     """The decision tree, trained once per application."""
-    return _trained(spark.sparkContext.applicationId)
+    application = spark.sparkContext.applicationId
+    if application not in _trained:
+        _trained[application] = _train(spark)
+    return _trained[application]
 
 
 def is_main(tree: Node, row: tuple[float, ...]) -> bool:

@@ -21,7 +21,6 @@ by spans and kept by redaction; an empty table gives an empty result.
 from __future__ import annotations
 
 import re
-from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -247,14 +246,15 @@ class Model:
                     self.thresholds[kind] = score
 
 
-@lru_cache(maxsize=4)
-def _model(application: str) -> Model:
-    return Model(SparkSession.getActiveSession())
+_trained: dict[str, Model] = {}
 
 
 def model(spark: SparkSession) -> Model:
     """The model, trained once per application from the fixed labelled table."""
-    return _model(spark.sparkContext.applicationId)
+    application = spark.sparkContext.applicationId
+    if application not in _trained:
+        _trained[application] = Model(spark)
+    return _trained[application]
 
 
 def with_spans(docs: DataFrame, text: str = "text") -> tuple[DataFrame, str, str]:

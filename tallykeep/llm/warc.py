@@ -159,7 +159,10 @@ def captures_of(pages: DataFrame, every: int = 60, again_after: int = 60_030) ->
     tag = F.concat(F.lit('"'), F.md5(F.coalesce("html", F.lit(""))), F.lit('"'))
 
     def stamp(seconds: Column) -> Column:
-        return F.date_format(F.timestamp_seconds(seconds), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+        """A UTC time, whatever the session's time zone."""
+        day = F.date_from_unix_date(F.floor(seconds / 86_400).cast("int")).cast("string")
+        parts = [F.floor(F.pmod(seconds, F.lit(86_400)) / step) % most for step, most in ((3600, 24), (60, 60), (1, 60))]
+        return F.concat(day, F.lit("T"), F.concat_ws(":", *[F.lpad(part.cast("string"), 2, "0") for part in parts]), F.lit("Z"))
 
     def record(kind: str, suffix: str, seconds: Column, status: str, extra: Column, body: Column) -> Column:
         return F.concat(
