@@ -8,6 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def rolled_up(described: DataFrame) -> DataFrame:
+    """InvoiceId, num_lines, qty, cents, and whether a line has both genre and artist."""
+    usable = F.col("genre").isNotNull() & F.col("artist").isNotNull()
+    return described.groupBy("InvoiceId").agg(
+        F.count(F.lit(1)).alias("num_lines"),
+        F.sum("qty").alias("qty"),
+        F.sum("cents").alias("cents"),
+        F.max(usable).alias("usable"),
+    )
+
+
 @dataclass(frozen=True)
 class SalesModel:
     """Invoices, their lines and the track dimension, all lazy.
@@ -28,7 +39,8 @@ class SalesModel:
     artist, so a line with either is a usable line.
 
     ``described`` optionally holds ``lines`` with genre and artist already attached
-    (see :mod:`tallykeep.sources.layout`).
+    (see :mod:`tallykeep.sources.layout`), and ``rollup`` what :func:`rolled_up` makes of
+    them: results that need no more than that of the lines then read no line.
     """
 
     spark: SparkSession
@@ -41,6 +53,7 @@ class SalesModel:
     countries: DataFrame
     paired_dimensions: bool = False
     described: DataFrame | None = None
+    rollup: DataFrame | None = None
 
     def invoices(self, country: bool = False) -> DataFrame:
         return self.billed if country else self.headers
@@ -67,6 +80,8 @@ class SalesModel:
 
     def line_totals(self) -> DataFrame:
         """InvoiceId, num_lines, qty, cents over all lines of each invoice."""
+        if self.rollup is not None:
+            return self.rollup.drop("usable")
         return self.lines.groupBy("InvoiceId").agg(
             F.count(F.lit(1)).alias("num_lines"),
             F.sum("qty").alias("qty"),

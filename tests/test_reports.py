@@ -168,10 +168,27 @@ def test_layout_gives_the_same_results(model, stored):
             lambda s: yearly.yearly_summary(s, "Artist", YEAR).orderBy("artist"),
             lambda s: core.core_kpis(s, YEAR),
             lambda s: core.subset_metadata(s, YEAR),
+            lambda s: timeseries.monthly_summary(s, YEAR).orderBy("month"),
+            lambda s: geo.geo_metrics(s, YEAR, "both").orderBy("year", "country"),
+            lambda s: cohorts.cohort_retention(s, YEAR, 12).orderBy("cohort_month", "month_offset"),
         ):
             assert dicts(build(plain)) == dicts(build(bucketed))
 
 
+def test_rollup_spares_the_lines(stored):
+    scope = working_set(stored)
+    for report in (
+        core.core_kpis(scope, YEAR),
+        timeseries.monthly_summary(scope, YEAR),
+        geo.geo_metrics(scope, YEAR),
+        cohorts.cohort_retention(scope, YEAR),
+        cohorts.retention_decay(scope, YEAR),
+    ):
+        assert "store_lines" not in _plan(report) and "store_rollup" in _plan(report)
+    filtered = timeseries.monthly_summary(working_set(stored, SalesFilter(genre="Rock")), YEAR)
+    assert "store_lines" in _plan(filtered)
+
+
 def test_layout_spares_the_shuffle_of_lines(spark, stored):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
