@@ -236,7 +236,7 @@ def _share(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array([part], pa.int32()),
-                pa.array([ids[used].tolist()], pa.list_(pa.int64())),
+                pa.array([ids[used].tobytes()], pa.binary()),
                 pa.array([members.astype(np.int32).tobytes()], pa.binary()),
                 pa.array([lengths[firsts].astype(np.int32).tobytes()], pa.binary()),
             ],
@@ -256,10 +256,89 @@ def _with_part(batches: Iterator[pa.RecordBatch]):
             yield part, ids, ranks, hashes
 
 
+_POINT_NAMES = ["bucket", "part", "prints", "sizes", "bits", "counts"]
+_POINTS = "bucket int, part int, prints binary, sizes binary, bits binary, counts binary"
+
+
+def _bucket_of(prints: np.ndarray, buckets: int) -> np.ndarray:
+    return (mix(prints.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+
+
+def _points_row(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array([row[i] for row in rows], kind) for i, kind in enumerate(kinds)], names=_POINT_NAMES)
+
+
+
+
+def _ask(buckets: int):
+    """For each partition, the sets whose points it needs, dealt by set."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                prints = np.frombuffer(row["prints"], np.int64)
+                to = _bucket_of(prints, buckets)
+                rows = [(int(k), row["part"], prints[to == k].tobytes(), None, None, None) for k in np.unique(to)]
+                yield _points_row(rows)
+
+    return ask
+
+
+def _offer(buckets: int):
+    """Sets' sizes and points, dealt by set; many travel in one row."""
+
+    def offer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.to_pylist()
+            prints = np.array([row["low"] for row in rows], dtype=np.int64)
+            to = _bucket_of(prints, buckets)
+            sets = [(row["low"], row["n"], np.frombuffer(row["point"], np.uint32)) for row in rows]
+            shares = {int(k): [sets[i] for i in np.flatnonzero(to == k)] for k in np.unique(to)}
+            yield _points_row([(k, None, *_bundle(share)) for k, share in shares.items()])
+
+    return offer
+
+
+def _bundle(sets: list[tuple[int, int, np.ndarray]]) -> tuple[bytes, bytes, bytes, bytes]:
+    """Prints, sizes, group bits and group counts of sets."""
+    counts = np.concatenate([point for *_, point in sets])
+    if counts.max(initial=0) > 65_535:
+        raise ValueError("a group of shingles is too large for its counter")
+    bits = [len(point).bit_length() - 1 for *_, point in sets]
+    return (
+        np.array([one for one, *_ in sets], dtype=np.int64).tobytes(),
+        np.array([size for _, size, _ in sets], dtype=np.int64).tobytes(),
+        np.array(bits, dtype=np.uint8).tobytes(),
+        counts.astype(np.uint16).tobytes(),
+    )
+
+
+def _unbundled(row: dict) -> Iterator[tuple[int, int, np.ndarray]]:
+    counts, done = np.frombuffer(row["counts"], np.uint16), 0
+    columns = np.frombuffer(row["prints"], np.int64).tolist(), np.frombuffer(row["sizes"], np.int64).tolist()
+    for one, size, bits in zip(*columns, np.frombuffer(row["bits"], np.uint8).tolist()):
+        yield one, size, counts[done : done + (1 << bits)]
+        done += 1 << bits
+
+
+def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The points asked for, per partition; a task holds the points of its share of all sets."""
+    asked, points = [], {}
+    for batch in batches:
+        for row in batch.to_pylist():
+            if row["counts"] is None:
+                asked.append((row["part"], np.frombuffer(row["prints"], np.int64)))
+            else:
+                points.update({one: (one, size, point) for one, size, point in _unbundled(row)})
+    for part, prints in asked:
+        yield _points_row([(None, part, *_bundle([points[one] for one in prints.tolist()]))])
+
+
 def _candidates(link: Linking):
     """Candidate links among the groups of a partition, as far as they connect sets.
 
-    Rows hold either a partition's groups or one of its sets (print, n, point).
+    Rows hold either a partition's groups or some of its sets.
     """
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -270,10 +349,11 @@ def _candidates(link: Linking):
                 if row["members"] is not None:
                     groups[row["part"]] = row["prints"], row["members"], row["lengths"]
                 else:
-                    point = np.frombuffer(row["point"], np.uint32).astype(np.int32)
-                    sets.setdefault(row["part"], {})[row["print"]] = row["n"], point
+                    known = sets.setdefault(row["part"], {})
+                    known.update({one: (size, point.astype(np.int32)) for one, size, point in _unbundled(row)})
         links: tuple[list, list] = ([], [])
         for part, (prints, members, lengths) in groups.items():
+            prints = np.frombuffer(prints, np.int64).tolist()
             joined = _join_groups(link, prints, sets.pop(part), np.frombuffer(members, np.int32), np.frombuffer(lengths, np.int32))
             links[0].extend(prints[i] for i, _ in joined)
             links[1].extend(prints[j] for _, j in joined)
@@ -388,18 +468,14 @@ def _candidate_links(docs: DataFrame, nodes: DataFrame, slots: DataFrame, link:
     counted = np.zeros(1 << SLOT_BITS, dtype=np.int64)
     for row in slots.collect():  # a fixed number of rows
         counted[row["slot"]] = row["n"]
-    prefixes = docs.select("text").mapInArrow(_emit_prefixes(parts, counted, link), PACKED).repartition(parts, "part")
-    shared = durable(
-        prefixes.mapInArrow(_share, "part int, prints array<long>, members binary, lengths binary")
-    )
-    wanted = shared.select("part", F.explode("prints").alias("print"))
-    points = wanted.join(nodes.select(F.col("low").alias("print"), "n", "point"), "print").select(
-        "part", "print", "n", "point",
-        F.lit(None).cast("array<long>").alias("prints"),
-        F.lit(None).cast("binary").alias("members"),
-        F.lit(None).cast("binary").alias("lengths"),
-    )
-    rows = points.unionByName(shared, allowMissingColumns=True).repartition(parts, "part")
+    texts = docs.filter(F.col("doc_id").isNotNull()).select("text")
+    prefixes = texts.mapInArrow(_emit_prefixes(parts, counted, link), PACKED).repartition(parts, "part")
+    shared = durable(prefixes.mapInArrow(_share, "part int, prints binary, members binary, lengths binary"))
+    # points go where they are asked for in packed rows: one per pair of partitions, not per set
+    asked = shared.select("part", "prints").mapInArrow(_ask(parts), _POINTS)
+    offered = nodes.select("low", "n", "point").mapInArrow(_offer(parts), _POINTS)
+    points = asked.unionByName(offered).repartition(parts, "bucket").mapInArrow(_answer, _POINTS)
+    rows = points.drop("bucket").unionByName(shared, allowMissingColumns=True).repartition(parts, "part")
     return rows.mapInArrow(_candidates(link), "a long, b long")
 
 

@@ -64,6 +64,13 @@ def test_ids_that_are_missing_or_repeated(spark):
     assert result == [(0, 0, None), (0, 2, None), (2, 2, 2), (5, 2, 2), (5, 2, 2)]
 
 
+def test_texts_without_an_id_link_nothing(spark):
+    text = [f"x{i}" for i in range(60)]
+    rows = [(None, " ".join(text)), (None, " ".join(text + ["y"])), (4, " ".join(text + ["z"])), (9, " ".join(text + ["w"]))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted((r.doc_id or 0, r.component_id) for r in ngram_join.link_components(frame).collect() if r.doc_id) == [(4, 4), (9, 4)]
+
+
 def test_one_document_of_each_group_stays(spark):
     text = " ".join(f"x{i}" for i in range(40))
     rows = [(3, text, "a"), (1, text + " y", "b"), (1, text + " y", "b"), (7, "other words entirely here now", "c"), (None, text, "d")]
