@@ -13,27 +13,39 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
+from tallykeep.llm.words import mix
+
 PACKED = "part int, ids binary, counts binary, hashes binary"
 
 
 def packed(parts: int, ids: list[int], found: list[np.ndarray], width: type) -> pa.RecordBatch:
-    """Rows of (partition, ids, hashes per id, hashes) from the hashes of each document.
+    """Hashes of each document, dealt by hash.
 
     A hash belongs to the partition of its upper half; only ``width`` of it is kept.
     """
-    counts = [len(one) for one in found]
     hashes = np.concatenate(found) if found else np.empty(0, dtype=np.uint64)
-    rows = np.repeat(np.arange(len(ids)), counts)
+    rows = np.repeat(np.arange(len(ids)), [len(one) for one in found])
     to = ((hashes >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
     order = np.argsort(to, kind="stable")
-    rows, to, hashes = rows[order], to[order], hashes[order].astype(width)
+    return _rows(to[order], rows[order], np.array(ids, dtype=np.int64), hashes[order].astype(width))
+
+
+def returned(parts: int, ids: np.ndarray, ranks: np.ndarray, hashes: np.ndarray) -> pa.RecordBatch:
+    """Hashes of documents, given by rank among ``ids``, dealt by document."""
+    ranks = ranks.astype(np.int64)
+    to = (mix(ids.view(np.uint64)) % np.uint64(parts)).astype(np.int64)[ranks]
+    order = np.lexsort((ranks, to))
+    return _rows(to[order], ranks[order], ids, hashes[order])
+
+
+def _rows(to: np.ndarray, rows: np.ndarray, ids: np.ndarray, hashes: np.ndarray) -> pa.RecordBatch:
+    """A row per partition, from hashes ordered by partition and document."""
     edges = np.flatnonzero(np.r_[True, to[1:] != to[:-1], True]) if len(to) else np.zeros(1, dtype=np.int64)
     columns: tuple[list, ...] = ([], [], [], [])
-    all_ids = np.array(ids, dtype=np.int64)
     for begin, end in zip(edges[:-1], edges[1:]):
         docs, each = np.unique(rows[begin:end], return_counts=True)
         columns[0].append(int(to[begin]))
-        columns[1].append(all_ids[docs].tobytes())
+        columns[1].append(ids[docs].tobytes())
         columns[2].append(each.astype(np.int32).tobytes())
         columns[3].append(hashes[begin:end].tobytes())
     return pa.RecordBatch.from_arrays(
@@ -57,8 +69,17 @@ def unpacked(batches: Iterator[pa.RecordBatch], width: type) -> Iterator[tuple]:
         yield ids, np.repeat(ranks.astype(np.uint64), counts), hashes
 
 
-def by_document(ids: np.ndarray, ranks: np.ndarray, hashes: np.ndarray) -> pa.RecordBatch:
-    """One row per document with its hashes."""
+def by_document(width: type):
+    """Turn rows dealt by document into (doc_id, hashes), a row per document."""
+
+    def regroup(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, ranks, hashes in unpacked(batches, width):
+            yield _by_document(ids, ranks, hashes)
+
+    return regroup
+
+
+def _by_document(ids: np.ndarray, ranks: np.ndarray, hashes: np.ndarray) -> pa.RecordBatch:
     order = np.argsort(ranks, kind="stable")
     ranks, hashes = ranks[order], hashes[order]
     edges = np.flatnonzero(np.r_[True, ranks[1:] != ranks[:-1], True]) if len(ranks) else np.zeros(1, dtype=np.int64)

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallykeep.llm.common import bounded_batches, partitions
-from tallykeep.llm.packing import PACKED, by_document, packed, unpacked
+from tallykeep.llm.packing import PACKED, by_document, packed, returned, unpacked
 from tallykeep.llm.words import text_ngrams
 
 PASSAGE_WORDS = 13
@@ -61,23 +61,30 @@ def _emit_blocks(parts: int):
     return emit
 
 
-def _probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _probe(parts: int):
     """Blocks that meet an anchor of an earlier document, and the anchors so met."""
-    for ids, ranks, hashes in unpacked(batches, np.uint32):
-        # block, document, mark: one integer, so that one sort brings equal blocks together
-        rows = (hashes >> np.uint32(1)).astype(np.uint64) << np.uint64(33)
-        rows |= (ranks << np.uint64(1)) | (hashes & np.uint32(1)).astype(np.uint64)
-        rows.sort()
-        if not len(rows):
-            continue
-        block, rank, anchor = rows >> np.uint64(33), (rows & np.uint64(2**33 - 1)) >> np.uint64(1), rows & np.uint64(1)
-        del rows, hashes, ranks
-        new = np.r_[True, block[1:] != block[:-1]]
-        heads, group = np.flatnonzero(new), np.cumsum(new) - 1
-        least = np.minimum.reduceat(np.where(anchor == 1, rank, np.uint64(2**32)), heads)[group]
-        most = np.maximum.reduceat(rank, heads)[group]
-        hit = (rank > least) | ((anchor == 1) & (rank < most))
-        yield by_document(ids, rank[hit], block[hit].astype(np.uint32))
+
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, ranks, hashes in unpacked(batches, np.uint32):
+            if len(hashes):
+                yield returned(parts, ids, *_met(ranks, hashes))
+
+    return probe
+
+
+def _met(ranks: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    # block, document, mark: one integer, so that one sort brings equal blocks together
+    rows = (hashes >> np.uint32(1)).astype(np.uint64) << np.uint64(33)
+    rows |= (ranks << np.uint64(1)) | (hashes & np.uint32(1)).astype(np.uint64)
+    rows.sort()
+    block, rank, anchor = rows >> np.uint64(33), (rows & np.uint64(2**33 - 1)) >> np.uint64(1), rows & np.uint64(1)
+    del rows
+    new = np.r_[True, block[1:] != block[:-1]]
+    heads, group = np.flatnonzero(new), np.cumsum(new) - 1
+    least = np.minimum.reduceat(np.where(anchor == 1, rank, np.uint64(2**32)), heads)[group]
+    most = np.maximum.reduceat(rank, heads)[group]
+    hit = (rank > least) | ((anchor == 1) & (rank < most))
+    return rank[hit], block[hit].astype(np.uint32)
 
 
 def _emit_passages(parts: int):
@@ -89,7 +96,7 @@ def _emit_passages(parts: int):
             passages = text_ngrams(batch.column(1), PASSAGE_WORDS, lower=False)
             blocks = text_ngrams(batch.column(1), BLOCK_WORDS, lower=False)
             for (row, _, whole), (_, _, block) in zip(passages, blocks):
-                keys = np.frombuffer(b"".join(hits[row].as_py()), np.uint32)
+                keys = np.frombuffer(hits[row].as_py(), np.uint32)
                 met = np.isin((block.astype(np.uint32) >> np.uint32(1)), keys)
                 # a passage at s covers the blocks s ... s + 6
                 sums = np.r_[0, np.cumsum(met)]
@@ -101,17 +108,21 @@ def _emit_passages(parts: int):
     return emit
 
 
-def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _verify(parts: int):
     """Passages that an earlier document holds too."""
-    for ids, ranks, hashes in unpacked(batches, np.uint64):
-        order = np.argsort(hashes, kind="stable")
-        hashes, ranks = hashes[order], ranks[order]
-        if not len(hashes):
-            continue
-        new = np.r_[True, hashes[1:] != hashes[:-1]]
-        least = np.minimum.reduceat(ranks, np.flatnonzero(new))[np.cumsum(new) - 1]
-        later = ranks > least
-        yield by_document(ids, ranks[later], hashes[later])
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, ranks, hashes in unpacked(batches, np.uint64):
+            if not len(hashes):
+                continue
+            order = np.argsort(hashes, kind="stable")
+            hashes, ranks = hashes[order], ranks[order]
+            new = np.r_[True, hashes[1:] != hashes[:-1]]
+            least = np.minimum.reduceat(ranks, np.flatnonzero(new))[np.cumsum(new) - 1]
+            later = ranks > least
+            yield returned(parts, ids, ranks[later], hashes[later])
+
+    return verify
 
 
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,7 +152,7 @@ def _kept_words(batch: pa.RecordBatch) -> Iterator[tuple[list[bytes], list[bytes
         words = (texts[row].as_py() or "").encode().split()
         repeated = found[row].as_py()
         if repeated:
-            starts = np.isin(passages, np.frombuffer(b"".join(repeated), np.uint64))
+            starts = np.isin(passages, np.frombuffer(repeated, np.uint64))
             change = np.zeros(len(words) + 1, dtype=np.int64)
             change[: len(starts)] += starts
             change[PASSAGE_WORDS : PASSAGE_WORDS + len(starts)] -= starts
@@ -151,33 +162,37 @@ def _kept_words(batch: pa.RecordBatch) -> Iterator[tuple[list[bytes], list[bytes
 
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
-    """(doc_id, found): hashes of each document's passages that an earlier one holds."""
-    spark = docs.sparkSession
-    parts = partitions(spark)
+    """(doc_id, hashes): each document's passages that an earlier one holds."""
+    parts = partitions(docs.sparkSession)
     texts = _dealt(docs)
-    blocks = texts.mapInArrow(_emit_blocks(parts), PACKED).repartition(parts, "part")
-    hits = _collected(blocks.mapInArrow(_probe, _FOUND))
-    passages = texts.join(hits, "doc_id").mapInArrow(_emit_passages(parts), PACKED).repartition(parts, "part")
-    return _collected(passages.mapInArrow(_verify, _FOUND))
+
+    def exchanged(rows: DataFrame, reduce, width: type) -> DataFrame:
+        """Deal hashes to partitions, reduce them there, and gather the rest by document."""
+        reduced = rows.repartition(parts, "part").mapInArrow(reduce(parts), PACKED)
+        return reduced.repartition(parts, "part").mapInArrow(by_document(width), _FOUND)
+
+    hits = exchanged(texts.mapInArrow(_emit_blocks(parts), PACKED), _probe, np.uint32)
+    around = texts.join(hits, "doc_id").mapInArrow(_emit_passages(parts), PACKED)
+    return exchanged(around, _verify, np.uint64)
+
+
+def _named(docs: DataFrame) -> DataFrame:
+    """Id and text, cast only if need be: a plain column keeps plans equal to each other."""
+    wanted = {"doc_id": "bigint", "text": "string"}
+    kinds = dict(docs.dtypes)
+    return docs.select(*[F.col(c) if kinds[c] == k else F.col(c).cast(k).alias(c) for c, k in wanted.items()])
 
 
 def _dealt(docs: DataFrame) -> DataFrame:
     """Texts by id. Every use has the same plan, so the texts are shuffled once."""
     bounded_batches(docs.sparkSession)
-    chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return chosen.filter(F.col("doc_id").isNotNull()).repartition(partitions(docs.sparkSession), "doc_id")
-
-
-def _collected(found: DataFrame) -> DataFrame:
-    """A document's hashes, at most one row from each partition."""
-    return found.groupBy("doc_id").agg(F.collect_list("hashes").alias("found"))
+    return _named(docs).filter(F.col("doc_id").isNotNull()).repartition(partitions(docs.sparkSession), "doc_id")
 
 
 def _with_found(docs: DataFrame) -> DataFrame:
     known = _dealt(docs).join(repeated_passages(docs), "doc_id", "left")
-    unknown = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    unknown = unknown.filter(F.col("doc_id").isNull())
-    return known.unionByName(unknown.withColumn("found", F.lit(None).cast("array<binary>")))
+    unknown = _named(docs).filter(F.col("doc_id").isNull())
+    return known.unionByName(unknown.withColumn("hashes", F.lit(None).cast("binary")))
 
 
 def removed_digest(docs: DataFrame) -> DataFrame:
