@@ -3,13 +3,13 @@
 A vocabulary says which byte pairs can ever stand side by side inside a token. Where
 two neighbouring bytes are no such pair, no merge can reach across, so a text may be cut
 there and its fragments encoded on their own; the ids of the text are theirs, one after
-the other. No token of these vocabularies holds white space, so the first cuts are the
-ones around it, and the chunks between are shared by all texts; inside a chunk the
-remaining cuts keep every fragment short. Each distinct chunk is encoded once per
-worker and remembered in a table of bounded size.
+the other. No token of these vocabularies joins letters, digits, signs or white space, so
+the first cuts are between those, and the words between are shared by all texts; inside
+a word the remaining cuts keep every fragment short. What words became is remembered in
+a table of bounded size that keeps the frequent ones.
 
-The tokenizers library supplies normalisation, pre-tokenisation and the merges of one
-fragment; splitting, joining and decoding are done here.
+The tokenizers library supplies the merges of one fragment, and for texts beyond Latin-1
+normalisation and pre-tokenisation, whose rules are written out here for Latin-1 alone.
 
 Defined cases: a null text counts as empty and has no tokens; special tokens written out
 in a text are found as the library finds them; extra columns are ignored; repeated rows
@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -33,14 +34,51 @@ from tokenizers.models import BPE
 
 from tallykeep.llm.common import bounded_batches
 
-# Distinct chunks a worker remembers; when full, the table starts afresh. Longer chunks
-# are rarely met again and are not remembered.
-REMEMBERED_CHUNKS = 150_000
+# Entries of a worker's table of words. A full table becomes the older one, in which
+# words met again are found and moved back; the older one before it is forgotten.
+REMEMBERED = 150_000
+# Longer words are rarely met again and are not remembered.
 LONGEST_REMEMBERED = 64
 
 # White space as Unicode defines it, which is what the vocabularies' patterns mean by \s.
 _CHUNK = regex.compile(r"[^\p{White_Space}]+")
 
+# The rules of the vocabularies this codec knows, as stored in their files.
+_RULES = {
+    "normalizer": ["NFC", "Replace", "Lowercase"],
+    "pattern": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+",
+}
+# The same pattern for texts of Latin-1 characters in lower case.
+_LATIN = re.compile(
+    "'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼½¾]|[^\\t-\\r \x85\xa0a-zªµºß-öø-ÿ0-9²³¹¼½¾]+"
+)
+
+
+class Memory:
+    """A table of bounded size that keeps what is asked for often."""
+
+    def __init__(self, make):
+        self.make, self.new, self.old = make, {}, {}
+
+    def find(self, key: str):
+        entry = self.old.get(key) or self.make(key)
+        if len(key) <= LONGEST_REMEMBERED:
+            if len(self.new) >= REMEMBERED:
+                self.new, self.old = {}, self.new
+            self.new[key] = entry
+        return entry
+
+    def all(self, keys: list[str]) -> list:
+        get, find = self.new.get, self.find
+        found = []
+        for key in keys:
+            entry = get(key)
+            if entry is None:
+                entry = find(key)
+                get = self.new.get
+            found.append(entry)
+        return found
+
 
 class Codec:
     """Encoder and decoder of one BPE vocabulary file."""
@@ -67,21 +105,27 @@ class Codec:
         bare = [token.removesuffix(self.suffix) if self.suffix else token for token in model["vocab"]]
         # every two neighbouring bytes (as the vocabulary writes them) of any token
         self.joined = {token[i : i + 2] for token in bare for i in range(len(token) - 1)}
-        self.known: dict[str, tuple[bytes, int, str]] = {}
+        first = (stored["pre_tokenizer"] or {}).get("pretokenizers", [{}])[0]
+        kinds = [one["type"] for one in (stored["normalizer"] or {}).get("normalizers", [])]
+        # texts of Latin-1 alone take the rules written out here, if these are the file's
+        self.latin_rules = kinds == _RULES["normalizer"] and first.get("pattern", {}).get("Regex") == _RULES["pattern"]
+        self.byte_map = dict(enumerate(_byte_characters()))
+        self.words, self.chunks = Memory(self._word), Memory(self._chunk)
 
     def fragments(self, word: str) -> list[str]:
         """A pre-tokenised word, cut wherever two neighbours occur in no token."""
         cuts = [i for i in range(1, len(word)) if word[i - 1 : i + 1] not in self.joined]
         return [word[a:b] for a, b in zip([0, *cuts], [*cuts, len(word)])]
 
+    def _word_ids(self, word: str) -> list[int]:
+        """Ids of a pre-tokenised word: those of its fragments, of which the last ends it."""
+        *inner, last = self.fragments(word)
+        ids = [token.id for fragment in inner for token in self.inner.tokenize(fragment)]
+        return ids + [token.id for token in self.final.tokenize(last)]
+
     def _encode_words(self, text: str) -> list[int]:
-        ids = []
-        for word, _ in self.pre_tokenizer.pre_tokenize_str(self.normalizer.normalize_str(text)):
-            *inner, last = self.fragments(word)
-            for fragment in inner:
-                ids += [token.id for token in self.inner.tokenize(fragment)]
-            ids += [token.id for token in self.final.tokenize(last)]
-        return ids
+        words = self.pre_tokenizer.pre_tokenize_str(self.normalizer.normalize_str(text))
+        return [number for word, _ in words for number in self._word_ids(word)]
 
     def encode_chunk(self, chunk: str) -> list[int]:
         """Ids of a piece of text without white space."""
@@ -96,24 +140,39 @@ class Codec:
         """Tokens joined by one space, as the library does for a vocabulary without decoder."""
         return " ".join([self.tokens[number] for number in ids])
 
-    def _chunk(self, chunk: str) -> tuple[bytes, int, str]:
-        ids = self.encode_chunk(chunk)
-        entry = np.array(ids, dtype="<u4").tobytes(), len(ids), self.decode(ids)
-        if len(chunk) <= LONGEST_REMEMBERED:
-            if len(self.known) >= REMEMBERED_CHUNKS:
-                self.known.clear()
-            self.known[chunk] = entry
-        return entry
+    def _entry(self, ids: list[int]) -> tuple[bytes, str]:
+        return np.array(ids, dtype="<u4").tobytes(), self.decode(ids)
+
+    def _chunk(self, chunk: str) -> tuple[bytes, str]:
+        return self._entry(self.encode_chunk(chunk))
+
+    def _word(self, word: str) -> tuple[bytes, str]:
+        """A word as the Latin pattern finds it."""
+        return self._entry(self._word_ids(word.encode().decode("latin-1").translate(self.byte_map)))
 
     def encode(self, text: str) -> tuple[bytes, int, str]:
         """Ids as little-endian unsigned 32-bit integers, their number, and the decoded text."""
-        known, chunk_of = self.known, self._chunk
-        found = [known.get(chunk) or chunk_of(chunk) for chunk in _CHUNK.findall(text)]
-        return (
-            b"".join([one[0] for one in found]),
-            sum([one[1] for one in found]),
-            " ".join([one[2] for one in found if one[1]]),
-        )
+        if self.latin_rules and "<|" not in text and _is_latin(text):
+            found = self.words.all(_LATIN.findall(text.lower()))
+        else:
+            found = self.chunks.all(_CHUNK.findall(text))
+        ids = b"".join([one[0] for one in found])
+        return ids, len(ids) // 4, " ".join([one[1] for one in found if one[0]])
+
+
+def _is_latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
+def _byte_characters() -> list[str]:
+    """How byte-level vocabularies write bytes: printable ones as themselves, the rest from 256 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = iter(range(256, 512))
+    return [chr(byte if byte in printable else next(others)) for byte in range(256)]
 
 
 @lru_cache(maxsize=2)
