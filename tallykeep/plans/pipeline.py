@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 from typing import Sequence
 
 from pyspark.sql import DataFrame
@@ -20,17 +21,45 @@ from tallykeep.operators.topn import METRICS, Metric, format_top_groups, top_gro
 
 @dataclass(frozen=True)
 class SharedKpis:
-    """``core`` and ``metadata`` hold one row, ``topn`` one long frame per group.
+    """Every KPI block of one scope; a block's plan is made when it is asked for.
 
+    ``core`` and ``metadata`` hold one row, ``topn`` one long frame per group.
     ``num_vals`` is (group, num_vals): the number of genres, artists and countries sold,
     as text. All are empty, or zero for metadata, when the scope sold nothing in the range.
     """
 
-    core: DataFrame
-    metadata: DataFrame
-    topn: dict[str, DataFrame]
-    num_vals: DataFrame
-    retention: DataFrame
+    scope: Scope
+    cohorts: DataFrame
+    date_range: DateRange | None = None
+    metrics: Sequence[Metric] = METRICS
+    top_n: int = 5
+    offsets: Sequence[int] = (3, 6, 9)
+
+    @cached_property
+    def core(self) -> DataFrame:
+        return core_kpis(self.scope, self.date_range)
+
+    @cached_property
+    def metadata(self) -> DataFrame:
+        return subset_metadata(self.scope, self.date_range)
+
+    @cached_property
+    def topn(self) -> dict[str, DataFrame]:
+        revenue = self.core.select("total_revenue")
+        found = {}
+        for group in GROUPS:
+            table = full_group_table(self.scope, group, self.date_range)
+            best = top_groups_by_metric(table, self.metrics, self.top_n)
+            found[group] = format_top_groups(best, group, revenue.scalar())
+        return found
+
+    @cached_property
+    def num_vals(self) -> DataFrame:
+        return possible_values(self.metadata)
+
+    @cached_property
+    def retention(self) -> DataFrame:
+        return retention_kpis(self.scope, self.date_range, self.cohorts, self.offsets)
 
     def one_row(self) -> DataFrame:
         """Core and metadata next to each other; no row when nothing was sold."""
@@ -64,17 +93,4 @@ def shared_kpis(
 ) -> SharedKpis:
     """Lazy frames of every KPI block. A staged or persisted scope is read many times
     but computed once."""
-    core = core_kpis(scope, date_range)
-    revenue = core.select("total_revenue")
-    topn = {}
-    for group in GROUPS:
-        best = top_groups_by_metric(full_group_table(scope, group, date_range), metrics, top_n)
-        topn[group] = format_top_groups(best, group, revenue.scalar())
-    metadata = subset_metadata(scope, date_range)
-    return SharedKpis(
-        core=core,
-        metadata=metadata,
-        topn=topn,
-        num_vals=possible_values(metadata),
-        retention=retention_kpis(scope, date_range, cohorts, offsets),
-    )
+    return SharedKpis(scope, cohorts, date_range, metrics, top_n, offsets)

@@ -432,8 +432,11 @@ def top_cohorts(spark, folder):
 
 
 def _shared(spark: SparkSession, folder: str) -> pipeline.SharedKpis:
-    """The blocks of one filtered scope. Building them runs no job and stores nothing."""
-    scope = _set(spark, folder, BY_GENRE)
+    """The blocks of one filtered scope, which the first job that needs it keeps in memory.
+
+    Building them runs no job and writes nothing.
+    """
+    scope = _set(spark, folder, BY_GENRE).persist()
     return pipeline.shared_kpis(scope, cohorts.cohort_retention(scope, YEAR), YEAR)
 
 
@@ -480,7 +483,7 @@ def dataset_overview(spark, folder):
 @_query
 def insights_comparison(spark, folder):
     model = _model(spark, folder)
-    return insights.compare(all_invoices(model), working_set(model, BY_GENRE), YEAR)
+    return insights.compare(all_invoices(model), working_set(model, BY_GENRE).persist(), YEAR)
 
 
 def queries() -> dict[str, Query]:
