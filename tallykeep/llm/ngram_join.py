@@ -26,6 +26,7 @@ links by any of them; extra columns are ignored; an empty table gives an empty r
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
@@ -301,7 +302,7 @@ def _offer(buckets: int):
 
 
 def _bundle(sets: list[tuple[int, int, np.ndarray]]) -> tuple[bytes, bytes, bytes, bytes]:
-    """Prints, sizes, group bits and group counts of sets."""
+    """Prints, sizes, group bits and group counts of sets; counts are small and pack well."""
     counts = np.concatenate([point for *_, point in sets])
     if counts.max(initial=0) > 65_535:
         raise ValueError("a group of shingles is too large for its counter")
@@ -310,12 +311,12 @@ def _bundle(sets: list[tuple[int, int, np.ndarray]]) -> tuple[bytes, bytes, byte
         np.array([one for one, *_ in sets], dtype=np.int64).tobytes(),
         np.array([size for _, size, _ in sets], dtype=np.int64).tobytes(),
         np.array(bits, dtype=np.uint8).tobytes(),
-        counts.astype(np.uint16).tobytes(),
+        zlib.compress(counts.astype(np.uint16).tobytes(), 1),
     )
 
 
 def _unbundled(row: dict) -> Iterator[tuple[int, int, np.ndarray]]:
-    counts, done = np.frombuffer(row["counts"], np.uint16), 0
+    counts, done = np.frombuffer(zlib.decompress(row["counts"]), np.uint16), 0
     columns = np.frombuffer(row["prints"], np.int64).tolist(), np.frombuffer(row["sizes"], np.int64).tolist()
     for one, size, bits in zip(*columns, np.frombuffer(row["bits"], np.uint8).tolist()):
         yield one, size, counts[done : done + (1 << bits)]
