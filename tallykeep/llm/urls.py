@@ -1,14 +1,15 @@
 """URL filters: rules by host and path, and a path-template tree learned from labels.
 
 The tree has a node per host and leading path segments. Segments that vary from page to
-page (numbers, ids, long names) become wildcards; then, level by level, the branches of
-a node whose share of bad pages differs from their parent's no more than chance allows
+page (numbers, ids, long names) become wildcards; then, level by level and as deep as the
+paths go, the branches of a node whose share of bad pages differs from their parent's no more than chance allows
 are merged into one wildcard branch. A node's purity is its share of bad labels,
 smoothed towards its parent's; a page is blocked if its template's purity reaches the
 limit. Where a rule fits, the longest one decides instead.
 
 Only Spark functions are used. Pages are first counted per host and generalised path,
-with partial sums in every task, so the tree works on templates, not on pages.
+with partial sums in every task, so the tree works on templates, not on pages. There is
+one round per level; a path whose last segment has been placed takes no part in later ones.
 
 Defined cases: a null url, or one without ``://``, has an empty host and path; no rule fits
 it and it belongs to the empty template; unlabelled pages count as no evidence; of
@@ -45,7 +46,6 @@ RULES = (
     Rule(BLOCK, "com", "/de/"),
 )
 
-DEPTH = 3
 # Labels' worth of the parent's purity that every node starts with.
 SMOOTHING = 10.0
 # Standard deviations within which a branch counts as similar to its parent.
@@ -82,10 +82,10 @@ def _first_fit(rules: tuple[Rule, ...], host: Column, path: Column, field) -> Co
 
 
 def segments(path: Column) -> Column:
-    """The first segments of a path, variable ones as wildcards."""
+    """The segments of a path, variable ones as wildcards."""
     named = F.filter(F.split(path, "/"), lambda one: one != "")
     variable = lambda one: one.rlike("[0-9]") | (F.length(one) > LONGEST_SEGMENT) | one.contains("*")
-    return F.transform(F.slice(named, 1, DEPTH), lambda one: F.when(variable(one), "*").otherwise(one))
+    return F.transform(named, lambda one: F.when(variable(one), "*").otherwise(one))
 
 
 def _grow(leaves: DataFrame, level: int) -> DataFrame:
@@ -129,15 +129,22 @@ def template_tree(urls: DataFrame) -> DataFrame:
     )
     leaves = leaves.withColumn("path_key", F.array_join("segments", "/"))
     leaves = durable(leaves)
-    seen = leaves.agg(F.sum("labelled").alias("n"), F.sum("bad").alias("b")).first()
+    seen = leaves.agg(
+        F.sum("labelled").alias("n"), F.sum("bad").alias("b"), F.max(F.size("segments")).alias("depth")
+    ).first()
     overall = seen["b"] / seen["n"] if seen["n"] else 0.0
     per_host = leaves.groupBy("host").agg(
         ((F.sum("bad") + SMOOTHING * overall) / (F.sum("labelled") + SMOOTHING)).alias("purity")
     )
     grown = leaves.join(per_host, "host").withColumn("template", F.lit(""))
-    for level in range(DEPTH):
+    placed = []
+    for level in range(seen["depth"] or 0):
         grown = durable(_grow(grown, level))
-    return grown.select("host", "path_key", "template", "purity")
+        # a path that ends here has counted for its parent and keeps its template from now on
+        ended = F.size("segments") <= level
+        placed.append(grown.filter(ended))
+        grown = grown.filter(~ended)
+    return reduce(DataFrame.unionByName, [*placed, grown]).select("host", "path_key", "template", "purity")
 
 
 def judge(pages: DataFrame, labels: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:

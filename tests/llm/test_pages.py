@@ -94,6 +94,31 @@ def test_similar_branches_are_merged(spark):
     assert {r.template for r in found.collect()} == {"/*/*"}
 
 
+def test_templates_part_at_any_depth(spark):
+    rows, labels = [], []
+
+    def add(path, bad):
+        rows.append((len(rows), f"http://host.net{path}"))
+        labels.append((len(labels), bad))
+
+    for i in range(100):
+        for _ in range(3):
+            add(f"/a/b/c/good/{i}", 0)
+        add(f"/a/b/c/bad/{i}", 1)
+        # under one start of three segments, and as far apart as the fifth and the eighth segment
+        add("/x/y/z", 0)
+        add(f"/x/y/z/{i}/deep", 1)
+        for _ in range(3):
+            add(f"/1/2/3/4/q/r/s/fine/{i}", 0)
+        add(f"/1/2/3/4/q/r/s/foul/{i}", 1)
+    table = spark.createDataFrame(rows, "page_id long, url string")
+    found = urls.judge(table, spark.createDataFrame(labels, "page_id long, bad int")).collect()
+    assert sorted(r.page_id for r in found) == list(range(len(rows)))
+    blocked = dict(labels)
+    assert all(r.verdict == ("block" if blocked[r.page_id] else "allow") for r in found)
+    assert all(r.template.count("/") == r.path.count("/") for r in found)
+
+
 def record(kind, number, url, date, status, *fields):
     head = f"WARC/1.0\r\nWARC-Type: {kind}\r\nWARC-Record-ID: {number}\r\nWARC-Target-URI: {url}\r\nWARC-Date: {date}"
     return head + f"\r\n\r\nHTTP/1.1 {status} X\r\n" + "\r\n".join(fields) + "\r\n\r\nbody of " + number
