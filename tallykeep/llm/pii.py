@@ -46,7 +46,7 @@ _GENERATORS = {
     "email_spelled": r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]{1,64}+ ?[\[(]? ?(?:at|AT) ?[\])]? ?[A-Za-z0-9\-]{1,63}+"
     r"(?: ?[\[(]? ?(?:dot|DOT) ?[\])]? ?[A-Za-z0-9\-]{1,63}+){1,4}",
     "phone_national": r"(?<![0-9A-Za-z+.\-])[(]?[0-9]{2,4}[)]?(?:[ .\-]{1,2}[0-9]{2,5}){1,4}+(?![0-9A-Za-z])",
-    "secret": r"(?<![A-Za-z0-9_\-])[A-Za-z0-9_\-]{20,200}+(?![A-Za-z0-9_\-])",
+    "secret": r"(?<![A-Za-z0-9_\-])[A-Za-z0-9_\-]{20,}+",
 }
 
 # Code points before a candidate that count as its context.
@@ -56,6 +56,8 @@ _CONTEXT = {
     "says_phone": "(?i)(phone|tel|call|fax|mobile|whatsapp)",
     "says_secret": "(?i)(token|secret|password|passwd|api|key|auth|bearer)",
     "assigned": "[=:] ?[\"']?$",
+    # one of the dotted parts of a long token
+    "joined": r"[A-Za-z0-9_\-]{16}\.$",
 }
 FEATURES = (
     "length", "digits", "letters", "uppers", "separators", "groups", "brackets", "switches", *_CONTEXT,
@@ -159,6 +161,12 @@ def labelled_table(spark: SparkSession) -> DataFrame:
     word = F.element_at(F.split(F.lit("ann bob info sales maria theo shop news"), " "), number(1, 8) + 1)
     site = F.element_at(F.split(F.lit("mail example corp web home"), " "), number(2, 5) + 1)
     hexes = F.substring(F.sha2(F.col("id").cast("string"), 256), F.lit(1), number(3, 24) + 20)
+    blocks = [F.unhex(F.sha2(F.concat_ws("/", F.col("id").cast("string"), F.lit(str(k))), 512)) for k in range(12)]
+    random = F.translate(F.base64(F.concat(*blocks)), "+/=\r\n", "-_")  # 1,024 characters
+    long = F.substring(random, F.lit(1), number(3, 800) + 201)
+    part = F.substring(random, F.lit(1), number(3, 960) + 40)
+    previous = F.concat(F.substring(F.reverse(random), F.lit(1), F.lit(CONTEXT_CHARS - 1)), F.lit("."))
+    words = F.repeat(F.concat(word, site), number(3, 100) + 40)
     prose = F.element_at(F.split(F.lit("and the|of this|in a|was from|see page|since|version|about"), r"\|"), number(4, 8) + 1)
     phone_word = F.element_at(F.split(F.lit("call |phone: |Tel. |fax |mobile "), r"\|"), number(5, 5) + 1)
     mail_word = F.element_at(F.split(F.lit("mail |contact: |write to |reach me "), r"\|"), number(5, 4) + 1)
@@ -186,6 +194,16 @@ def labelled_table(spark: SparkSession) -> DataFrame:
         ("secret", F.concat(F.repeat(word, 3), F.repeat(site, 3)), secret_word, 0),
         ("secret", F.concat(F.lit("section-"), number(6, 99).cast("string"), F.lit("-"), F.repeat(word, 4)), plain, 0),
         ("secret", F.lpad(digits(6, 9), 24, "1234567890"), plain, 0),
+        # longer than any single line of hex digits or words
+        ("secret", long, secret_word, 1),
+        ("secret", F.substring(F.lower(F.hex(F.concat(*blocks))), F.lit(1), number(3, 800) + 201), secret_word, 1),
+        ("secret", part, previous, 1),
+        ("secret", long, plain, 0),
+        ("secret", words, plain, 0),
+        ("secret", words, secret_word, 0),
+        ("secret", F.concat(F.lit("section-"), number(6, 99).cast("string"), F.lit("-"), words), plain, 0),
+        ("secret", F.lpad(digits(6, 9), number(3, 800) + 201, "1234567890"), plain, 0),
+        ("secret", F.repeat(F.element_at(F.split(F.lit("- _ -_ _-"), " "), number(6, 4) + 1), number(3, 300) + 201), plain, 0),
     ]
     spans = F.array(
         *[

@@ -54,6 +54,34 @@ def test_added_spans_and_clean_text(spark):
     assert (found[4], found[5], found[6]) == ("", "", "")
 
 
+def token(seed, length, of="ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"):
+    return "".join(random.Random(seed).choices(of, k=length))
+
+
+def test_long_secrets(spark):
+    secrets = [token(i, length) for i, length in enumerate((200, 201, 342, 684, 1_000, 5_000, 50_000))]
+    secrets += ["0123456789abcdef" * 20, token(9, 512, "0123456789abcdef")]
+    before, behind = 'the login used token = "', '" until Monday'
+    rows = [(i, before + one + behind) for i, one in enumerate(secrets)]
+    parts = ["eyJhbGciOiJSUzI1NiIsInR5cCI6IkpXVCJ9", "eyJ" + token(11, 397), token(12, 342)]
+    rows.append((100, "token = " + ".".join(parts) + " was sent"))
+    rows += [
+        (200, "a" * 50_000), (201, "see page " + "-" * 300 + " end"), (202, "see page " + "_" * 5_000), (203, "of this " + "1234567890" * 30),
+        (204, "about " + "averylongwordofnothing" * 20), (205, "password = " + "averylongwordofnothing" * 20), (206, "the " + "part-of-a-long-title-" * 30),
+    ]
+    found = {r.doc_id: r.spans for r in pii.span_digest(frame(spark, rows)).collect()}
+    for i, one in enumerate(secrets):
+        assert found[i] == f"secret:{len(before)}:{len(before) + len(one)}", (i, found[i])
+    places, at = [], len("token = ")
+    for part in parts:
+        places.append(f"secret:{at}:{at + len(part)}")
+        at += len(part) + 1
+    assert found[100] == ",".join(places)
+    assert {i: found[i] for i in range(200, 207)} == {i: "" for i in range(200, 207)}
+    cleaned = {r.doc_id: r.text for r in pii.redact(frame(spark, rows)).collect()}
+    assert cleaned[6] == before + "[SECRET]" + behind and cleaned[100] == "token = [SECRET].[SECRET].[SECRET] was sent"
+
+
 def test_redaction(spark):
     rows = [
         (1, "😀 a@b.de or 1.2.3.4, +49 (30) 1234567!"), (2, None), (3, "nothing"), (3, "nothing"), (4, ""),
