@@ -15,7 +15,8 @@ leave the scan at once; a large benchmark only fills the bitmap. No text is shuf
 
 Defined cases: null and empty texts have no shingles, leak nothing and hold nothing; an
 item of fewer than five words is one shingle, its whole word sequence, looked for as
-such; items with the same text each match; rows sharing a doc_id are each compared and
+such; items with the same text each match; rows sharing an item_id are each looked for on
+their own, and the one that shares most is reported; rows sharing a doc_id are each compared and
 reported once per item; rows without an id are reported with a null id; extra columns
 are ignored; an empty table on either side gives an empty result.
 """
@@ -37,7 +38,7 @@ CONTAINED_PERCENT = 80
 # Bits of the bitmap of the benchmark's shingles: 128 KB.
 BITMAP_BITS = 20
 
-_ITEM = "item_id long, width int, size int, hash long, in_sketch boolean"
+_ITEM = "item_id long, item_row long, width int, size int, hash long, in_sketch boolean"
 _HIT = "doc_id long, row long, width int, hash long"
 
 
@@ -54,9 +55,9 @@ def _sets_by_width(texts: pa.Array, widths: tuple[int, ...]) -> Iterator[tuple[i
 
 def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        numbers = batch.column(0).to_pylist()
-        columns: list[list] = [[], [], [], [], []]
-        for row, count, sets in _sets_by_width(batch.column(1), tuple(range(1, SHINGLE_WORDS + 1))):
+        numbers, rows = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+        columns: list[list] = [[], [], [], [], [], []]
+        for row, count, sets in _sets_by_width(batch.column(2), tuple(range(1, SHINGLE_WORDS + 1))):
             if not count:
                 continue
             width = min(count, SHINGLE_WORDS)
@@ -64,14 +65,15 @@ def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             size = len(shingles)
             sketch = size - -(-CONTAINED_PERCENT * size // 100) + 1
             columns[0] += [numbers[row]] * size
-            columns[1] += [width] * size
-            columns[2] += [size] * size
-            columns[3] += shingles.view(np.int64).tolist()
-            columns[4] += [i < sketch for i in range(size)]
-        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.bool_()]
+            columns[1] += [rows[row]] * size
+            columns[2] += [width] * size
+            columns[3] += [size] * size
+            columns[4] += shingles.view(np.int64).tolist()
+            columns[5] += [i < sketch for i in range(size)]
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.bool_()]
         yield pa.RecordBatch.from_arrays(
             [pa.array(c, kind) for c, kind in zip(columns, kinds)],
-            names=["item_id", "width", "size", "hash", "in_sketch"],
+            names=["item_id", "item_row", "width", "size", "hash", "in_sketch"],
         )
 
 
@@ -116,9 +118,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, n_item_shingles, n_shared): every document that holds an item."""
     bounded_batches(docs.sparkSession)
     items = durable(
-        benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).mapInArrow(
-            _items, _ITEM
-        )
+        benchmark.select(
+            F.col("item_id").cast("long").alias("item_id"),
+            F.monotonically_increasing_id().alias("item_row"),
+            F.col("text").cast("string").alias("text"),
+        ).mapInArrow(_items, _ITEM)
     )
     # sizes between powers of two form a partition; so there are few rows, whatever the benchmark
     power = F.floor(F.log2("size")).cast("int")
@@ -146,13 +150,14 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     held = texts.mapInArrow(_probe(partitions, bitmaps["sketch"], bitmaps["whole"]), _HIT)
     shared = (
         held.join(items, ["width", "hash"])
-        .groupBy("doc_id", "row", "item_id", "size")
+        .groupBy("doc_id", "row", "item_id", "item_row", "size")
         .agg(F.count("*").alias("n_shared"), F.max("in_sketch").alias("met"))
         .filter(F.col("met") & (100 * F.col("n_shared") >= CONTAINED_PERCENT * F.col("size")))
     )
-    return shared.groupBy("doc_id", "item_id").agg(
-        F.max(F.col("size").cast("long")).alias("n_item_shingles"), F.max("n_shared").alias("n_shared")
-    )
+    # of several texts of an item, or rows of a document, the figures of those that share most
+    most = F.max(F.struct("n_shared", F.col("size").cast("long").alias("size"))).alias("most")
+    found = shared.groupBy("doc_id", "item_id").agg(most)
+    return found.select("doc_id", "item_id", F.col("most.size").alias("n_item_shingles"), F.col("most.n_shared").alias("n_shared"))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

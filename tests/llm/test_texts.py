@@ -106,6 +106,18 @@ def test_decontamination_drops_whole_documents(spark):
     assert kept.columns == table.columns and sorted(str(r.doc_id) for r in kept.collect()) == ["2", "None"]
 
 
+def test_repeated_items_count_each_row_on_its_own(spark):
+    words = [f"w{i}" for i in range(14)]  # 10 shingles
+    other = [f"v{i}" for i in range(14)]
+    items = [(1, " ".join(words))] * 2 + [(2, " ".join(words)), (2, " ".join(other))]
+    items += [(3, " ".join(words + ["x"])), (3, " ".join(words[:9]))]
+    docs = [(1, " ".join(words[:8])), (2, " ".join(words)), (3, " ".join(words[:8] + ["-"] + other[:8]))]
+    table, benchmark = frame(spark, docs), spark.createDataFrame(items, "item_id long, text string")
+    found = sorted(tuple(r) for r in decontaminate.leaks(table, benchmark).collect())
+    assert found == [(1, 3, 5, 4), (2, 1, 10, 10), (2, 2, 10, 10), (2, 3, 11, 10), (3, 3, 5, 4)]
+    assert [r.doc_id for r in decontaminate.clean(table, spark.createDataFrame(items[:4], "item_id long, text string")).collect()] == [1, 3]
+
+
 def test_empty_tables(spark):
     none = frame(spark, [])
     items = spark.createDataFrame([], "item_id long, text string")
