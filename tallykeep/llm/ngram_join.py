@@ -492,6 +492,16 @@ def _links(docs: DataFrame, nodes: DataFrame, candidates: DataFrame, link: Linki
     return ordered.mapInArrow(_verified(link), "a long, b long")
 
 
+def _versions(sets: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(a, b): an id that bears different sets, and the document that stands for each of them."""
+    own = sets.filter((F.col("n") > 0) & F.col("doc_id").isNotNull()).select("doc_id", "n", "low", "high")
+    one = F.struct("n", "low", "high")
+    several = own.groupBy("doc_id").agg(F.min(one).alias("least"), F.max(one).alias("most")).filter("least != most")
+    versions = own.join(several.select("doc_id"), "doc_id", "left_semi").distinct()
+    standing = nodes.select("n", "low", "high", F.col("doc_id").alias("b"))
+    return versions.join(standing, ["n", "low", "high"]).select(F.col("doc_id").alias("a"), "b")
+
+
 def link_components(docs: DataFrame, link: Linking = JOIN) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs`` (doc_id, text)."""
     bounded_batches(docs.sparkSession)
@@ -503,7 +513,8 @@ def link_components(docs: DataFrame, link: Linking = JOIN) -> DataFrame:
         .groupBy("n", "low", "high")
         .agg(F.min("doc_id").alias("doc_id"), F.first("point").alias("point"))
     )
-    linked = components(_links(docs, nodes, _candidate_links(docs, nodes, slots, link), link))
+    links = _links(docs, nodes, _candidate_links(docs, nodes, slots, link), link)
+    linked = components(links.unionByName(_versions(sets, nodes)))
     known = durable(
         nodes.join(linked, nodes["doc_id"] == linked["node"], "left").select(
             "n", "low", "high", F.coalesce("component", nodes["doc_id"]).alias("component")

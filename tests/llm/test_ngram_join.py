@@ -64,6 +64,15 @@ def test_ids_that_are_missing_or_repeated(spark):
     assert result == [(0, 0, None), (0, 2, None), (2, 2, 2), (5, 2, 2), (5, 2, 2)]
 
 
+def test_versions_of_an_id_are_one_document(spark):
+    a, b, c, d = (" ".join(f"{name}{i}" for i in range(30)) for name in "abcd")
+    rows = [(3, b), (5, a), (5, b), (7, a), (8, c), (8, d), (9, d + " x"), (6, c), (10, "nothing like the others here"), (8, "")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    result = sorted((r.doc_id, r.component_id) for r in ngram_join.link_components(frame).collect() if r.n_shingles)
+    assert result == [(3, 3), (5, 3), (5, 3), (6, 6), (7, 3), (8, 6), (8, 6), (9, 6), (10, 10)]
+    assert sorted(tuple(r) for r in ngram_join.first_of_each(frame).collect()) == [(3, b), (6, c), (10, rows[8][1])]
+
+
 def test_texts_without_an_id_link_nothing(spark):
     text = [f"x{i}" for i in range(60)]
     rows = [(None, " ".join(text)), (None, " ".join(text + ["y"])), (4, " ".join(text + ["z"])), (9, " ".join(text + ["w"]))]
