@@ -13,7 +13,7 @@ over its buckets. Payloads take no part; only record ids, times, validators and
 fields are shuffled.
 
 Defined cases: a null or malformed record has null fields and is neither a response nor
-a revisit; a response is full if its status is 200; captures of the same second are not
+a revisit; a response is full if its status is 200; captures of the same instant are not
 earlier than each other; of responses at one time the largest record id counts, so
 repeated records do no harm; a revisit without an earlier response is ``unresolved``, one
 whose validators differ ``mismatch``, one without validators ``unverified`` (it resolves);
@@ -25,8 +25,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tallykeep.llm.common import durable
+
 CRLF = "\r\n"
 VERSION = "WARC/1.0"
+# What the version lines of WARC 1.0 and 1.1 start with.
+VERSION_START = "WARC/1."
 # Seconds of a time bucket of one URL.
 BUCKET_SECONDS = 86_400
 
@@ -40,9 +44,30 @@ _TRACKING = r"(?:utm_[^=&]*|ref|fbclid|gclid)(?:=[^&]*)?"
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """(raw): the records of WARC files, read and split by Spark's text source."""
-    raw = spark.read.option("lineSep", VERSION + CRLF).text(path)
-    return raw.filter(F.trim("value") != "").select(F.concat(F.lit(VERSION + CRLF), "value").alias("raw"))
+    """(raw): the records of WARC files, read and split by Spark's text source.
+
+    A record starts at a version line that a WARC field follows. Pieces that start
+    elsewhere belong to the record before them; only records with such pieces are shuffled.
+    """
+    starts = F.col("value").rlike(r"(?i)^[01]\r\n(WARC-|Content-(Length|Type):)")
+    pieces = spark.read.option("lineSep", VERSION_START).text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("piece"),
+        starts.alias("starts"),
+        "value",
+    )
+    so_far = Window.partitionBy("file").orderBy("block", "piece").rowsBetween(Window.unboundedPreceding, 0)
+    start = F.last(F.when(F.col("starts"), F.col("piece")), ignorenulls=True).over(so_far)
+    rest = pieces.drop("value").withColumn("start", start).filter(~F.col("starts") & F.col("start").isNotNull())
+    rest = durable(rest.select("piece", "start"))
+    cut = rest.select(F.col("start").alias("piece")).distinct()
+    first = pieces.filter("starts")
+    whole = first.join(cut, "piece", "left_anti").select("value")
+    parts = first.join(cut, "piece", "left_semi").withColumn("start", F.col("piece")).unionByName(pieces.join(rest, "piece"))
+    ordered = F.array_sort(F.collect_list(F.struct("block", "piece", "value")))
+    joined = parts.groupBy("start").agg(F.array_join(F.transform(ordered, lambda one: one["value"]), VERSION_START).alias("value"))
+    return whole.unionByName(joined.select("value")).select(F.concat(F.lit(VERSION_START), "value").alias("raw"))
 
 
 def canonical_url(url: Column) -> Column:
@@ -75,20 +100,26 @@ def field(fields: Column, name: str) -> Column:
 
 
 def parse(records: DataFrame) -> DataFrame:
-    """(record_id, kind, url, at, status, fields, payload) from raw records.
+    """(record_id, kind, url, at, instant, status, fields, payload) from raw records.
 
-    ``at`` is in seconds; ``fields`` are those of the HTTP message.
+    ``at`` is in whole seconds, ``instant`` in nanoseconds; ``fields`` are those of the HTTP message.
     """
     gap = CRLF + CRLF
     after_head = F.expr(f"substring(raw, length(substring_index(raw, '{gap}', 1)) + 5)")
     split = records.select(F.substring_index("raw", gap, 1).alias("head"), after_head.alias("message"))
     split = split.withColumn("head", _fields(F.col("head")))
     http = F.substring_index("message", gap, 1)
+    date = field(F.col("head"), "warc-date")
+    fraction = r"(:[0-9]{2})\.([0-9]{1,9})(?=[^0-9])"
+    at = F.unix_timestamp(F.try_to_timestamp(F.regexp_replace(date, fraction, "$1"), F.lit("yyyy-MM-dd'T'HH:mm:ssX")))
+    nanos = F.rpad(F.regexp_extract(date, fraction, 2), 9, "0").cast("decimal(9,0)")
+    instant = at.cast("decimal(18,0)") * F.lit(1_000_000_000).cast("decimal(10,0)") + nanos
     return split.select(
         field(F.col("head"), "warc-record-id").alias("record_id"),
         field(F.col("head"), "warc-type").alias("kind"),
         field(F.col("head"), "warc-target-uri").alias("url"),
-        F.unix_timestamp(F.try_to_timestamp(field(F.col("head"), "warc-date"), F.lit("yyyy-MM-dd'T'HH:mm:ssX"))).alias("at"),
+        at.alias("at"),
+        instant.cast("decimal(38,0)").alias("instant"),
         F.expr(r"try_cast(regexp_extract(message, '^HTTP/[0-9.]+ ([0-9]{3})', 1) AS int)").alias("status"),
         _fields(F.regexp_replace(http, r"^[^\r\n]*\r?\n", "")).alias("fields"),
         F.expr(f"substring(message, length(substring_index(message, '{gap}', 1)) + 5)").alias("payload"),
@@ -111,12 +142,13 @@ def resolve(records: DataFrame) -> DataFrame:
         "record_id",
         F.coalesce(canonical_url(F.col("url")), F.lit("")).alias("url_key"),
         "at",
+        "instant",
         F.floor(F.col("at") / BUCKET_SECONDS).cast("long").alias("bucket"),
         is_response.alias("full"),
         "fields",
     )
-    response = F.when(F.col("full"), F.struct("at", "record_id", "fields"))
-    earlier_here = Window.partitionBy("url_key", "bucket").orderBy("at").rangeBetween(Window.unboundedPreceding, -1)
+    response = F.when(F.col("full"), F.struct("instant", "record_id", "at", "fields"))
+    earlier_here = Window.partitionBy("url_key", "bucket").orderBy("instant").rangeBetween(Window.unboundedPreceding, -1)
     here = captures.withColumn("source", F.max(response).over(earlier_here)).filter(~F.col("full"))
     last = captures.groupBy("url_key", "bucket").agg(F.max(response).alias("last"))
     before = Window.partitionBy("url_key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)

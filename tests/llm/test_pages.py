@@ -176,6 +176,43 @@ def test_warc_files_are_read_record_by_record(spark, tmp_path):
     assert parsed[0].payload.strip() == f"body of {parsed[0].record_id}" and parsed[0].status == 200
 
 
+def test_fractions_of_a_second_are_kept_in_order(spark):
+    one, two, day = 'ETag: "one"', 'ETag: "two"', "2020-01-01T00:00:00"
+    found = resolved(
+        spark,
+        record("response", "r1", "http://a/", day + ".1Z", 200, one),
+        record("response", "r2", "http://a/", day + ".123456788Z", 200, two),
+        record("revisit", "v0", "http://a/", day + "Z", 304, one),
+        record("revisit", "v1", "http://a/", day + ".12Z", 304, one),
+        record("revisit", "v2", "http://a/", day + ".123456788Z", 304, one),
+        record("revisit", "v3", "http://a/", day + ".123456789Z", 304, two),
+        record("revisit", "v4", "http://a/", "2020-02-01T00:00:00Z", 304, two),
+    )
+    assert {i: (r.outcome, r.source_id) for i, r in found.items()} == {
+        "v0": ("unresolved", None), "v1": ("resolved", "r1"), "v2": ("resolved", "r1"), "v3": ("resolved", "r2"), "v4": ("resolved", "r2"),
+    }
+    assert found["v4"].source_at == 1_577_836_800
+
+
+@pytest.mark.parametrize("split", ["128m", "300b"])
+def test_warc_files_of_both_versions_are_read_whole(spark, tmp_path, split):
+    tail = " WARC/1.0\r\nWARC/1.1\r\n and WARC/1.x end"
+    first = [record("response", f"r{i}", "http://a/", "2020-01-01T00:00:00.5Z", 200, "A: b") + tail * (i % 2) for i in range(12)]
+    later = [one.replace("WARC/1.0\r\nWARC-T", "WARC/1.1\r\nWARC-T").replace("ID: r", "ID: s") for one in first]
+    mixed = [one.replace("ID: r", "ID: t").replace("ID: s", "ID: t1") for pair in zip(first, later) for one in pair]
+    for name, records in {"one": first, "two": later, "both": mixed}.items():
+        (tmp_path / f"{name}.warc").write_bytes("".join(one + "\r\n\r\n" for one in records).encode())
+    key, before = "spark.sql.files.maxPartitionBytes", spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set(key, split)
+    try:
+        raw = [r.raw for r in warc.read_warc(spark, str(tmp_path)).collect()]
+        parsed = warc.parse(warc.read_warc(spark, str(tmp_path))).collect()
+    finally:
+        spark.conf.set(key, before)
+    assert sorted(raw) == sorted(one + "\r\n\r\n" for one in first + later + mixed)
+    assert all(r.at == 1_577_836_800 and r.status == 200 for r in parsed)
+
+
 def test_crawl_of_pages(spark):
     rows = [(i, f"http://h.com/{i % 5}", f"<p>{i % 3}") for i in range(0, 40, 4)] + [(50, None, None), (51, "", "")]
     table = spark.createDataFrame(rows, "page_id long, url string, html string")
