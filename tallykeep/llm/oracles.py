@@ -7,9 +7,12 @@ or searched. The other queries are tested against plain Python: op4 (boosted tre
 
 from __future__ import annotations
 
-from tallykeep.llm import chat, decontaminate, ngram_join, quality, repeats
+from tallykeep.llm import chat, decontaminate, ngram_join, quality, repeats, resample, search
 
 _SPACE = r"[\x20\x09-\x0D]"
+# Words of operator 11, after lowering, and terms of operator 12, before it.
+_PLAIN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def _words(text: str) -> str:
@@ -155,6 +158,70 @@ def _op10() -> str:
     GROUP BY o.conv_id"""
 
 
+def _op11() -> str:
+    draw = resample.DEFAULT
+    features = f"SELECT unnest(words) AS feature FROM (SELECT regexp_extract_all({_lower('text')}, '{_PLAIN}') AS words FROM {{}})"
+    return f"""WITH d AS (SELECT doc_id, regexp_extract_all({_lower("coalesce(text, '')")}, '{_PLAIN}') AS words FROM documents),
+    crc AS (
+      SELECT list_transform(range(256), lambda one: list_reduce(range(8),
+               lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, one)) AS steps),
+    held AS (SELECT feature, COUNT(*) AS n FROM ({features.format('documents')}) GROUP BY feature),
+    wanted AS (SELECT feature, COUNT(*) AS n FROM ({features.format('benchmark')}) GROUP BY feature),
+    digits AS (SELECT feature, hex(encode(feature)) AS code FROM (SELECT feature FROM held UNION SELECT feature FROM wanted)),
+    bytes AS (
+      SELECT feature, list_transform(range(1, length(code), 2), lambda i:
+               16 * (instr('0123456789ABCDEF', code[i]) - 1) + instr('0123456789ABCDEF', code[i + 1]) - 1) AS codes FROM digits),
+    bucketed AS (
+      SELECT feature, xor(4294967295, list_reduce(codes,
+               lambda c, one: xor(c >> 8, steps[CAST(xor(c, one) & 255 AS BIGINT) + 1]), 4294967295)) % {draw.buckets} AS bucket
+      FROM bytes, crc),
+    s AS (SELECT bucket, SUM(n) AS s FROM held JOIN bucketed USING (feature) GROUP BY bucket),
+    t AS (SELECT bucket, SUM(n) AS t FROM wanted JOIN bucketed USING (feature) GROUP BY bucket),
+    totals AS (SELECT coalesce((SELECT SUM(n) FROM held), 0) AS s_all, coalesce((SELECT SUM(n) FROM wanted), 0) AS t_all),
+    gains AS (
+      SELECT bucket, CAST(floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * (s_all + {draw.buckets})
+               / ((s + 1)::DOUBLE * (t_all + {draw.buckets})))) AS BIGINT) AS gain
+      FROM s LEFT JOIN t USING (bucket), totals),
+    of_features AS (SELECT feature, gain FROM bucketed JOIN gains USING (bucket)),
+    weights AS (
+      SELECT doc_id, SUM(gain) AS weight FROM (SELECT doc_id, unnest(words) AS feature FROM d) JOIN of_features USING (feature)
+      GROUP BY doc_id),
+    scored AS (
+      SELECT d.doc_id, len(words) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+             coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || sha256('{draw.seed}:' || d.doc_id)[1:8] AS BIGINT) + 0.5::DOUBLE)
+               / 4294967296::DOUBLE))) AS BIGINT) AS score
+      FROM d LEFT JOIN weights USING (doc_id)),
+    ranked AS (
+      SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, COUNT(*) OVER () AS eligible
+      FROM scored WHERE n_features >= {draw.least_words})
+    SELECT doc_id, n_features, weight, CAST(score AS BIGINT) AS score,
+           CASE WHEN place <= {draw.percent} * eligible // 100 THEN place END AS rank
+    FROM scored LEFT JOIN ranked USING (doc_id)"""
+
+
+def _op12() -> str:
+    rank = search.RANKING
+    terms = f"regexp_extract_all(coalesce(text, ''), '{_TERM}')"
+    return f"""WITH d AS (
+      SELECT doc_id, list_transform({terms}, lambda one: {_lower('one')}) AS terms FROM documents),
+    totals AS (SELECT COUNT(*) FILTER (len(terms) > 0) AS n_docs, SUM(len(terms)) AS n_terms FROM d),
+    held AS (SELECT doc_id, term, COUNT(*) AS tf FROM (SELECT doc_id, unnest(terms) AS term FROM d) GROUP BY ALL),
+    weights AS (
+      SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * COUNT(*) + 1))) AS BIGINT) AS w
+      FROM held, totals GROUP BY term, n_docs),
+    factors AS (
+      SELECT doc_id, {100 - rank.by_length} + ({rank.by_length} * len(terms) * n_docs) // n_terms AS m FROM d, totals WHERE len(terms) > 0),
+    asked AS (
+      SELECT item_id, {_lower('term')} AS term, COUNT(*) AS times FROM (SELECT item_id, unnest({terms}) AS term FROM benchmark) GROUP BY ALL),
+    scored AS (
+      SELECT item_id, doc_id, SUM(times * w * ((1000000000 * tf) // (1000 * tf + {rank.eighths} * m))) AS score
+      FROM asked JOIN weights USING (term) JOIN held USING (term) JOIN factors USING (doc_id) GROUP BY item_id, doc_id),
+    ranked AS (
+      SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score
+      FROM scored WHERE score > 0)
+    SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= {search.HITS}"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_ngram_jaccard_join": _op1(),
@@ -162,4 +229,6 @@ def oracle_sql() -> dict[str, str]:
         "op3_substring_dedup": _op3(),
         "op7_decontamination": _op7(),
         "op10_chat_formatting": _op10(),
+        "op11_importance_resampling": _op11(),
+        "op12_lexical_search": _op12(),
     }

@@ -7,7 +7,9 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallykeep.llm import bpe, chat, decontaminate, ngram_join, pages, pii, quality, repeats, urls, warc
+from tallykeep.llm import (
+    bpe, chat, decontaminate, language, ngram_join, pages, pii, quality, repeats, resample, search, urls, warc,
+)
 from tallykeep.llm.common import only, table
 
 # The vocabulary the BPE query uses; its place is looked up where the package is installed.
@@ -101,3 +103,18 @@ def op10_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
         "FROM VALUES (0L, 'user'), (1L, 'assistant') AS t(turn, role)"
     )
     return chat.digest(chat.windows(given.unionByName(added)))
+
+
+@_query
+def op11_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return resample.drawn(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@_query
+def op12_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return search.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@_query
+def op13_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language.learnt_and_identified(table(spark, folder, "documents"))
