@@ -12,11 +12,16 @@ shingles, in any common order. Shingles are ordered by how many the corpus has i
 counting slot, so passages that many documents share come last. Each such shared shingle
 is the root of a small tree, and its probes give candidate links.
 
-What the candidates connect is gathered, each set once, and joined again by a tree with
-exact verification. A set already connected to the probe needs no further look. Large
-gatherings are cut into cells of which any two meet, so no pair is lost.
+What the candidates connect is gathered, each set once, and joined again by a tree; sets that
+their shingles' hashes link are compared once more by their words. A set already connected to
+the probe needs no further look. A gathering too large for one cell is joined in rounds: first
+every cell holds a share of its sets and the same few pivots, which connects nearly all of
+a group of near copies; only sets still apart from the largest component then meet
+all cells. Each set travels once per round, and every cell and tree names a component
+by its smallest member, so equal findings are one link.
 
-Exact copies are one set throughout: they meet only in the final lookup by fingerprint.
+Exact copies, texts of the same words in order, are one set throughout: they meet only in the
+final lookup by a 128-bit digest of their words.
 
 Defined cases: a null or empty text, or one without words, has no shingles and links
 with nothing; fewer than four words are one shingle; rows without an id have no
@@ -26,6 +31,7 @@ links by any of them; extra columns are ignored; an empty table gives an empty r
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
@@ -34,6 +40,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tallykeep.llm.common import bounded_batches, durable, free_name, partitions
 from tallykeep.llm.graph import components
@@ -44,8 +51,12 @@ from tallykeep.llm.words import mix, shingle_sets
 SHINGLES_PER_GROUP = 8
 # Counters of the corpus' shingles. Their number is fixed; they only order shingles.
 SLOT_BITS = 16
-# Sets in one cell of a large gathering; a cell pair holds up to twice as many.
-CELL_SETS = 128
+# Shingles of the sets in one cell, about; a larger gathering is joined in rounds.
+CELL_SHINGLES = 1 << 18
+# Sets of a large gathering that all its cells hold in the first rounds, about.
+PIVOTS = 16
+# Rounds with pivots, each with cells of its own, before sets still apart meet all cells.
+ROUNDS = 2
 
 _DESCRIBED = "doc_id long, n long, low long, high long, point binary, slots binary"
 
@@ -85,9 +96,54 @@ def point_of(shingles: np.ndarray, bits: int) -> np.ndarray:
     return np.bincount((shingles >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
 
 
-def fingerprint(shingles: np.ndarray) -> int:
-    """A signed 64-bit number of a set, whatever the order."""
-    return int(mix(shingles).sum(dtype=np.uint64).view(np.int64))
+def digest(text: str | None) -> tuple[int, int]:
+    """Two signed 64-bit numbers of a text's words, A-Z taken as a-z."""
+    found = hashlib.blake2b(b" ".join((text or "").encode().lower().split()), digest_size=16).digest()
+    return int.from_bytes(found[:8], "little", signed=True), int.from_bytes(found[8:], "little", signed=True)
+
+
+def word_shingles(text: str | None, size: int) -> set[tuple[bytes, ...]]:
+    """A text's shingles as words."""
+    found = (text or "").encode().lower().split()
+    size = min(size, len(found))
+    return {tuple(found[i : i + size]) for i in range(len(found) - size + 1)} if found else set()
+
+
+class Roots:
+    """Components of numbered sets; the smaller of two is relabelled when they join."""
+
+    def __init__(self, labels: np.ndarray):
+        self.of = labels.copy()
+        self.members: dict[int, list[int]] = {}
+        for i, label in enumerate(labels.tolist()):
+            self.members.setdefault(label, []).append(i)
+
+    def unite(self, i: int, j: int) -> bool:
+        a, b = int(self.of[i]), int(self.of[j])
+        if a == b:
+            return False
+        if len(self.members[a]) < len(self.members[b]):
+            a, b = b, a
+        moved = self.members.pop(b)
+        self.of[moved] = a
+        self.members[a] += moved
+        return True
+
+    def edges(self, names: list[int]) -> tuple[list[int], list[int]]:
+        """Every member of a component but its smallest, and that smallest, by name."""
+        ends: tuple[list, list] = ([], [])
+        for members in self.members.values():
+            if len(members) > 1:
+                held = {names[i] for i in members}
+                least = min(held)
+                held.discard(least)
+                ends[0].extend(held)
+                ends[1].extend([least] * len(held))
+        return ends
+
+
+def _edges_batch(ends: tuple[list[int], list[int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(one, pa.int64()) for one in ends], names=["a", "b"])
 
 
 def coarser(point: np.ndarray, bits: int) -> np.ndarray:
@@ -136,33 +192,30 @@ class CountTree:
 def join_trees(
     sizes: np.ndarray,
     points: list[np.ndarray],
-    root: np.ndarray,
+    roots: Roots,
     link: Linking,
     verify: Callable[[int, int], bool],
     sides: np.ndarray | None = None,
-) -> list[tuple[int, int]]:
-    """Connect sets by trees; returns the links that joined two components.
+) -> None:
+    """Connect sets by trees; ``roots`` numbers the components so far and is updated.
 
-    ``root`` numbers the components so far and is updated. There is a tree per number of
-    groups; a set probes the tree of its own number and, as linked sets differ little in
-    size, the one of half as many. With ``sides``, sets of one side do not meet.
+    There is a tree per number of groups; a set probes the tree of its own number and, as
+    linked sets differ little in size, the one of half as many. With ``sides``, sets of
+    one side do not meet.
     """
-    links: list[tuple[int, int]] = []
     bits = np.array([int(len(point)).bit_length() - 1 for point in points])
     for level in np.unique(bits):
         held = np.flatnonzero(bits == level)
         tree = CountTree(sizes[held], np.stack([points[i] for i in held]), link)
         for i in np.flatnonzero((bits == level) | (bits == level + 1)):
-            if (root[held] == root[i]).all():
-                continue
+            if len(roots.members) == 1:
+                return
             found = held[tree.probe(int(sizes[i]), coarser(points[i], int(level)))]
             if sides is not None:
                 found = found[sides[found] != sides[i]]
-            for j in found[root[found] != root[i]]:
-                if root[j] != root[i] and verify(i, j):
-                    root[root == root[j]] = root[i]
-                    links.append((i, j))
-    return links
+            for j in found[roots.of[found] != roots.of[i]]:
+                if roots.of[i] != roots.of[j] and verify(int(i), int(j)):
+                    roots.unite(int(i), int(j))
 
 
 def _describe(link: Linking):
@@ -178,10 +231,11 @@ def _describe(link: Linking):
         for batch in batches:
             ids = batch.column(0).to_pylist()
             columns: list[list] = [ids, [], [], [], [], [None] * len(ids)]
-            for _, shingles in shingle_sets(batch.column(1), link.words):
+            for row, shingles in shingle_sets(batch.column(1), link.words):
+                low, high = digest(batch.column(1)[row].as_py())
                 columns[1].append(len(shingles))
-                columns[2].append(fingerprint(shingles))
-                columns[3].append(fingerprint(~shingles))
+                columns[2].append(low)
+                columns[3].append(high)
                 columns[4].append(point_of(shingles, group_bits(len(shingles))).astype(np.uint32).tobytes())
                 slots += np.bincount((shingles >> np.uint64(64 - SLOT_BITS)).astype(np.int64), minlength=len(slots))
             yield record(columns)
@@ -206,11 +260,11 @@ def _emit_prefixes(parts: int, slots: np.ndarray, link: Linking):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints: dict[int, np.ndarray] = {}
-            for _, shingles in shingle_sets(batch.column(0), link.words):
+            for row, shingles in shingle_sets(batch.column(0), link.words):
                 if len(shingles):
                     rarity = slots[(shingles >> np.uint64(64 - SLOT_BITS)).astype(np.int64)]
                     order = np.lexsort((shingles, rarity))[: link.prefix_length(len(shingles))]
-                    prints[fingerprint(shingles)] = shingles[order]
+                    prints[digest(batch.column(0)[row].as_py())[0]] = shingles[order]
             yield packed(parts, list(prints), list(prints.values()), np.uint32)
 
     return emit
@@ -304,19 +358,17 @@ def _offer(buckets: int):
 def _bundle(sets: list[tuple[int, int, np.ndarray]]) -> tuple[bytes, bytes, bytes, bytes]:
     """Prints, sizes, group bits and group counts of sets; counts are small and pack well."""
     counts = np.concatenate([point for *_, point in sets])
-    if counts.max(initial=0) > 65_535:
-        raise ValueError("a group of shingles is too large for its counter")
     bits = [len(point).bit_length() - 1 for *_, point in sets]
     return (
         np.array([one for one, *_ in sets], dtype=np.int64).tobytes(),
         np.array([size for _, size, _ in sets], dtype=np.int64).tobytes(),
         np.array(bits, dtype=np.uint8).tobytes(),
-        zlib.compress(counts.astype(np.uint16).tobytes(), 1),
+        zlib.compress(counts.astype(np.uint32).tobytes(), 1),
     )
 
 
 def _unbundled(row: dict) -> Iterator[tuple[int, int, np.ndarray]]:
-    counts, done = np.frombuffer(zlib.decompress(row["counts"]), np.uint16), 0
+    counts, done = np.frombuffer(zlib.decompress(row["counts"]), np.uint32), 0
     columns = np.frombuffer(row["prints"], np.int64).tolist(), np.frombuffer(row["sizes"], np.int64).tolist()
     for one, size, bits in zip(*columns, np.frombuffer(row["bits"], np.uint8).tolist()):
         yield one, size, counts[done : done + (1 << bits)]
@@ -352,78 +404,84 @@ def _candidates(link: Linking):
                 else:
                     known = sets.setdefault(row["part"], {})
                     known.update({one: (size, point.astype(np.int32)) for one, size, point in _unbundled(row)})
-        links: tuple[list, list] = ([], [])
         for part, (prints, members, lengths) in groups.items():
             prints = np.frombuffer(prints, np.int64).tolist()
-            joined = _join_groups(link, prints, sets.pop(part), np.frombuffer(members, np.int32), np.frombuffer(lengths, np.int32))
-            links[0].extend(prints[i] for i, _ in joined)
-            links[1].extend(prints[j] for _, j in joined)
-        yield pa.RecordBatch.from_arrays([pa.array(one, pa.int64()) for one in links], names=["a", "b"])
+            roots = _join_groups(link, prints, sets.pop(part), np.frombuffer(members, np.int32), np.frombuffer(lengths, np.int32))
+            yield _edges_batch(roots.edges(prints))
 
     return candidates
 
 
-def _join_groups(link: Linking, prints: list[int], known: dict, members: np.ndarray, lengths: np.ndarray) -> list:
-    """Links found in groups of sets that share a shingle; pairs first, they need no tree."""
+def _join_groups(link: Linking, prints: list[int], known: dict, members: np.ndarray, lengths: np.ndarray) -> Roots:
+    """Connect sets in groups that share a shingle; pairs first, they need no tree."""
     sizes = np.array([known[one][0] for one in prints], dtype=np.int64)
     points = [known[one][1] for one in prints]
-    root = np.arange(len(prints))
+    roots = Roots(np.arange(len(prints)))
     heads = np.r_[0, np.cumsum(lengths)[:-1]].astype(np.int64)
-    joined = _join_pairs(link, sizes, points, root, [(members[h], members[h + 1]) for h in heads[lengths == 2]])
+    _join_pairs(link, sizes, points, roots, [(members[h], members[h + 1]) for h in heads[lengths == 2]])
     for h, length in zip(heads[lengths > 2], lengths[lengths > 2]):
         group = members[h : h + length]
-        if (root[group] != root[group[0]]).any():
-            for i, j in join_trees(sizes[group], [points[i] for i in group], root[group], link, lambda i, j: True):
-                _unite(root, int(group[i]), int(group[j]), joined)
-    return joined
-
+        if (roots.of[group] != roots.of[group[0]]).any():
+            within = Roots(roots.of[group])
+            join_trees(sizes[group], [points[i] for i in group], within, link, lambda i, j: True)
+            for together in within.members.values():
+                for i in together[1:]:
+                    roots.unite(int(group[together[0]]), int(group[i]))
+    return roots
 
-def _unite(root: np.ndarray, i: int, j: int, joined: list) -> None:
-    if root[i] != root[j]:
-        root[root == root[j]] = root[i]
-        joined.append((i, j))
 
-
-def _join_pairs(link: Linking, sizes: np.ndarray, points: list[np.ndarray], root: np.ndarray, pairs: list) -> list:
+def _join_pairs(link: Linking, sizes: np.ndarray, points: list[np.ndarray], roots: Roots, pairs: list) -> None:
     """Pairs that the bound admits: trees of two points, without the tree."""
-    joined: list = []
     for i, j in pairs:
         i, j = int(i), int(j)
         small, large = min(sizes[i], sizes[j]), max(sizes[i], sizes[j])
-        if root[i] != root[j] and small >= link.least_size(large):
+        if roots.of[i] != roots.of[j] and small >= link.least_size(large):
             bits = min(len(points[i]), len(points[j])).bit_length() - 1
             bound = np.minimum(coarser(points[i], bits), coarser(points[j], bits)).sum()
             if bound >= link.least_overlap(small + large):
-                _unite(root, i, j, joined)
-    return joined
+                roots.unite(i, j)
 
 
 def _verified(link: Linking):
-    """Links among the sets of each cell; rows come ordered by cell."""
+    """Links among the sets of each cell; rows come ordered by cell.
+
+    A row names its set; a text that is not the set's (another version of the id) is passed over.
+    """
 
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for cell in _cells(batches):
-            ids = [row[0] for row in cell]
+            cell = [row for row in cell if digest(row[3])[0] == row[0]]
+            if len(cell) < 2:
+                continue
+            names = [row[0] for row in cell]
             sides = np.array([row[1] for row in cell])
-            sets = [one for _, one in shingle_sets(pa.array([row[2] for row in cell], pa.string()), link.words)]
+            texts = [row[3] for row in cell]
+            sets = [one for _, one in shingle_sets(pa.array(texts, pa.string()), link.words)]
             sizes = np.array([len(one) for one in sets], dtype=np.int64)
             points = [point_of(one, group_bits(len(one))) for one in sets]
+            in_words: dict[int, set] = {}
+
+            def worded(i: int) -> set:
+                if i not in in_words:
+                    in_words[i] = word_shingles(texts[i], link.words)
+                return in_words[i]
 
             def linked(i: int, j: int) -> bool:
                 shared = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-                return link.holds(shared, len(sets[i]) + len(sets[j]))
+                if not link.holds(shared, len(sets[i]) + len(sets[j])):
+                    return False
+                one, other = worded(i), worded(j)
+                return link.holds(len(one & other), len(one) + len(other))
 
-            crossing = sides if sides.min() != sides.max() else None
-            links = join_trees(sizes, points, np.arange(len(ids)), link, linked, crossing)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([ids[pair[k]] for pair in links], pa.int64()) for k in (0, 1)], names=["a", "b"]
-            )
+            roots = Roots(np.unique([row[2] for row in cell], return_inverse=True)[1])
+            join_trees(sizes, points, roots, link, linked, sides if sides.min() != sides.max() else None)
+            yield _edges_batch(roots.edges(names))
 
     return verified
 
 
 def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
-    """Rows (doc_id, side, text) of one cell at a time."""
+    """Rows (low, side, component, text) of one cell at a time."""
     current, rows = None, []
     for batch in batches:
         for row in batch.to_pylist():
@@ -432,27 +490,33 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
                 yield rows
                 rows = []
             current = cell
-            rows.append((row["doc_id"], row["side"], row["text"]))
+            rows.append((row["low"], row["side"], row["component"], row["text"]))
     if rows:
         yield rows
 
 
-def _dealt_to_cells(gathered: DataFrame) -> DataFrame:
-    """Add the cells of each set: one, or one per pair of chunks of a large gathering."""
-    chunks = F.ceil(F.col("members") / CELL_SETS).cast("int")
-    chunk = F.pmod(F.xxhash64("doc_id"), chunks.cast("long")).cast("int")
-    one = F.struct(
-        F.least(F.col("chunk"), F.col("other")).alias("first"),
-        F.greatest(F.col("chunk"), F.col("other")).alias("second"),
-        (F.col("chunk") > F.col("other")).cast("int").alias("side"),
-    )
-    return (
-        gathered.withColumn("chunks", chunks)
-        .withColumn("chunk", chunk)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-        .select("cluster", "doc_id", "text", one.alias("cell"))
-        .select("cluster", "cell.*", "doc_id", "text")
-    )
+def _share_of(salt: int):
+    """The share of its gathering a set falls into in a round."""
+    return F.pmod(F.xxhash64("low", F.lit(salt)), F.col("shares")).cast("int")
+
+
+def _with_pivots(placed: DataFrame, salt: int) -> DataFrame:
+    """Cells of a round: each set in the cell of its share, a few pivots in every cell."""
+    pivot = (F.col("shares") > 1) & (F.pmod(F.xxhash64("low", F.lit(-1 - salt)), F.col("members")) < PIVOTS)
+    everywhere = F.sequence(F.lit(0), F.col("shares").cast("int") - 1)
+    dealt = placed.withColumn("first", F.explode(F.when(pivot, everywhere).otherwise(F.array(_share_of(salt)))))
+    return dealt.withColumn("second", F.lit(0)).withColumn("side", F.lit(0))
+
+
+def _with_all(placed: DataFrame) -> DataFrame:
+    """Cells of the last round: shares of the sets apart from the largest component meet all shares."""
+    apart = F.col("component") != F.col("largest")
+    away = placed.filter(apart).withColumn("first", _share_of(0))
+    asked = away.groupBy("cluster").agg(F.collect_set("first").alias("asked"))  # at most the gathering's shares
+    others = F.sequence(F.lit(0), F.col("shares").cast("int") - 1)
+    here = away.withColumn("second", F.explode(others)).withColumn("side", F.lit(0))
+    there = placed.join(asked, "cluster").withColumn("second", _share_of(0)).withColumn("first", F.explode("asked"))
+    return here.unionByName(there.drop("asked").withColumn("side", F.lit(1)))
 
 
 def _sets(docs: DataFrame, link: Linking) -> tuple[DataFrame, DataFrame]:
@@ -480,30 +544,54 @@ def _candidate_links(docs: DataFrame, nodes: DataFrame, slots: DataFrame, link:
     return rows.mapInArrow(_candidates(link), "a long, b long")
 
 
-def _links(docs: DataFrame, nodes: DataFrame, candidates: DataFrame, link: Linking) -> DataFrame:
-    """(a, b): verified links between documents, one for each set, that connect all linked."""
+def _joined_cells(docs: DataFrame, cells: DataFrame, link: Linking) -> DataFrame:
+    """(a, b): verified links between the sets of each cell (cluster, first, second, side, low, component, doc_id)."""
     parts = partitions(docs.sparkSession)
+    key = ["cluster", "first", "second"]
+    wanted = docs.join(cells.select(*key, "side", "low", "component", "doc_id"), "doc_id")
+    ordered = wanted.repartition(parts, *key).sortWithinPartitions(*key)
+    return ordered.mapInArrow(_verified(link), "a long, b long").distinct()
+
+
+def _links(docs: DataFrame, nodes: DataFrame, candidates: DataFrame, link: Linking) -> DataFrame:
+    """(a, b): verified links between sets that connect all linked ones."""
     gatherings = components(candidates).select(F.col("node").alias("low"), F.col("component").alias("cluster"))
-    sizes = gatherings.groupBy("cluster").agg(F.count("*").alias("members"))
-    gathered = durable(nodes.select("low", "doc_id").join(gatherings, "low").select("doc_id", "cluster"))
-    placed = durable(gathered.join(durable(sizes), "cluster"))
-    cells = _dealt_to_cells(docs.join(placed, "doc_id"))
-    ordered = cells.repartition(parts, "cluster", "first", "second").sortWithinPartitions("cluster", "first", "second")
-    return ordered.mapInArrow(_verified(link), "a long, b long")
+    shares = F.ceil(F.sum("n") / CELL_SHINGLES).cast("long")
+    held = nodes.select("low", "n", "doc_id").join(gatherings, "low")
+    sizes = held.groupBy("cluster").agg(F.count("*").alias("members"), shares.alias("shares"))
+    placed = durable(held.join(durable(sizes), "cluster").withColumn("component", F.col("low")))
+    links = durable(_joined_cells(docs, _with_pivots(placed, 0), link))
+    large = placed.filter(F.col("shares") > 1)
+    for salt in range(1, 1 if large.isEmpty() else ROUNDS + 1):
+        apart = durable(_still_apart(large, links))
+        if apart.isEmpty():
+            break
+        cells = _with_pivots(apart, salt) if salt < ROUNDS else _with_all(apart)
+        links = durable(links.unionByName(_joined_cells(docs, cells, link)))
+    return links
 
 
-def _versions(sets: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(a, b): an id that bears different sets, and the document that stands for each of them."""
-    own = sets.filter((F.col("n") > 0) & F.col("doc_id").isNotNull()).select("doc_id", "n", "low", "high")
-    one = F.struct("n", "low", "high")
-    several = own.groupBy("doc_id").agg(F.min(one).alias("least"), F.max(one).alias("most")).filter("least != most")
-    versions = own.join(several.select("doc_id"), "doc_id", "left_semi").distinct()
-    standing = nodes.select("n", "low", "high", F.col("doc_id").alias("b"))
-    return versions.join(standing, ["n", "low", "high"]).select(F.col("doc_id").alias("a"), "b")
+def _still_apart(large: DataFrame, links: DataFrame) -> DataFrame:
+    """The sets of gatherings that hold several components, and the largest component of each."""
+    known = components(links).select(F.col("node").alias("low"), F.col("component").alias("found"))
+    labelled = large.join(known, "low", "left").withColumn("component", F.coalesce("found", "low")).drop("found")
+    counted = labelled.groupBy("cluster", "component").agg(F.count("*").alias("size"))
+    several = counted.groupBy("cluster").agg(F.max_by("component", "size").alias("largest"), F.count("*").alias("parts"))
+    return labelled.join(several.filter(F.col("parts") > 1).drop("parts"), "cluster")
 
 
-def link_components(docs: DataFrame, link: Linking = JOIN) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for every row of ``docs`` (doc_id, text)."""
+def _versions(sets: DataFrame) -> DataFrame:
+    """(a, b): the sets that rows of one id bear, each with the id's smallest."""
+    own = sets.filter((F.col("n") > 0) & F.col("doc_id").isNotNull())
+    several = own.groupBy("doc_id").agg(F.min("low").alias("b"), F.max("low").alias("most")).filter("b != most")
+    return own.join(several.select("doc_id", "b"), "doc_id").select(F.col("low").alias("a"), "b").distinct()
+
+
+def _known_sets(docs: DataFrame, link: Linking, versions_join: bool) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n, low, high) of every row, and (n, low, high, doc_id, root) of every set.
+
+    A set's ``doc_id`` is the smallest that bears it, its ``root`` a name of its component.
+    """
     bounded_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sets, slots = _sets(docs, link)
@@ -514,13 +602,18 @@ def link_components(docs: DataFrame, link: Linking = JOIN) -> DataFrame:
         .agg(F.min("doc_id").alias("doc_id"), F.first("point").alias("point"))
     )
     links = _links(docs, nodes, _candidate_links(docs, nodes, slots, link), link)
-    linked = components(links.unionByName(_versions(sets, nodes)))
-    known = durable(
-        nodes.join(linked, nodes["doc_id"] == linked["node"], "left").select(
-            "n", "low", "high", F.coalesce("component", nodes["doc_id"]).alias("component")
-        )
-    )
-    found = sets.select("doc_id", "n", "low", "high").join(known, ["n", "low", "high"], "left")
+    linked = components(links.unionByName(_versions(sets)) if versions_join else links)
+    known = nodes.join(linked, nodes["low"] == linked["node"], "left")
+    root = F.coalesce("component", "low").alias("root")
+    return sets.select("doc_id", "n", "low", "high"), durable(known.select("n", "low", "high", "doc_id", root))
+
+
+def link_components(docs: DataFrame, link: Linking = JOIN) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for every row of ``docs`` (doc_id, text)."""
+    sets, known = _known_sets(docs, link, versions_join=True)
+    least = known.groupBy("root").agg(F.min("doc_id").alias("component"))
+    named = durable(known.drop("doc_id").join(least, "root").drop("root"))
+    found = sets.join(named, ["n", "low", "high"], "left")
     alone = F.col("doc_id").isNull() | (F.col("n") == 0)
     return found.select(
         "doc_id",
@@ -529,15 +622,33 @@ def link_components(docs: DataFrame, link: Linking = JOIN) -> DataFrame:
     )
 
 
+def _with_digest(low: str, high: str):
+    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.schema.get_field_index("text")
+            found = [digest(text) for text in batch.column(at).to_pylist()]
+            arrays = [pa.array([one[k] for one in found], pa.int64()) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *arrays], names=[*batch.schema.names, low, high])
+
+    return marked
+
+
 def first_of_each(docs: DataFrame, link: Linking = NEAR_DUPLICATE) -> DataFrame:
-    """The documents that are the smallest of their component, with their columns unchanged.
+    """One row of each group of linked texts, with its columns unchanged: that of the smallest id.
 
-    Of rows that share an id one stays; rows without an id all stay.
+    Rows that share an id and their words are one; rows that share an id alone are judged
+    each by its text. Rows without an id all stay.
     """
-    later = link_components(docs, link).filter(F.col("component_id") < F.col("doc_id")).select("doc_id").distinct()
-    kept = docs.join(later, "doc_id", "left_anti")
-    place = free_name(kept, "place")
-    others = [F.col(f"`{name}`") for name in kept.columns if name != "doc_id"]
-    order = Window.partitionBy("doc_id").orderBy(*others)
+    sets, known = _known_sets(docs, link, versions_join=False)
+    first = known.groupBy("root").agg(F.min(F.struct("doc_id", "n", "low", "high")).alias("first")).select("first.*")
+    bearing = sets.filter((F.col("n") > 0) & F.col("doc_id").isNotNull()).select("doc_id", "low", "high").distinct()
+    dropped = bearing.join(first.select("doc_id", "low", "high"), ["doc_id", "low", "high"], "left_anti")
+    low, high, place = free_name(docs, "low"), free_name(docs, "high"), free_name(docs, "place")
+    kinds = StructType([*docs.schema.fields, StructField(low, LongType()), StructField(high, LongType())])
+    marked = docs.mapInArrow(_with_digest(low, high), kinds)
+    dropped = dropped.withColumnsRenamed({"low": low, "high": high})
+    kept = marked.join(dropped, ["doc_id", low, high], "left_anti")
+    others = [F.col(f"`{name}`") for name in docs.columns if name != "doc_id"]
+    order = Window.partitionBy("doc_id", low, high).orderBy(*others)
     numbered = kept.withColumn(place, F.row_number().over(order))
-    return numbered.filter(F.col("doc_id").isNull() | (F.col(place) == 1)).drop(place).select(*docs.columns)
+    return numbered.filter(F.col("doc_id").isNull() | (F.col(place) == 1)).select(*[F.col(f"`{name}`") for name in docs.columns])

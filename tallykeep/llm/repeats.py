@@ -4,7 +4,7 @@ Anchors are the blocks of 7 words at places 0, 7, 14 ... of every document. Any
 of 13 words covers one whole anchor of each document that holds it, so probing the
 anchors with every rolling block of 7 words finds every document pair that shares a
 passage. Hits are extended to the passages of 13 words around them, on both sides, and
-these are compared exactly; adjoining ones form the maximal repeat.
+these are compared by 64-bit hashes of all their words; adjoining ones form the maximal repeat.
 
 Both comparisons are a shuffle by hash. Many blocks travel in one row (the hashes of a
 batch that fall into a partition), and a block counts once per document, so a block that

@@ -1,8 +1,10 @@
 """Words and word n-grams of Arrow text batches as 64-bit hashes, computed with numpy.
 
-A word is a run of anything but the six ASCII white space characters. Its hash is a
-polynomial over random byte values, mixed; an n-gram's hash mixes its words' hashes in
-order. Both depend on the bytes alone, so they agree between executors and runs.
+A word is a run of anything but the six ASCII white space characters. Its hash is the mixed
+sum of its bytes' random values, each times a random odd number of its own place; an n-gram's hash
+sums its words' hashes the same way. No two places share a multiplier, so words
+built of repeating patterns do not collide as they do under powers of one number. Hashes depend
+on the bytes alone, so they agree between executors and runs.
 """
 
 from __future__ import annotations
@@ -35,17 +37,16 @@ _EXACT[_SPACES] = 0
 _LOWER = _EXACT.copy()
 _LOWER[ord("A") : ord("Z") + 1] = _EXACT[ord("a") : ord("z") + 1]
 
-_powers = np.ones(1, dtype=np.uint64)
+_scales = np.ones(0, dtype=np.uint64)
 
 
-def powers(count: int) -> np.ndarray:
-    """At least ``count`` powers of an odd constant, modulo 2 ** 64."""
-    global _powers
-    if len(_powers) < count:
-        steps = np.full(max(count, 2 * len(_powers)), _BASE, dtype=np.uint64)
-        steps[0] = 1
-        _powers = np.cumprod(steps, dtype=np.uint64)
-    return _powers
+def scales(count: int) -> np.ndarray:
+    """At least ``count`` odd multipliers, a fixed sequence without a pattern."""
+    global _scales
+    if len(_scales) < count:
+        places = np.arange(1, max(count, 2 * len(_scales)) + 1, dtype=np.uint64)
+        _scales = mix(mix(places) + _BASE) | np.uint64(1)
+    return _scales
 
 
 def slices(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -79,7 +80,7 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool) -> tuple[np.
     place = np.arange(len(data))
     within = place - np.maximum.accumulate(np.where(starts, place, 0))
     terms = (_LOWER if lower else _EXACT)[data]
-    terms *= powers(int(within.max()) + 1)[within]
+    terms *= scales(int(within.max()) + 1)[within]
     return mix(np.add.reduceat(terms, first)), np.searchsorted(first, offsets)
 
 
@@ -88,7 +89,7 @@ def ngrams(hashes: np.ndarray, size: int) -> np.ndarray:
     count = len(hashes) - size + 1
     if count <= 0:
         return np.empty(0, dtype=np.uint64)
-    scale = powers(size + 1)
+    scale = scales(size + 1)
     total = np.zeros(count, dtype=np.uint64)
     for i in range(size):
         total += hashes[i : i + count] * scale[i + 1]

@@ -40,12 +40,64 @@ def test_against_every_pair(spark, link):
     assert found(spark, docs, link) == plain.components(docs, link.words, link.percent)
 
 
-def test_a_large_group_is_cut_into_cells(spark, monkeypatch):
-    monkeypatch.setattr(ngram_join, "CELL_SETS", 4)
+@pytest.mark.parametrize("rounds", [1, 2])
+def test_a_large_gathering_is_joined_in_rounds(spark, monkeypatch, rounds):
+    monkeypatch.setattr(ngram_join, "CELL_SHINGLES", 600)
+    monkeypatch.setattr(ngram_join, "PIVOTS", 2)
+    monkeypatch.setattr(ngram_join, "ROUNDS", rounds)
     docs = corpus(2, 2, 30, (120, 160))
     assert found(spark, docs) == plain.components(docs, 4, 85)
 
 
+def test_texts_and_links_grow_with_a_group_not_its_square(spark, monkeypatch):
+    """Near copies of one text: text rows sent to cells, candidate links and verified links."""
+    monkeypatch.setattr(ngram_join, "CELL_SHINGLES", 64 * 127)
+    seen = []
+    joined, linked = ngram_join._joined_cells, ngram_join._links
+
+    def counting_cells(docs, cells, link):
+        result = joined(docs, cells, link)
+        seen.extend([cells.count(), result.count()])
+        return result
+
+    def counting_links(docs, nodes, candidates, link):
+        seen.append(candidates.distinct().count())
+        return linked(docs, nodes, candidates, link)
+
+    monkeypatch.setattr(ngram_join, "_joined_cells", counting_cells)
+    monkeypatch.setattr(ngram_join, "_links", counting_links)
+    for copies in (400, 800, 1600):
+        rng = random.Random(copies)
+        base = [f"b{i}" for i in range(130)]
+        docs = [(i, " ".join(changed(rng, base, 1))) for i in range(copies)]
+        seen.clear()
+        assert {component for _, component in found(spark, docs).values()} == {0}
+        assert max(seen) <= 2 * copies
+
+
+def test_words_that_hash_alike_are_not_equal(spark):
+    """Words of opposite repeating patterns, which collide under powers modulo 2 ** 64."""
+    one = "a"
+    while len(one) < 1024:
+        one += one.translate(str.maketrans("ab", "ba"))
+    other = one.translate(str.maketrans("ab", "ba"))
+    docs = [(1, one), (2, other), (3, " ".join([one] * 20)), (4, " ".join([other] * 20))]
+    assert found(spark, docs) == {1: (1, 1), 2: (1, 2), 3: (1, 3), 4: (1, 4)}
+
+
+def test_verified_links_compare_words(monkeypatch):
+    """Cells do not trust hashes: with shingles that all hash alike nothing else links."""
+    import pyarrow as pa
+
+    texts = ["a b c d", "e f g h", "A  b c d", "a b c d x"]
+    monkeypatch.setattr(ngram_join, "shingle_sets", lambda rows, size: ((i, np.ones(1, np.uint64)) for i in range(len(rows))))
+    low = [ngram_join.digest(text)[0] for text in texts]
+    rows = [dict(cluster=1, first=0, second=0, low=low[i], side=0, component=low[i], text=texts[i]) for i in (0, 1, 3)]
+    batches = ngram_join._verified(JOIN)(iter([pa.RecordBatch.from_pylist(rows)]))
+    assert [batch.num_rows for batch in batches] == [0]
+    assert low[0] == low[2]
+
+
 def test_defined_cases(spark):
     long = " ".join(f"x{i}" for i in range(30_000))
     docs = [
@@ -70,7 +122,7 @@ def test_versions_of_an_id_are_one_document(spark):
     frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     result = sorted((r.doc_id, r.component_id) for r in ngram_join.link_components(frame).collect() if r.n_shingles)
     assert result == [(3, 3), (5, 3), (5, 3), (6, 6), (7, 3), (8, 6), (8, 6), (9, 6), (10, 10)]
-    assert sorted(tuple(r) for r in ngram_join.first_of_each(frame).collect()) == [(3, b), (6, c), (10, rows[8][1])]
+    assert sorted(tuple(r) for r in ngram_join.first_of_each(frame).collect()) == [(3, b), (5, a), (6, c), (8, ""), (8, d), (10, rows[8][1])]
 
 
 def test_texts_without_an_id_link_nothing(spark):
