@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
+
+from tallykeep.llm.words import digest
 
 # Rows of one Arrow batch. Texts are long, so Spark's default of 10,000 rows could
 # make a batch of gigabytes.
@@ -91,3 +96,17 @@ def plain_text(column: str | Column) -> Column:
 def split_words(text: Column) -> Column:
     """Words of a text: runs of anything but the six ASCII white space characters."""
     return F.filter(F.split(text, f"[{SPACE_CLASS}]+"), lambda word: word != "")
+
+
+def with_digest(frame: DataFrame, low: str, high: str) -> DataFrame:
+    """``frame`` with the two halves of a digest of the words of its column ``text``."""
+    bounded_batches(frame.sparkSession)
+
+    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
+            found = [digest(text) for text in texts]
+            arrays = [pa.array([one[k] for one in found], pa.int64()) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *arrays], names=[*batch.schema.names, low, high])
+
+    return frame.mapInArrow(marked, StructType([*frame.schema.fields, StructField(low, LongType()), StructField(high, LongType())]))

@@ -3,43 +3,50 @@
 A test item leaks into a document if at least 80 percent of the item's distinct 5-word
 shingles occur there. Items are few and short, documents many and long, so similarity is
 low even where containment is full; the sketch is therefore one of containment. Of an
-item with q shingles the q - ceil(0.8 q) + 1 smallest hashes are its sketch: a document
-that contains enough of the item holds at least one of them. Items are partitioned by
-size; a partition has the largest sketch hash of its items and the least number of
-shingles a document needs, and a document probes only with its hashes up to that of the
-partitions it is large enough for. Documents with a hit are verified by exact
-containment, counted over all shingles of the item.
+item with q shingles the q - ceil(0.8 q) + 1 smallest are its sketch, in an order by how
+many items hold a shingle and then by hash: a document that contains enough of the item holds at least one
+of them, and a lead-in that many items share is in few sketches. Items are partitioned by size; a partition
+has a bitmap of its sketches and the least number of shingles a document needs, and a
+document probes only the partitions it is large enough for. Items of equal shingles are one.
 
-Sketch hits are looked for through a bitmap of fixed size, so documents without a hit
-leave the scan at once; a large benchmark only fills the bitmap. No text is shuffled.
+A hit names a document and an item; only these pairs are verified by exact containment,
+counted over all shingles of the item. No text is shuffled, and a passage that many
+documents and many items share makes no pairs by itself.
+
+Bitmaps have ``BITS_PER_SHINGLE`` bits per shingle of the benchmark, up to 2 ** ``MOST_BITMAP_BITS``; fuller ones only let more
+documents through to the verification.
 
 Defined cases: null and empty texts have no shingles, leak nothing and hold nothing; an
 item of fewer than five words is one shingle, its whole word sequence, looked for as
 such; items with the same text each match; rows sharing an item_id are each looked for on
 their own, and the one that shares most is reported; rows sharing a doc_id are each compared and
-reported once per item; rows without an id are reported with a null id; extra columns
-are ignored; an empty table on either side gives an empty result.
+reported once per item; rows without an id are reported with a null id, and cleaned like others;
+extra columns are ignored; an empty table on either side gives an empty result.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallykeep.llm.common import bounded_batches, durable
-from tallykeep.llm.words import ngrams, slices, word_hashes
+from tallykeep.llm.common import bounded_batches, durable, free_name, with_digest
+from tallykeep.llm.words import digest, ngrams, slices, word_hashes
 
 SHINGLE_WORDS = 5
 CONTAINED_PERCENT = 80
-# Bits of the bitmap of the benchmark's shingles: 128 KB.
-BITMAP_BITS = 20
+# Size of the bitmaps of the benchmark's shingles, and their limit: 16 MB.
+BITS_PER_SHINGLE = 32
+MOST_BITMAP_BITS = 27
+# Bytes of a piece of a bitmap as Spark builds it.
+PIECE_BYTES = 4096
 
-_ITEM = "item_id long, item_row long, width int, size int, hash long, in_sketch boolean"
-_HIT = "doc_id long, row long, width int, hash long"
+_ITEM = "item_id long, item_row long, shingles string, width int, size int, hash long"
+_HELD = "doc_id long, row long, low long, high long, width int, hash long"
 
 
 def _sets_by_width(texts: pa.Array, widths: tuple[int, ...]) -> Iterator[tuple[int, int, dict[int, np.ndarray]]]:
@@ -61,61 +68,90 @@ def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not count:
                 continue
             width = min(count, SHINGLE_WORDS)
-            shingles = sets[width]
-            size = len(shingles)
-            sketch = size - -(-CONTAINED_PERCENT * size // 100) + 1
-            columns[0] += [numbers[row]] * size
-            columns[1] += [rows[row]] * size
-            columns[2] += [width] * size
-            columns[3] += [size] * size
-            columns[4] += shingles.view(np.int64).tolist()
-            columns[5] += [i < sketch for i in range(size)]
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.bool_()]
+            found = sets[width]
+            size = len(found)
+            name = hashlib.blake2b(bytes([width]) + found.tobytes(), digest_size=16).hexdigest()
+            for column, value in zip(columns, (numbers[row], rows[row], name, width, size)):
+                column += [value] * size
+            columns[5] += found.view(np.int64).tolist()
+        kinds = [pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.int64()]
         yield pa.RecordBatch.from_arrays(
             [pa.array(c, kind) for c, kind in zip(columns, kinds)],
-            names=["item_id", "item_row", "width", "size", "hash", "in_sketch"],
+            names=["item_id", "item_row", "shingles", "width", "size", "hash"],
+        )
+
+
+def _sketches(items: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(shingles, width, size, hash) of distinct items, and the part of it that is in sketches."""
+    sets = items.select("shingles", "width", "size", "hash").distinct()
+    held = sets.groupBy("width", "hash").agg(F.count("*").alias("items"))
+    rank = F.row_number().over(Window.partitionBy("shingles").orderBy("items", "hash"))
+    needed = F.col("size") - F.ceil(F.col("size") * CONTAINED_PERCENT / 100) + 1
+    ranked = sets.join(held, ["width", "hash"]).withColumn("rank", rank)
+    return sets, ranked.filter(F.col("rank") <= needed).select("shingles", "width", "size", "hash")
+
+
+class Bitmap:
+    """Which of 2 ** bits slots hold one of some hashes."""
+
+    def __init__(self, bits: int):
+        self.bits = bits
+        self.slots = np.zeros((1 << bits) // 8, dtype=np.uint8)
+
+    def slot(self, hashes: Column) -> Column:
+        return hashes.bitwiseAND(F.lit((1 << self.bits) - 1))
+
+    def filled(self, hashes: DataFrame) -> Bitmap:
+        """With the slots of column ``hash``, gathered in pieces."""
+        number = self.slot(F.col("hash")) + 1  # Spark numbers bits and pieces from 1
+        pieces = hashes.groupBy(F.bitmap_bucket_number(number).alias("piece")).agg(
+            F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("bits")
         )
+        for piece, held in pieces.collect():  # at most 2 ** bits / 32768 rows
+            begin = (piece - 1) * PIECE_BYTES
+            self.slots[begin : begin + PIECE_BYTES] = np.frombuffer(held, dtype=np.uint8)
+        return self
 
+    def __getitem__(self, hashes: np.ndarray) -> np.ndarray:
+        slots = hashes & np.uint64((1 << self.bits) - 1)
+        return (self.slots[(slots >> np.uint64(3)).astype(np.int64)] >> (slots & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
-def _slot(shingles: np.ndarray) -> np.ndarray:
-    """A shingle's bit; low hashes are what sketches hold, so the low bits are used."""
-    return (shingles & np.uint64((1 << BITMAP_BITS) - 1)).astype(np.int64)
 
+def _bits_for(hashes: int) -> int:
+    """Bits of a bitmap of so many hashes; no less than a piece."""
+    return min(max((BITS_PER_SHINGLE * hashes - 1).bit_length(), 15), MOST_BITMAP_BITS)
 
-def _probe(partitions: list[tuple[int, int, int]], sketch: np.ndarray, whole: np.ndarray):
+
+def _probe(partitions: list[tuple[int, int, Bitmap]], whole: dict[int, Bitmap]):
     """Shingles of documents with a sketch hit, as far as the benchmark may hold them.
 
-    ``partitions`` holds (width, least shingles of a document, largest sketch hash).
+    ``partitions`` holds (width, least shingles of a document, its items' sketches).
     """
-    widths = tuple(sorted({width for width, _, _ in partitions}))
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, rows = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            columns: list[list] = [[], [], [], []]
-            for at, _, sets in _sets_by_width(batch.column(2), widths):
-                for width, shingles in sets.items():
-                    tops = [top for w, least, top in partitions if w == width and least <= len(shingles)]
-                    if not tops:
-                        continue
-                    slots = _slot(shingles)
-                    probing = np.searchsorted(shingles, np.uint64(max(tops)), side="right")
-                    if sketch[slots[:probing]].any():
-                        held = shingles[whole[slots]].view(np.int64).tolist()
-                        columns[0] += [ids[at]] * len(held)
-                        columns[1] += [rows[at]] * len(held)
-                        columns[2] += [width] * len(held)
-                        columns[3] += held
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64()]
+            columns: list[list] = [[], [], [], [], [], []]
+            for at, _, sets in _sets_by_width(batch.column(2), tuple(whole)):
+                for width, found in sets.items():
+                    probed = (sketch for w, least, sketch in partitions if w == width and least <= len(found))
+                    if any(sketch[found].any() for sketch in probed):
+                        held = found[whole[width][found]].view(np.int64).tolist()
+                        low, high = digest(batch.column(2)[at].as_py())
+                        for column, value in zip(columns, (ids[at], rows[at], low, high, width)):
+                            column += [value] * len(held)
+                        columns[5] += held
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, kind) for c, kind in zip(columns, kinds)], names=["doc_id", "row", "width", "hash"]
+                [pa.array(c, kind) for c, kind in zip(columns, kinds)],
+                names=["doc_id", "row", "low", "high", "width", "hash"],
             )
 
     return probe
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, item_id, n_item_shingles, n_shared): every document that holds an item."""
+def _leaking(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, row, low, high, shingles, size, n_shared) of leaks by distinct items, and the items' shingles."""
     bounded_batches(docs.sparkSession)
     items = durable(
         benchmark.select(
@@ -124,43 +160,46 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             F.col("text").cast("string").alias("text"),
         ).mapInArrow(_items, _ITEM)
     )
+    sets, sketches = _sketches(items)
+    sketches = durable(sketches)
     # sizes between powers of two form a partition; so there are few rows, whatever the benchmark
-    power = F.floor(F.log2("size")).cast("int")
-    order = F.col("hash").bitwiseXOR(F.lit(-(2**63)).cast("long"))  # unsigned order
-    summary = (
-        items.filter("in_sketch")
-        .groupBy("width", power.alias("power"))
-        .agg(F.min("size").alias("size"), F.max(order).alias("top"))
-        .collect()
-    )
+    power = F.floor(F.log2("size")).cast("int").alias("power")
+    summary = sketches.groupBy("width", power).agg(F.min("size"), F.count("*")).collect()
     partitions = [
-        (row["width"], -(-CONTAINED_PERCENT * row["size"] // 100), row["top"] + 2**63) for row in summary
+        (width, -(-CONTAINED_PERCENT * size // 100), Bitmap(_bits_for(n)).filled(sketches.filter((F.col("width") == width) & (power == exponent))))
+        for width, exponent, size, n in summary
     ]
-    slot = F.col("hash").bitwiseAND(F.lit((1 << BITMAP_BITS) - 1)).cast("int")
-    bitmaps = {kind: np.zeros(1 << BITMAP_BITS, dtype=bool) for kind in ("sketch", "whole")}
-    # at most as many rows as the bitmap has bits
-    for row in items.groupBy(slot.alias("slot")).agg(F.max("in_sketch").alias("in_sketch")).collect():
-        bitmaps["whole"][row["slot"]] = True
-        bitmaps["sketch"][row["slot"]] |= row["in_sketch"]
+    whole = {
+        width: Bitmap(_bits_for(n)).filled(sets.filter(F.col("width") == width))
+        for width, n in sets.groupBy("width").count().collect()
+    }
     texts = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.monotonically_increasing_id().alias("row"),
         F.col("text").cast("string").alias("text"),
     )
-    held = texts.mapInArrow(_probe(partitions, bitmaps["sketch"], bitmaps["whole"]), _HIT)
-    shared = (
-        held.join(items, ["width", "hash"])
-        .groupBy("doc_id", "row", "item_id", "item_row", "size")
-        .agg(F.count("*").alias("n_shared"), F.max("in_sketch").alias("met"))
-        .filter(F.col("met") & (100 * F.col("n_shared") >= CONTAINED_PERCENT * F.col("size")))
-    )
+    held = durable(texts.mapInArrow(_probe(partitions, whole), _HELD))
+    pairs = held.join(sketches, ["width", "hash"]).select("row", "shingles").distinct()
+    shared = pairs.join(sets, "shingles").join(held, ["row", "width", "hash"])
+    counted = shared.groupBy("doc_id", "row", "low", "high", "shingles", "size").agg(F.count("*").alias("n_shared"))
+    return counted.filter(100 * F.col("n_shared") >= CONTAINED_PERCENT * F.col("size")), items
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """(doc_id, item_id, n_item_shingles, n_shared): every document that holds an item."""
+    shared, items = _leaking(docs, benchmark)
+    named = shared.join(items.select("item_id", "shingles").distinct(), "shingles")
     # of several texts of an item, or rows of a document, the figures of those that share most
     most = F.max(F.struct("n_shared", F.col("size").cast("long").alias("size"))).alias("most")
-    found = shared.groupBy("doc_id", "item_id").agg(most)
+    found = named.groupBy("doc_id", "item_id").agg(most)
     return found.select("doc_id", "item_id", F.col("most.size").alias("n_item_shingles"), F.col("most.n_shared").alias("n_shared"))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that hold no item, with their columns unchanged; those without an id stay."""
-    leaking = leaks(docs, benchmark).select("doc_id").distinct()
-    return docs.join(leaking, "doc_id", "left_anti").select(*docs.columns)
+    """The rows whose text holds no item, with their columns unchanged; an id may be null or repeated."""
+    shared, _ = _leaking(docs, benchmark)
+    low, high = free_name(docs, "low"), free_name(docs, "high")
+    leaking = shared.select(F.col("doc_id").alias("id"), F.col("low").alias("a"), F.col("high").alias("b")).distinct()
+    marked = with_digest(docs, low, high)
+    same = marked["doc_id"].cast("long").eqNullSafe(leaking["id"]) & (marked[low] == leaking["a"]) & (marked[high] == leaking["b"])
+    return marked.join(leaking, same, "left_anti").select(*[F.col(f"`{name}`") for name in docs.columns])

@@ -31,7 +31,6 @@ links by any of them; extra columns are ignored; an empty table gives an empty r
 
 from __future__ import annotations
 
-import hashlib
 import zlib
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
@@ -40,12 +39,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
-from tallykeep.llm.common import bounded_batches, durable, free_name, partitions
+from tallykeep.llm.common import bounded_batches, durable, free_name, partitions, with_digest
 from tallykeep.llm.graph import components
 from tallykeep.llm.packing import PACKED, packed, unpacked
-from tallykeep.llm.words import mix, shingle_sets
+from tallykeep.llm.words import digest, mix, shingle_sets
 
 # Shingles of a set per group of its point, about; more groups bound more tightly.
 SHINGLES_PER_GROUP = 8
@@ -96,12 +94,6 @@ def point_of(shingles: np.ndarray, bits: int) -> np.ndarray:
     return np.bincount((shingles >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
 
 
-def digest(text: str | None) -> tuple[int, int]:
-    """Two signed 64-bit numbers of a text's words, A-Z taken as a-z."""
-    found = hashlib.blake2b(b" ".join((text or "").encode().lower().split()), digest_size=16).digest()
-    return int.from_bytes(found[:8], "little", signed=True), int.from_bytes(found[8:], "little", signed=True)
-
-
 def word_shingles(text: str | None, size: int) -> set[tuple[bytes, ...]]:
     """A text's shingles as words."""
     found = (text or "").encode().lower().split()
@@ -622,17 +614,6 @@ def link_components(docs: DataFrame, link: Linking = JOIN) -> DataFrame:
     )
 
 
-def _with_digest(low: str, high: str):
-    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = batch.schema.get_field_index("text")
-            found = [digest(text) for text in batch.column(at).to_pylist()]
-            arrays = [pa.array([one[k] for one in found], pa.int64()) for k in (0, 1)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *arrays], names=[*batch.schema.names, low, high])
-
-    return marked
-
-
 def first_of_each(docs: DataFrame, link: Linking = NEAR_DUPLICATE) -> DataFrame:
     """One row of each group of linked texts, with its columns unchanged: that of the smallest id.
 
@@ -644,8 +625,7 @@ def first_of_each(docs: DataFrame, link: Linking = NEAR_DUPLICATE) -> DataFrame:
     bearing = sets.filter((F.col("n") > 0) & F.col("doc_id").isNotNull()).select("doc_id", "low", "high").distinct()
     dropped = bearing.join(first.select("doc_id", "low", "high"), ["doc_id", "low", "high"], "left_anti")
     low, high, place = free_name(docs, "low"), free_name(docs, "high"), free_name(docs, "place")
-    kinds = StructType([*docs.schema.fields, StructField(low, LongType()), StructField(high, LongType())])
-    marked = docs.mapInArrow(_with_digest(low, high), kinds)
+    marked = with_digest(docs, low, high)
     dropped = dropped.withColumnsRenamed({"low": low, "high": high})
     kept = marked.join(dropped, ["doc_id", low, high], "left_anti")
     others = [F.col(f"`{name}`") for name in docs.columns if name != "doc_id"]

@@ -126,3 +126,42 @@ def test_empty_tables(spark):
     assert decontaminate.leaks(none, items).count() == 0
     assert decontaminate.leaks(frame(spark, EDGES), items).count() == 0
     assert decontaminate.leaks(none, spark.createDataFrame([(1, "a b c d e")], "item_id long, text string")).count() == 0
+
+
+def test_a_shared_lead_in_makes_no_pairs(spark, monkeypatch):
+    """A passage all documents and all items share: joined rows stay near the number of documents."""
+    lead = " ".join(f"l{i}" for i in range(9))
+    docs = [(i, f"{lead} d{i} e{i} f{i} g{i} h{i} j{i} k{i}") for i in range(300)]
+    items = [(i, f"{lead} x{i} y{i} z{i} u{i} v{i} w{i} s{i}") for i in range(300)]
+    docs.append((300, "before " + items[7][1] + " after"))
+    seen = []
+    original = decontaminate._leaking
+
+    def counting(docs, benchmark):
+        shared, named = original(docs, benchmark)
+        seen.append(shared.count())
+        return shared, named
+
+    monkeypatch.setattr(decontaminate, "_leaking", counting)
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = [tuple(r) for r in decontaminate.leaks(frame(spark, docs), benchmark).collect()]
+    assert found == [(300, 7, 12, 12)] and seen == [1]
+    widened, sketches = decontaminate._sketches(spark.createDataFrame(
+        [row for batch in _item_batches(items) for row in batch.to_pylist()], decontaminate._ITEM))
+    common = sketches.groupBy("hash").count().filter("count > 1")
+    assert common.count() == 0 and widened.count() == 300 * 12
+
+
+def _item_batches(items):
+    import pyarrow as pa
+
+    rows = [{"item_id": i, "item_row": i, "text": text} for i, text in items]
+    return decontaminate._items(iter([pa.RecordBatch.from_pylist(rows)]))
+
+
+def test_rows_without_an_id_are_cleaned_by_their_text(spark):
+    item = "alpha beta gamma delta epsilon zeta eta theta"
+    rows = [(None, f"so {item} there", "a"), (None, "nothing of it", "b"), (4, f"so {item} there", "c"), (4, "a clean version", "d")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, low string")
+    kept = decontaminate.clean(docs, spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert kept.columns == docs.columns and sorted(r.low for r in kept.collect()) == ["b", "d"]
