@@ -153,20 +153,20 @@ def cohort_grid(cohorts: DataFrame) -> DataFrame:
     return grid.join(cohorts, ["cohort_month", "month_offset"], "left")
 
 
-def best_cohorts(cohorts: DataFrame, offsets: Sequence[int] = (3, 6, 9)) -> DataFrame:
-    """One row: per offset the month and percentage of the best cohort, as text.
+def best_cohorts(cohorts: DataFrame, offsets: Sequence[int] = (3, 6, 9), *by: str) -> DataFrame:
+    """One row, or one per value of ``by``: per offset the month and percentage of the best cohort, as text.
 
     Equal percentages go to the earlier cohort; an offset without a cohort is NULL.
     """
     ranked = F.struct((-F.col("retention_pct")).alias("order"), "cohort_month", "retention_pct")
     usable = F.col("retention_pct").isNotNull()
-    found = cohorts.agg(
+    found = cohorts.groupBy(*by).agg(
         *[
             F.min(F.when((F.col("month_offset") == k) & usable, ranked)).alias(f"best_{k}")
             for k in offsets
         ]
     )
-    shown = []
+    shown = [F.col(name) for name in by]
     for k in offsets:
         best = F.col(f"best_{k}")
         text = format_kpi(best.getField("retention_pct"), "percent")

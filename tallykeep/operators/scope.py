@@ -7,6 +7,8 @@ a genre and an artist) is in the full set but never in a working set.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, replace
 from functools import reduce
 from operator import and_
@@ -101,6 +103,20 @@ class Scope:
         elif self.stored is not None:
             self.stored.unpersist()
 
+    @contextmanager
+    def held(self, on_disk: bool = False) -> Iterator["Scope"]:
+        """The set kept by :meth:`persist` (or :meth:`stage`) for a block, and given back at its end.
+
+        What the block returns must no longer depend on it: written, or a report that
+        :func:`tallykeep.sources.sinks.settled` holds.
+        """
+        kept = self.stage() if on_disk else self.persist()
+        try:
+            yield kept
+        finally:
+            if self.stored is None:
+                kept.release()
+
     def _candidates(self, country: bool) -> DataFrame:
         source = self.model.invoices(country or self.flt.needs_country)
         return keep_all(source, self.flt.invoice_predicates())

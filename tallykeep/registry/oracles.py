@@ -834,4 +834,5 @@ def oracle_sql() -> dict[str, str]:
         "filter_meta": _filter_meta(),
         "dataset_overview": _dataset(),
         "insights_comparison": _insights(YEAR, **GENRES),
+        "insights_comparison_combined": _insights(MID_MONTH, **COMBINATION),
     }

@@ -14,7 +14,8 @@ from tallykeep.operators import behaviour, catalog, cohorts, core, geo, groups,
 from tallykeep.operators.filters import SalesFilter
 from tallykeep.operators.groups import ARTIST, COUNTRY, GENRE
 from tallykeep.operators.scope import Scope, all_invoices, working_set
-from tallykeep.plans import insights, metadata, pipeline
+from tallykeep.plans import metadata, pipeline, tagged
+from tallykeep.sources.sinks import settled
 from tallykeep.sources.star import read_star
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -431,43 +432,40 @@ def top_cohorts(spark, folder):
 # Reports
 
 
-def _shared(spark: SparkSession, folder: str) -> pipeline.SharedKpis:
-    """The blocks of one filtered scope, which the first job that needs it keeps in memory.
-
-    Building them runs no job and writes nothing.
-    """
-    scope = _set(spark, folder, BY_GENRE).persist()
-    return pipeline.shared_kpis(scope, cohorts.cohort_retention(scope, YEAR), YEAR)
+def _shared(spark: SparkSession, folder: str, block: Callable[[pipeline.SharedKpis], DataFrame]) -> DataFrame:
+    """A block of one filtered scope, which is held while the block is computed."""
+    with _set(spark, folder, BY_GENRE).held() as scope:
+        return settled(block(pipeline.shared_kpis(scope, cohorts.cohort_retention(scope, YEAR), YEAR)))
 
 
 @_query
 def shared_kpis(spark, folder):
-    return _shared(spark, folder).one_row()
+    return _shared(spark, folder, lambda kpis: kpis.one_row())
 
 
 @_query
 def shared_kpis_topn_genre(spark, folder):
-    return _shared(spark, folder).topn[GENRE]
+    return _shared(spark, folder, lambda kpis: kpis.topn[GENRE])
 
 
 @_query
 def shared_kpis_topn_artist(spark, folder):
-    return _shared(spark, folder).topn[ARTIST]
+    return _shared(spark, folder, lambda kpis: kpis.topn[ARTIST])
 
 
 @_query
 def shared_kpis_topn_country(spark, folder):
-    return _shared(spark, folder).topn[COUNTRY]
+    return _shared(spark, folder, lambda kpis: kpis.topn[COUNTRY])
 
 
 @_query
 def shared_kpis_num_vals(spark, folder):
-    return _shared(spark, folder).num_vals
+    return _shared(spark, folder, lambda kpis: kpis.num_vals)
 
 
 @_query
 def shared_kpis_retention(spark, folder):
-    return _shared(spark, folder).retention
+    return _shared(spark, folder, lambda kpis: kpis.retention)
 
 
 @_query
@@ -482,8 +480,14 @@ def dataset_overview(spark, folder):
 
 @_query
 def insights_comparison(spark, folder):
-    model = _model(spark, folder)
-    return insights.compare(all_invoices(model), working_set(model, BY_GENRE).persist(), YEAR)
+    with tagged.tagged(_model(spark, folder), BY_GENRE).held() as facts:
+        return settled(tagged.compare(facts, YEAR))
+
+
+@_query
+def insights_comparison_combined(spark, folder):
+    with tagged.tagged(_model(spark, folder), COMBINED).held() as facts:
+        return settled(tagged.compare(facts, MID_MONTH))
 
 
 def queries() -> dict[str, Query]:

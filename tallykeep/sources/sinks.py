@@ -34,6 +34,14 @@ def ordered(df: DataFrame, report: str) -> DataFrame:
     return df.orderBy(*keys)
 
 
+def settled(report: DataFrame) -> DataFrame:
+    """A report computed now, free of what it was read from.
+
+    For results of bounded size only (KPI blocks, top-N tables): their rows pass through the driver.
+    """
+    return report.sparkSession.createDataFrame(report.collect(), report.schema)
+
+
 def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     """Write with a header line and no row names, replacing ``path``.
 
