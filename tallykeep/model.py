@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallykeep.functions.dates import DateRange
+
 
 def rolled_up(described: DataFrame) -> DataFrame:
     """InvoiceId, num_lines, qty, cents, and whether a line has both genre and artist."""
@@ -41,6 +44,11 @@ class SalesModel:
     ``described`` optionally holds ``lines`` with genre and artist already attached
     (see :mod:`tallykeep.sources.layout`), and ``rollup`` what :func:`rolled_up` makes of
     them: results that need no more than that of the lines then read no line.
+
+    ``summed`` optionally holds ``billed`` with those totals, an invoice without lines with
+    NULLs; ``firsts`` CustomerId, first_any, first_usable: the first dates of a customer among all
+    invoices and among those with a usable line; ``limit`` the same model with no facts
+    outside the whole months of a range (see :mod:`tallykeep.sources.dated`).
     """
 
     spark: SparkSession
@@ -54,6 +62,9 @@ class SalesModel:
     paired_dimensions: bool = False
     described: DataFrame | None = None
     rollup: DataFrame | None = None
+    summed: DataFrame | None = None
+    firsts: DataFrame | None = None
+    limit: Callable[[DateRange], "SalesModel"] | None = None
 
     def invoices(self, country: bool = False) -> DataFrame:
         return self.billed if country else self.headers
@@ -82,6 +93,8 @@ class SalesModel:
         """InvoiceId, num_lines, qty, cents over all lines of each invoice."""
         if self.rollup is not None:
             return self.rollup.drop("usable")
+        if self.summed is not None:
+            return self.summed.filter("num_lines IS NOT NULL").select("InvoiceId", "num_lines", "qty", "cents")
         return self.lines.groupBy("InvoiceId").agg(
             F.count(F.lit(1)).alias("num_lines"),
             F.sum("qty").alias("qty"),

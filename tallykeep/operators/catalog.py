@@ -37,6 +37,7 @@ def catalogs_exist(spark: SparkSession) -> bool:
 
 def _sold_tracks(scope: Scope, date_range: DateRange | None) -> DataFrame:
     """TrackId of every known track sold, each once; unknown ones may be among them."""
+    scope = scope.limited(date_range)
     invoices = in_months(scope.invoices_for_lines().select("InvoiceId", "dt"), date_range)
     lines = scope.model.lines.select("InvoiceId", "TrackId")
     return lines.join(invoices, "InvoiceId").select("TrackId").distinct()

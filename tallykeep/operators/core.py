@@ -12,7 +12,7 @@ from tallykeep.operators.scope import Scope
 
 def sold_invoices(scope: Scope, date_range: DateRange | None = None, country: bool = False) -> DataFrame:
     """Invoices with lines in the whole months of the range, with their totals."""
-    rows = scope.invoices(country=country, totals=True).filter(F.col("num_lines").isNotNull())
+    rows = scope.limited(date_range).invoices(country=country, totals=True).filter(F.col("num_lines").isNotNull())
     return in_months(rows, date_range)
 
 
@@ -68,6 +68,11 @@ def customer_kpis(scope: Scope, date_range: DateRange | None = None) -> DataFram
     without a customer id are nobody's.
     """
     active = _in_range(date_range, rounded=False)
+    firsts = scope.first_dates()
+    if firsts is not None and date_range is not None:
+        here = scope.limited(date_range).invoices().filter(active).select("CustomerId").distinct()
+        arrived = F.count_if(within(F.col("first_dt"), date_range)).alias("new_customers")
+        return here.join(firsts, "CustomerId").agg(F.count(F.lit(1)).alias("customers"), arrived).select(*customer_columns())
     known = scope.invoices().filter(F.col("CustomerId").isNotNull())
     per_customer = known.groupBy("CustomerId").agg(
         F.min("dt").alias("dt"), F.max(active).alias("active")
@@ -88,6 +93,7 @@ def subset_metadata(scope: Scope, date_range: DateRange | None = None) -> DataFr
     The facts collapse to distinct (genre, artist, country) combinations first; names
     are counted on that small frame.
     """
+    scope = scope.limited(date_range)
     invoices = in_months(scope.invoices_for_lines(country=True), date_range)
     usable = scope.model.lines_of(invoices).filter(
         F.col("genre").isNotNull() & F.col("artist").isNotNull()
@@ -117,13 +123,17 @@ def core_kpis(scope: Scope, date_range: DateRange | None = None) -> DataFrame:
     money and orders only. No row when nothing was sold.
     """
     sold = F.col("num_lines").isNotNull() & _in_range(date_range, rounded=True)
-    per_customer = scope.invoices(totals=True).groupBy("CustomerId").agg(
+    firsts = scope.first_dates() if date_range is not None else None
+    rows = scope.invoices(totals=True) if firsts is None else scope.limited(date_range).invoices(totals=True)
+    per_customer = rows.groupBy("CustomerId").agg(
         F.min("dt").alias("dt"),
         F.max(_in_range(date_range, rounded=False)).alias("active"),
         F.count_if(sold).alias("orders"),
         F.sum(F.when(sold, F.col("qty"))).alias("tracks"),
         F.sum(F.when(sold, F.col("cents"))).alias("cents"),
     )
+    if firsts is not None:
+        per_customer = per_customer.join(firsts, "CustomerId", "left").withColumn("dt", F.col("first_dt"))
     someone = F.col("active") & F.col("CustomerId").isNotNull()
     totals = per_customer.agg(
         F.count_if(someone).alias("customers"),

@@ -38,7 +38,7 @@ def geo_metrics(scope: Scope, date_range: DateRange, mode: str = "yearly") -> Da
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
-    sold = in_days(scope.invoices(country=True, totals=True), date_range)
+    sold = in_days(scope.limited(date_range).invoices(country=True, totals=True), date_range)
     per_customer = (
         sold.filter(F.col("num_lines").isNotNull() & F.col("CustomerId").isNotNull())
         .groupBy("CustomerId", "country", F.year("dt").alias("year"))

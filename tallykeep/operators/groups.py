@@ -29,6 +29,7 @@ def group_column(group: str) -> str:
 
 def grouped_lines(scope: Scope, group: str, date_range: DateRange | None) -> DataFrame:
     """One row per invoice and group: InvoiceId, CustomerId, dt, group_val, qty, cents."""
+    scope = scope.limited(date_range)
     invoices = in_months(scope.invoices_for_lines(), date_range)
     lines = scope.model.lines_of(invoices).withColumn("group_val", F.col(group_column(group)))
     return (

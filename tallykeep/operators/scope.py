@@ -17,6 +17,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallykeep.functions.dates import DateRange
 from tallykeep.model import SalesModel
 from tallykeep.operators.filters import SalesFilter, keep_all
 from tallykeep.session import remove_folder, shared_folder
@@ -47,7 +48,9 @@ class Scope:
         wanted += list(TOTALS) if totals else []
         if self.stored is not None:
             return self.stored.select(*wanted)
-        if self.flt is None:
+        if self._facts.summed is not None:
+            found = self._summed()
+        elif self.flt is None:
             found = self.model.invoices(country)
             if totals:
                 found = found.join(self.model.line_totals(), "InvoiceId", "left")
@@ -72,6 +75,24 @@ class Scope:
         wanted = ["InvoiceId", "CustomerId", "dt"] + (["country"] if country else [])
         return self._candidates(country).select(*wanted)
 
+    def limited(self, date_range: DateRange | None) -> "Scope":
+        """This scope with no invoice or line outside the whole months of a range, where the
+        store can leave them unread; else, and without a range, the scope itself."""
+        if date_range is None or self.stored is not None or self.model.limit is None:
+            return self
+        return replace(self, model=self.model.limit(date_range))
+
+    def first_dates(self) -> DataFrame | None:
+        """CustomerId, first_dt: everyone's first purchase in the scope, where the store knows it."""
+        if self.stored is not None or self.model.firsts is None:
+            return None
+        if self.flt is None:
+            return self.model.firsts.select("CustomerId", F.col("first_any").alias("first_dt"))
+        if self.flt.invoice_predicates() or self.flt.line_predicates():
+            return None
+        usable = self.model.firsts.filter(F.col("first_usable").isNotNull())
+        return usable.select("CustomerId", F.col("first_usable").alias("first_dt"))
+
     def events(self) -> DataFrame:
         """The working set as (CustomerId, dt, InvoiceId), one row per invoice."""
         return self.invoices().select("CustomerId", "dt", "InvoiceId")
@@ -117,8 +138,29 @@ class Scope:
             if self.stored is None:
                 kept.release()
 
+    @property
+    def _facts(self) -> SalesModel:
+        """The model, without months that the filter leaves out."""
+        dated = self.flt is not None and self.flt.date_range is not None and self.model.limit is not None
+        return self.model.limit(self.flt.date_range) if dated else self.model
+
+    def _summed(self) -> DataFrame:
+        """Invoices with their totals from the store; lines are read for genre and artist only."""
+        found = self._facts.summed
+        if self.flt is None:
+            return found
+        found = keep_all(found, self.flt.invoice_predicates()).filter("usable")
+        if not self.flt.line_predicates():
+            return found
+        return found.join(self._matching().select("InvoiceId"), "InvoiceId", "left_semi")
+
+    def _matching(self) -> DataFrame:
+        """Lines that prove an invoice to be in the working set."""
+        usable = [F.col("genre").isNotNull(), F.col("artist").isNotNull()]
+        return self._facts.described_lines().filter(reduce(and_, usable + self.flt.line_predicates()))
+
     def _candidates(self, country: bool) -> DataFrame:
-        source = self.model.invoices(country or self.flt.needs_country)
+        source = self._facts.invoices(country or self.flt.needs_country)
         return keep_all(source, self.flt.invoice_predicates())
 
     def _kept(self, totals: bool) -> DataFrame:

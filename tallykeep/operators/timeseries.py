@@ -15,14 +15,16 @@ def monthly_summary(scope: Scope, date_range: DateRange) -> DataFrame:
     """month, num_purchases, num_customers, tracks_sold, revenue, first_time_customers.
 
     First-time customers bought in the month of their first purchase in the whole
-    scope, which may lie before the range. Purchases without a customer id are not part
+    scope, which may lie before the range; where the store knows that date, only the
+    range's months are read. Purchases without a customer id are not part
     of the report. Customers are reduced to one row per
     month first; the window looks for the first of those rows.
     """
     sold = F.col("num_lines").isNotNull() & within(F.col("dt"), date_range)
+    firsts = scope.first_dates()
+    rows = scope.invoices(totals=True) if firsts is None else scope.limited(date_range).invoices(totals=True)
     per_month = (
-        scope.invoices(totals=True)
-        .filter(F.col("CustomerId").isNotNull())
+        rows.filter(F.col("CustomerId").isNotNull())
         .groupBy("CustomerId", F.trunc("dt", "MM").alias("month"))
         .agg(
             F.count_if(sold).alias("purchases"),
@@ -30,7 +32,10 @@ def monthly_summary(scope: Scope, date_range: DateRange) -> DataFrame:
             F.sum(F.when(sold, F.col("cents"))).alias("cents"),
         )
     )
-    first_month = F.min("month").over(Window.partitionBy("CustomerId"))
+    if firsts is None:
+        first_month = F.min("month").over(Window.partitionBy("CustomerId"))
+    else:
+        per_month, first_month = per_month.join(firsts, "CustomerId"), F.trunc("first_dt", "MM")
     return (
         per_month.withColumn("first_time", F.col("month") == first_month)
         .filter("purchases > 0")

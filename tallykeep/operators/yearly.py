@@ -21,6 +21,7 @@ def _customer_side(scope: Scope, name: str, date_range: DateRange) -> DataFrame:
     stands for the customer when customers are counted, which leaves the country as
     the single distinct count. Purchases without a customer id stand for no customer.
     """
+    scope = scope.limited(date_range)
     invoices = in_days(scope.invoices_for_lines(country=True), date_range)
     lines = scope.model.lines_of(invoices).withColumn("group_val", F.col(name))
     per_invoice = (
@@ -69,6 +70,7 @@ def _track_side(scope: Scope, name: str, date_range: DateRange) -> DataFrame:
     Lines shrink to one row per (track, year) before they meet the dimension, where
     those of unknown tracks drop out.
     """
+    scope = scope.limited(date_range)
     invoices = in_days(scope.invoices_for_lines(), date_range).select(
         "InvoiceId", F.year("dt").alias("year")
     )

@@ -761,7 +761,22 @@ def _insights(dates, **chosen) -> str:
     return _with(" UNION ALL ".join(rows), *ctes, **chosen)
 
 
+# Queries that must give the rows of another one, by another way.
+_SAME = {
+    f"dated_{name}": name
+    for name in (
+        "ts_monthly", "purchase_kpis", "customer_kpis", "ts_overview", "group_kpis_genre", "group_kpis_artist",
+        "group_kpis_country", "geo_yearly", "group_yearly_genre", "events_genre", "events_artist", "events_month_rounded",
+    )
+}
+
+
 def oracle_sql() -> dict[str, str]:
+    direct = _direct()
+    return direct | {name: direct[other] for name, other in _SAME.items()}
+
+
+def _direct() -> dict[str, str]:
     return {
         "events_all": _events(),
         "events_country": _events(**COUNTRIES),

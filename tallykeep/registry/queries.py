@@ -15,8 +15,10 @@ from tallykeep.operators.filters import SalesFilter
 from tallykeep.operators.groups import ARTIST, COUNTRY, GENRE
 from tallykeep.operators.scope import Scope, all_invoices, working_set
 from tallykeep.plans import metadata, pipeline, tagged
+from tallykeep.session import MEGABYTE, shared_folder, stamp
+from tallykeep.sources import dated
 from tallykeep.sources.sinks import settled
-from tallykeep.sources.star import read_star
+from tallykeep.sources.star import SCHEMAS, read_star
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +41,9 @@ NATION_CODES = [
     ("NATION_19", "name", "IN", "IND", "India"),
 ]
 
+# Ranges of lines in the dated layout of the given tables.
+LINE_FILES = 8
+
 _QUERIES: dict[str, Query] = {}
 
 
@@ -490,5 +495,85 @@ def insights_comparison_combined(spark, folder):
         return settled(tagged.compare(facts, MID_MONTH))
 
 
+# Through the dated layout, which is written from the given tables once per session
+
+
+_STORES: dict[tuple, str] = {}
+
+
+def _dated(spark: SparkSession, folder: str) -> SalesModel:
+    """The given tables in the dated layout; written anew when their files have changed."""
+    key = (spark.sparkContext.applicationId, folder, *(stamp(spark, f"{folder.rstrip('/')}/{name}.parquet") for name in SCHEMAS))
+    if key not in _STORES:
+        path = shared_folder(spark)
+        dated.write_dated(_model(spark, folder), path, line_files=LINE_FILES, group_bytes=MEGABYTE)
+        _STORES[key] = path
+    return dated.read_dated(spark, _STORES[key], paired_dimensions=True)
+
+
+def _dated_set(spark: SparkSession, folder: str, flt: SalesFilter | None = None) -> Scope:
+    return working_set(_dated(spark, folder), flt)
+
+
+@_query
+def dated_ts_monthly(spark, folder):
+    return timeseries.monthly_summary(_dated_set(spark, folder), YEAR)
+
+
+@_query
+def dated_purchase_kpis(spark, folder):
+    return core.purchase_kpis(_dated_set(spark, folder), YEAR)
+
+
+@_query
+def dated_customer_kpis(spark, folder):
+    return core.customer_kpis(_dated_set(spark, folder), YEAR)
+
+
+@_query
+def dated_ts_overview(spark, folder):
+    return timeseries.overview(core.core_kpis(_dated_set(spark, folder), YEAR), YEAR)
+
+
+@_query
+def dated_group_kpis_genre(spark, folder):
+    return groups.group_kpis(_dated_set(spark, folder), GENRE, YEAR)
+
+
+@_query
+def dated_group_kpis_artist(spark, folder):
+    return groups.group_kpis(all_invoices(_dated(spark, folder)), ARTIST, YEAR)
+
+
+@_query
+def dated_group_kpis_country(spark, folder):
+    return groups.group_kpis(_dated_set(spark, folder), COUNTRY, YEAR)
+
+
+@_query
+def dated_geo_yearly(spark, folder):
+    return geo.geo_metrics(_dated_set(spark, folder), LONG, "yearly")
+
+
+@_query
+def dated_group_yearly_genre(spark, folder):
+    return yearly.yearly_summary(_dated_set(spark, folder), GENRE, LONG)
+
+
+@_query
+def dated_events_genre(spark, folder):
+    return _dated_set(spark, folder, BY_GENRE).events()
+
+
+@_query
+def dated_events_artist(spark, folder):
+    return _dated_set(spark, folder, BY_ARTIST).events()
+
+
+@_query
+def dated_events_month_rounded(spark, folder):
+    return _dated_set(spark, folder, SalesFilter(date_range=MID_MONTH)).events()
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)

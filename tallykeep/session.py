@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -68,6 +69,13 @@ def stored_bytes(spark: SparkSession, path: str) -> int:
     return int(file_system.getContentSummary(hadoop_path).getLength())
 
 
+def stamp(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Size and last change of a file or folder, which tell whether it is still the same."""
+    file_system, hadoop_path = _located(spark, path)
+    changed = file_system.getFileStatus(hadoop_path).getModificationTime()
+    return stored_bytes(spark, path), int(changed)
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder handed out by :func:`shared_folder`."""
     if "/tallykeep-" not in path:
@@ -77,8 +85,13 @@ def remove_folder(spark: SparkSession, path: str) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder below ``spark.checkpoint.dir``, which all executors have to reach."""
+    """A new folder below ``spark.checkpoint.dir``, which all executors have to reach.
+
+    Only a local session may leave that unset.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        root = tempfile.mkdtemp(prefix="tallykeep-local-")  # one machine, as in tests
     return f"{root.rstrip('/')}/tallykeep-{uuid.uuid4().hex}"
