@@ -7,7 +7,7 @@ that agreement is evidence: nothing here follows the shape of the Spark plans.
 from __future__ import annotations
 
 from tallykeep.functions.countries import listed
-from tallykeep.registry.queries import COMBINED, COUNTRY_STEP, EMPTY, LONG, MID_MONTH, NATION_CODES, YEAR
+from tallykeep.registry.queries import CENTURY, COMBINED, COUNTRY_STEP, EMPTY, LONG, MID_MONTH, NATION_CODES, YEAR
 
 ALL = "all_invoices"
 SET = "chosen"
@@ -768,11 +768,23 @@ _SAME = {
         "ts_monthly", "purchase_kpis", "customer_kpis", "ts_overview", "group_kpis_genre", "group_kpis_artist",
         "group_kpis_country", "geo_yearly", "group_yearly_genre", "events_genre", "events_artist", "events_month_rounded",
     )
+} | {
+    "history_customer_bounds": "customer_bounds",
+    "history_customer_behaviour": "customer_behaviour",
+    "history_customer_behaviour_all_time": "customer_behaviour_all_time",
+    "history_appended_behaviour": "customer_behaviour_all_time",
+    "history_retention_summary": "retention_summary",
+    "history_cohort_matrix": "cohort_matrix",
+    "history_appended_cohort_matrix": "cohort_matrix_invoice_table",
+    "history_retention_decay": "retention_decay",
+    "history_retention_decay_limited": "retention_decay_limited",
 }
 
 
 def oracle_sql() -> dict[str, str]:
     direct = _direct()
+    direct["history_cohort_matrix_part_months"] = _matrix(SET, MID_MONTH)
+    direct["history_cohort_matrix_century"] = _matrix(SET, CENTURY)
     return direct | {name: direct[other] for name, other in _SAME.items()}
 
 

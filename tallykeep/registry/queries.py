@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from tallykeep.functions.countries import SCHEMA, country_dimension, listed, with_flag, with_iso3
 from tallykeep.functions.display import format_kpi
 from tallykeep.model import SalesModel
-from tallykeep.operators import behaviour, catalog, cohorts, core, geo, groups, timeseries, topn, yearly
+from tallykeep.operators import behaviour, catalog, cohorts, core, geo, groups, history, timeseries, topn, yearly
 from tallykeep.operators.filters import SalesFilter
 from tallykeep.operators.groups import ARTIST, COUNTRY, GENRE
 from tallykeep.operators.scope import Scope, all_invoices, working_set
@@ -25,6 +26,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 YEAR = ("1997-01-01", "1997-12-31")
 MID_MONTH = ("1997-02-10", "1997-04-05")
 LONG = ("1996-03-01", "1998-09-30")
+CENTURY = ("1950-01-01", "2049-12-31")
 EMPTY = ("2014-01-01", "2014-01-01")
 
 BY_COUNTRY = SalesFilter(country=["NATION_1", "NATION_7"])
@@ -501,14 +503,23 @@ def insights_comparison_combined(spark, folder):
 _STORES: dict[tuple, str] = {}
 
 
-def _dated(spark: SparkSession, folder: str) -> SalesModel:
-    """The given tables in the dated layout; written anew when their files have changed."""
-    key = (spark.sparkContext.applicationId, folder, *(stamp(spark, f"{folder.rstrip('/')}/{name}.parquet") for name in SCHEMAS))
+def _stored_once(spark: SparkSession, folder: str, kind: str, write: Callable[[str], None]) -> str:
+    """The folder of something written from the given tables; written anew when these change."""
+    stamps = (stamp(spark, f"{folder.rstrip('/')}/{name}.parquet") for name in SCHEMAS)
+    key = (spark.sparkContext.applicationId, kind, folder, *stamps)
     if key not in _STORES:
         path = shared_folder(spark)
-        dated.write_dated(_model(spark, folder), path, line_files=LINE_FILES, group_bytes=MEGABYTE)
+        write(path)
         _STORES[key] = path
-    return dated.read_dated(spark, _STORES[key], paired_dimensions=True)
+    return _STORES[key]
+
+
+def _dated(spark: SparkSession, folder: str) -> SalesModel:
+    """The given tables in the dated layout; written anew when their files have changed."""
+    def write(path: str) -> None:
+        dated.write_dated(_model(spark, folder), path, line_files=LINE_FILES, group_bytes=MEGABYTE)
+
+    return dated.read_dated(spark, _stored_once(spark, folder, "dated", write), paired_dimensions=True)
 
 
 def _dated_set(spark: SparkSession, folder: str, flt: SalesFilter | None = None) -> Scope:
@@ -575,5 +586,94 @@ def dated_events_month_rounded(spark, folder):
     return _dated_set(spark, folder, SalesFilter(date_range=MID_MONTH)).events()
 
 
+# From the stored history of customers, which is written from the given tables once per session
+
+
+def _history(spark: SparkSession, folder: str, scope: Callable[[SparkSession, str], Scope] = _set) -> history.History:
+    def write(path: str) -> None:
+        history.write_history(history.summarise(scope(spark, folder)), path)
+
+    return history.read_history(spark, _stored_once(spark, folder, f"history of {scope.__name__}", write))
+
+
+# The day on which the appended history is cut in two.
+CUT = "1997-05-20"
+
+
+def _appended_history(spark: SparkSession, folder: str) -> history.History:
+    """The same history from that of the invoices before a day and that of the others."""
+
+    def write(path: str) -> None:
+        model = _model(spark, folder)
+        before = F.coalesce(F.col("dt") < F.lit(CUT).cast("date"), F.lit(False))
+        halves = [
+            history.summarise(all_invoices(replace(model, headers=model.headers.filter(part), billed=model.billed.filter(part))))
+            for part in (before, ~before)
+        ]
+        history.write_history(history.merged(*halves), path)
+
+    return history.read_history(spark, _stored_once(spark, folder, "appended history", write))
+
+
+@_query
+def history_customer_bounds(spark, folder):
+    return history.customer_bounds(_history(spark, folder), YEAR)
+
+
+def _history_behaviour(known: history.History, dates) -> DataFrame:
+    start, end = history.window_ends(known, dates)
+    return behaviour.customer_behaviour(history.customer_bounds(known, dates), start, end)
+
+
+@_query
+def history_customer_behaviour(spark, folder):
+    return _rounded(_history_behaviour(_history(spark, folder), YEAR), *_AVERAGE_GAPS)
+
+
+@_query
+def history_customer_behaviour_all_time(spark, folder):
+    return _rounded(_history_behaviour(_history(spark, folder, _everything), None), *_AVERAGE_GAPS)
+
+
+@_query
+def history_appended_behaviour(spark, folder):
+    return _rounded(_history_behaviour(_appended_history(spark, folder), None), *_AVERAGE_GAPS)
+
+
+@_query
+def history_retention_summary(spark, folder):
+    return _rounded(behaviour.behaviour_summary(_history_behaviour(_history(spark, folder), YEAR)), *_AVERAGES)
+
+
+@_query
+def history_cohort_matrix(spark, folder):
+    return history.cohort_retention(_history(spark, folder), YEAR)
+
+
+@_query
+def history_cohort_matrix_part_months(spark, folder):
+    return history.cohort_retention(_history(spark, folder), MID_MONTH)
+
+
+@_query
+def history_cohort_matrix_century(spark, folder):
+    return history.cohort_retention(_history(spark, folder), CENTURY)
+
+
+@_query
+def history_appended_cohort_matrix(spark, folder):
+    return history.cohort_retention(_appended_history(spark, folder), LONG)
+
+
+@_query
+def history_retention_decay(spark, folder):
+    return history.retention_decay(_history(spark, folder), YEAR)
+
+
+@_query
+def history_retention_decay_limited(spark, folder):
+    return history.retention_decay(_history(spark, folder, _everything), LONG, 6)
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)

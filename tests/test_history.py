@@ -1,0 +1,77 @@
+"""Summaries of customers: merging, plans, odd customers."""
+
+import random
+from dataclasses import replace
+
+import pytest
+from pyspark.sql import functions as F
+
+from store import keyed, one_line_each, store
+from tallykeep.operators import behaviour, cohorts, history
+from tallykeep.operators.scope import all_invoices, working_set
+
+RANGES = [None, ("2019-11-20", "2020-02-10"), ("2020-01-01", "2020-01-31"), ("1990-01-01", "2089-12-31"), ("2020-01-10", "2020-01-10")]
+
+
+def sales(seed, count):
+    rng = random.Random(seed)
+    days = [f"{year}-{month:02}-{day:02}" for year in (1969, 2015, 2019, 2020) for month in (1, 2, 11, 12) for day in (1, 10, 20, 28)]
+    return [(i, rng.choice([None, 1, 2, 3, 4, 5, 6]), rng.choice(days), "Peru") for i in range(count)]
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    invoices = sales(3, 120)
+    return store(spark, invoices, one_line_each(invoices[::2]))
+
+
+def rows(frame):
+    return sorted(map(repr, frame.collect()))
+
+
+@pytest.mark.parametrize("scope", [all_invoices, working_set])
+@pytest.mark.parametrize("date_range", RANGES)
+def test_equals_the_operators_over_invoices(model, scope, date_range):
+    known = history.summarise(scope(model))
+    expected = behaviour.customer_bounds(scope(model), date_range)
+    assert rows(history.customer_bounds(known, date_range).select(*expected.columns)) == rows(expected)
+    for limit in (None, 2) if date_range is None else (None,):
+        for ours, theirs in ((history.cohort_retention, cohorts.cohort_retention), (history.retention_decay, cohorts.retention_decay)):
+            expected = theirs(scope(model), date_range, limit)
+            assert rows(ours(known, date_range, limit).select(*expected.columns)) == rows(expected)
+
+
+def test_appending_equals_rebuilding(spark, model, tmp_path):
+    parts = []
+    for keep in (F.col("InvoiceId") % 3 == 0, F.col("InvoiceId") % 3 == 1, F.col("InvoiceId") % 3 == 2):
+        part = replace(model, headers=model.headers.filter(keep), billed=model.billed.filter(keep))
+        parts.append(history.summarise(all_invoices(part)))
+    grown = history.merged(history.merged(parts[0], parts[1]), parts[2])
+    whole = history.summarise(all_invoices(model))
+    assert rows(grown.rows) == rows(whole.rows) and rows(grown.span) == rows(whole.span)
+    history.write_history(grown, str(tmp_path))
+    assert rows(history.read_history(spark, str(tmp_path)).rows) == rows(whole.rows)
+
+
+def test_one_row_per_customer_answers_reports(spark, model, tmp_path):
+    """No invoice is read, no customer shuffled and no window used."""
+    history.write_history(history.summarise(all_invoices(model)), str(tmp_path))
+    known = history.read_history(spark, str(tmp_path))
+    for report in (history.customer_bounds, history.cohort_retention, history.retention_decay):
+        plan = report(known, RANGES[1])._jdf.queryExecution().toString()
+        assert "Window" not in plan and "hashpartitioning(CustomerId" not in plan
+    assert "Exchange" not in history.customer_bounds(known, RANGES[1])._jdf.queryExecution().toString()
+
+
+def test_customers_of_undated_purchases(spark):
+    frame = store(spark, [(1, 7, "2020-01-05", "Peru"), (2, 7, "2020-02-05", "Peru"), (3, 8, "2020-02-05", "Peru")], [])
+    undated = F.when(F.col("InvoiceId") != 2, F.col("dt"))
+    part = replace(frame, headers=frame.headers.withColumn("dt", undated), billed=frame.billed.withColumn("dt", undated))
+    known = keyed(history.summarise(all_invoices(part)).rows, "CustomerId")
+    assert known[7]["undated"] == 1 and len(known[7]["days"]) == 1 and len(known[7]["months"]) == 1
+    assert keyed(history.customer_bounds(history.summarise(all_invoices(part))), "CustomerId")[7]["total_purchases"] == 2
+
+
+def test_an_empty_store(spark):
+    known = history.summarise(all_invoices(store(spark, [], [])))
+    assert known.rows.count() == history.cohort_retention(known, None).count() == history.retention_decay(known, None).count() == 0
