@@ -238,7 +238,7 @@ def branch_and_bound(tree: PathTree, wanted: np.ndarray, weights: np.ndarray, hi
         below = tree.children[node]
         if len(below):
             bounds = scores(tree.largest[below][:, wanted], tree.least[below], weights, eighths)
-            best_last = np.argsort(bounds, kind="stable")
+            best_last = np.lexsort((-tree.first[below], bounds))
             open_nodes += zip(bounds[best_last].tolist(), below[best_last].tolist())
         else:
             here = slice(tree.begins[node], tree.ends[node])
