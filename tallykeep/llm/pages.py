@@ -2,9 +2,12 @@
 
 A page is cut into text blocks at block-level tags. Each block has its number of words
 and the share of them inside links, the same of the block before and after, and what its
-open elements and their class names say. A decision tree, trained by Spark on a small
+open elements and their class names say: counts of elements named like page furniture or like an
+article, where an element named like both counts as neither. Reader comments are what stands in an
+element named after them, or in an article inside an article. A decision tree, trained by Spark on a small
 labelled table (the blocks of the example pages below), decides which blocks are the
-main text. Kept blocks have character references decoded and white space folded, and are
+main text. What open elements say is kept as running counts, so time grows with the page, however
+deep its elements nest. Kept blocks have character references decoded and white space folded, and are
 joined in page order by one space.
 
 Defined cases: null or empty html gives an empty text; what is cut off in a page that
@@ -17,7 +20,9 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +36,8 @@ _TOKEN = re.compile(
     r"([^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*(?=>|\Z)|[^>]*)(?:>|\Z))",
     re.S,
 )
+# Names of a class list, each of some words.
+_NAMES_OF_LIST = re.compile(r"[^\s]+")
 _NAMES = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WORDS_OF_NAME = re.compile(r"[a-z]+")
 _HIDDEN = re.compile(r"data-main")
@@ -47,18 +54,22 @@ INLINE = frozenset(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 ARTICLE = frozenset("article main".split())
 BOILERPLATE = frozenset("nav header footer aside form menu dialog button select fieldset head".split())
+END_LEFT_OUT = frozenset("p li td th tr dt dd option".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 BOILERPLATE_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner nav navigation navbar menu "
     "breadcrumb breadcrumbs sidebar widget footer header masthead topbar cookie cookies consent gdpr notice alert popup modal "
-    "comment comments respond disqus reply replies share sharing social related recommended newsletter subscribe subscription "
+    "share sharing social related recommended newsletter subscribe subscription "
     "signup login search pagination pager tags copyright disclaimer legal toolbar skip toc".split()
 )
+COMMENT_NAMES = frozenset("comment comments commentlist respond disqus reply replies".split())
+# Boilerplate that an article inside it does not end; a form may wrap a whole page.
+LASTING = BOILERPLATE - {"form"}
 ARTICLE_NAMES = frozenset("article content main post story entry body text prose".split())
 
 FEATURES = (
     "words", "link_share", "words_before", "link_share_before", "words_after", "link_share_after",
-    "in_article", "beside_article", "in_boilerplate", "named_boilerplate", "named_article", "heading", "in_list",
+    "in_article", "beside_article", "in_boilerplate", "named_boilerplate", "named_article", "heading", "in_list", "in_comments",
 )
 
 
@@ -79,35 +90,83 @@ class Block:
         return min(1.0, self.linked / self.words)
 
 
-def _flags(stack: list[tuple]) -> tuple:
-    """What the open elements say. An article starts afresh, and its own header is part of it."""
-    in_article = in_boilerplate = named_boilerplate = named_article = heading = in_list = 0
-    for name, is_boilerplate, is_article, _ in stack:
-        if name in ARTICLE:
-            in_article, in_boilerplate, named_boilerplate = 1, 0, 0
-        in_boilerplate |= name in BOILERPLATE and not (name == "header" and in_article)
-        named_boilerplate |= is_boilerplate
-        named_article |= is_article
-        heading |= name in HEADINGS
-        in_list |= name in ("ul", "ol", "dl")
-    return in_article, int(in_boilerplate), int(named_boilerplate), int(named_article), int(heading), int(in_list)
+class Open(NamedTuple):
+    """What an open element and those around it say."""
+
+    name: str = ""
+    articles: int = 0
+    in_article: int = 0
+    lasting: int = 0
+    in_form: int = 0
+    named_boilerplate: int = 0
+    named_article: int = 0
+    heading: int = 0
+    in_list: int = 0
+    in_comments: int = 0
+    marked: bool = False
+
+    def within(self, name: str, attributes: str) -> Open:
+        """The state inside a further element."""
+        whole = name in ("body", "html") or name in ARTICLE
+        furniture, article, comments = (0, 0, 0) if whole else _named(attributes)
+        fresh = name in ARTICLE and not self.in_comments
+        in_article = int(self.in_article or name in ARTICLE)
+        return Open(
+            name,
+            self.articles + (name == "article"),
+            in_article,
+            self.lasting + (name in LASTING and not (name == "header" and in_article)),
+            0 if fresh else self.in_form + (name == "form"),
+            (0 if fresh else self.named_boilerplate) + furniture,
+            self.named_article + article,
+            int(self.heading or name in HEADINGS),
+            int(self.in_list or name in ("ul", "ol", "dl")),
+            int(self.in_comments or comments or (name == "article" and self.articles > 0)),
+            self.marked or bool(_HIDDEN.search(attributes)),
+        )
+
+    @property
+    def flags(self) -> tuple:
+        in_boilerplate = int(self.lasting > 0 or self.in_form > 0)
+        return self.in_article, in_boilerplate, self.named_boilerplate, self.named_article, self.heading, self.in_list, self.in_comments
+
+
+def _named(attributes: str) -> tuple[int, int, int]:
+    """Whether class, id and role name page furniture, an article, or comments."""
+    furniture = article = comments = 0
+    if "=" in attributes:
+        for value in _NAMES.findall(attributes):
+            for one in _NAMES_OF_LIST.findall("".join(value).lower()):
+                words = _WORDS_OF_NAME.findall(one)
+                comments |= bool(words) and words[0] in COMMENT_NAMES
+                furniture |= not BOILERPLATE_NAMES.isdisjoint(words)
+                article |= not ARTICLE_NAMES.isdisjoint(words)
+    return int(furniture and not article), int(article and not furniture and not comments), int(comments)
 
 
 def blocks(page: str) -> list[Block]:
     """The text blocks of a page in order; the empty ones are left out."""
     found: list[Block] = []
-    stack: list[tuple] = []
+    stack: list[Open] = []
+    opened: Counter[str] = Counter()
+    outside = Open()
     pieces: list[tuple[str, bool]] = []
     link = False
     done = 0
 
     def end_block() -> None:
         if pieces:
-            block = Block(pieces, _flags(stack), any(entry[3] for entry in stack))
+            state = stack[-1] if stack else outside
+            block = Block(pieces, state.flags, state.marked)
             if block.words:
                 found.append(block)
             pieces.clear()
 
+    def close() -> str:
+        name = stack.pop().name
+        opened[name] -= 1
+        return name
+
     while True:
         token = _TOKEN.search(page, done)
         text = page[done : token.start()] if token else page[done:]
@@ -130,33 +189,20 @@ def blocks(page: str) -> list[Block]:
             if name == "a":
                 link = not closing
         elif closing:
-            if any(entry[0] == name for entry in stack):
+            if opened[name]:
                 end_block()
                 link = False
-                while stack.pop()[0] != name:
+                while close() != name:
                     pass
             elif name == "p":
                 end_block()
         else:
             end_block()
-            if name in ("p", "li", "td", "th", "tr", "dt", "dd", "option") and stack and stack[-1][0] == name:
-                stack.pop()  # its end tag may be left out
-            elif stack and stack[-1][0] == "p":
-                stack.pop()
+            if stack and (stack[-1].name == "p" or (stack[-1].name == name and name in END_LEFT_OUT)):
+                close()
             if name not in VOID and not attributes.endswith("/"):
-                names = set()
-                if "=" in attributes:
-                    for value in _NAMES.findall(attributes):
-                        names.update(_WORDS_OF_NAME.findall("".join(value).lower()))
-                whole = name in ("body", "html") or name in ARTICLE
-                stack.append(
-                    (
-                        name,
-                        int(not whole and bool(names & BOILERPLATE_NAMES)),
-                        int(not whole and bool(names & ARTICLE_NAMES)),
-                        bool(_HIDDEN.search(attributes)),
-                    )
-                )
+                stack.append((stack[-1] if stack else outside).within(name, attributes))
+                opened[name] += 1
     end_block()
     return found
 
@@ -214,6 +260,15 @@ EXAMPLES = (
     f"<header><p>{_LONG}</p><p>{_LONG}</p></header><div class=text><p data-main>{_SHORT}</p><p data-main>{_LONG}</p></div>",
     f"<form><p>{_SHORT}</p><p>{_LONG}</p></form><div class=ads><p>{_SHORT}</p><p>{_LONG}</p></div><p data-main>{_LONG}</p>",
     f"<article><nav>{_LINKS}</nav><h2 data-main>Bridge</h2><p data-main>{_LONG}</p><footer><p>{_SHORT}</p></footer></article>",
+    f"<article><p data-main>{_LONG}</p><p data-main>{_SHORT}</p></article><section class=comments><article><p>{_LONG}</p></article>"
+    f"<article><p>{_SHORT}</p></article></section>",
+    f"<main><article><p data-main>{_LONG}</p><section><article><p>{_LONG}</p></article><article><p>{_SHORT}</p></article></section></article></main>",
+    f"<div class='post tags-science'><p data-main>{_LONG}</p><p data-main>{_SHORT}</p></div><div class=sidebar><p>{_LONG}</p></div>",
+    f"<div class=story><div class='story-header'><h1 data-main>Bridge</h1><p data-main>{_LONG}</p></div><p data-main>{_LONG}</p></div>"
+    f"<ol class=commentlist><li class='comment byuser'><p>{_LONG}</p></li><li class='comment'><div class='comment-content'><p>{_SHORT}</p></div></li></ol>",
+    f"<form><article><p data-main>{_LONG}</p><p data-main>{_SHORT}</p></article></form><aside><article><p>{_LONG}</p></article></aside>",
+    f"<div id=respond><p>{_SHORT}</p><p>{_LONG}</p></div><div><p data-main>{_LONG}</p><p data-main>{_LONG}</p></div>",
+    f"<div class='layout has-sidebar'><article class='post'><p data-main>{_LONG}</p></article><div class='sidebar'><p>{_LONG}</p><p>{_SHORT}</p></div></div>",
 )
 
 Node = tuple  # (feature, limit, node if not above, node if above) or (keep,)

@@ -1,3 +1,5 @@
+from collections import Counter
+
 import pytest
 
 from llm import plain
@@ -25,6 +27,11 @@ HTML = {
     f"<article><p>{LONG}</p><!-- never closed {LONG}": LONG,
     "<article><p>One <b>bold</b>word</p><ul><li>a</li><li>b<li>c</ul></article>": "One boldword a b c",
     "<article><p>1 &lt; 2 &#233; &eacute;</p></article>": "1 < 2 é é",
+    f"<article><p>{LONG}</p></article><section class='comments'><article><p>{LONG}</p></article></section>": LONG,
+    f"<article><p>{LONG}</p><div id=disqus_thread><article><p>First! {LONG}</p></article></div></article>": LONG,
+    f"<div class='post tags-science'><p>{LONG}</p><p>{LONG}</p></div>": f"{LONG} {LONG}",
+    f"<div class='story'><div class='story-header'><p>{LONG}</p></div><p>{LONG}</p></div>": f"{LONG} {LONG}",
+    f"<body class='has-sidebar'><article><p>{LONG}</p></article><ul class='commentlist'><li>{LONG}</li></ul>": LONG,
     "<article><p>broken <a href=\"x>never closed": "broken never closed",
 }
 
@@ -54,6 +61,47 @@ def test_markup_of_any_kind_ends(tree):
         pages.main_text(page, tree)
 
 
+def test_time_grows_with_the_page_not_its_depth(tree):
+    import time
+
+    for page in ("<div>a" * 100_000, "<ul><li>a" * 50_000, "<div class='ad x'>a" * 50_000, "<div>" * 60_000 + "</p></b></div>a" * 60_000):
+        start = time.process_time()
+        pages.main_text(page, tree)
+        assert time.process_time() - start < 20
+
+
+# Pages of other sites than the examples', with other words: (html, main text).
+A = "Our train left an hour late, and the man beside me explained, without being asked, how signals work on this line."
+B = "By noon we had reached the coast."
+C = "She sells three kinds of bread on weekdays, and a fourth one, with seeds, that is gone before nine on Saturdays."
+HELD_OUT = [
+    (f"<div class=topnav><a href=/>Start</a> | <a href=/b>Blog</a></div><div class='blog-post'><h2>Coast</h2><p>{A}</p><p>{B}</p></div>"
+     f"<div class='comment-list'><div class='comment'><p>{C}</p></div></div>", f"Coast {A} {B}"),
+    (f"<header><a href=/>Logo</a></header><main id=content><article><h1>Bread</h1><p>{C}</p><figure><figcaption>{B}</figcaption></figure><p>{A}</p>"
+     f"</article></main><aside><h3>More</h3><p>{A}</p></aside><footer><p>{B}</p></footer>", f"Bread {C} {B} {A}"),
+    (f"<div id=cookie-consent><p>{A}</p><button>Yes</button></div><section class=entry-content><p>{C}</p><blockquote>{B}</blockquote><p>{A}</p></section>"
+     f"<div class=related-posts><ul><li><a href=/1>{B}</a></li><li><a href=/2>Other</a></li></ul></div>", f"{C} {B} {A}"),
+    (f"<article><h1>Late</h1><p>{A}</p><p>{B}</p><p>{C}</p><section id=comments><h2>2 comments</h2><article class=comment><p>{C}</p></article>"
+     f"<article class=comment><p>{B}</p></article></section></article>", f"Late {A} {B} {C}"),
+    (f"<ul class=menu><li><a href=/a>A</a></li><li><a href=/b>B</a></li></ul><p>{A}</p><p>{C}</p><p>{A}</p><div class=footer>{B}</div>", f"{A} {C} {A}"),
+    (f"<form action=/x><article><p>{C}</p><p>{B}</p></article></form><div class=newsletter-signup><p>{A}</p></div>", f"{C} {B}"),
+    (f"<div class=page><div class=article-body><p>{A}</p><div class=ad-slot><p>{B}</p></div><p>{C}</p></div><div class=social><a href=/s>Share</a></div></div>", f"{A} {C}"),
+    (f"<nav><ol><li><a href=/>Home</a></li></ol></nav><article><header><h1>Seeds</h1><p>{B}</p></header><p>{C}</p><ol><li>{B}</li><li>Flour</li></ol></article>", f"Seeds {B} {C} {B} Flour"),
+]
+
+
+def test_held_out_pages(tree):
+    """Precision and recall of words on pages the tree has not seen."""
+    right = given = wanted = 0
+    for page, text in HELD_OUT:
+        found, expected = Counter(pages.main_text(page, tree).split()), Counter(text.split())
+        right += (found & expected).total()
+        given += found.total()
+        wanted += expected.total()
+    print("precision", right / given, "recall", right / wanted)
+    assert right >= 0.95 * given and right >= 0.95 * wanted
+
+
 URLS = [
     "http://WWW.Example.org/es/1", "https://example.org/en/1?x", "http://a.example.org/en/2#t", "http://example.com/fr/",
     "http://x.com/de/7", "http://x.net/a/b", "no scheme", None, "", "://", "http://host", "http://host?q/a", "ftp://a.ORG/",
