@@ -15,7 +15,7 @@ fields are shuffled.
 Defined cases: a null or malformed record has null fields and is neither a response nor
 a revisit; a response is full if its status is 200; captures of the same instant are not
 earlier than each other; of responses at one time the largest record id counts, so
-repeated records do no harm; a revisit without an earlier response is ``unresolved``, one
+repeated records do no harm; a record without a URL answers none and is answered by none; a revisit without an earlier response is ``unresolved``, one
 whose validators differ ``mismatch``, one without validators ``unverified`` (it resolves);
 extra columns are ignored; an empty table gives an empty result.
 """
@@ -147,7 +147,7 @@ def resolve(records: DataFrame) -> DataFrame:
         is_response.alias("full"),
         "fields",
     )
-    response = F.when(F.col("full"), F.struct("instant", "record_id", "at", "fields"))
+    response = F.when(F.col("full") & (F.col("url_key") != ""), F.struct("instant", "record_id", "at", "fields"))
     earlier_here = Window.partitionBy("url_key", "bucket").orderBy("instant").rangeBetween(Window.unboundedPreceding, -1)
     here = captures.withColumn("source", F.max(response).over(earlier_here)).filter(~F.col("full"))
     last = captures.groupBy("url_key", "bucket").agg(F.max(response).alias("last"))
