@@ -9,7 +9,10 @@ limit. Where a rule fits, the longest one decides instead.
 
 Only Spark functions are used. Pages are first counted per host and generalised path,
 with partial sums in every task, so the tree works on templates, not on pages. There is
-one round per level; a path whose last segment has been placed takes no part in later ones.
+one round per level; a path whose last segment has been placed takes no part in later ones, nor do
+templates that cannot part any more: below one without labels purity stays what it is, and that of a
+template with a single path follows from the number of segments left. So there are rounds
+only as deep as a labelled template holds several paths.
 
 Defined cases: a null url, or one without ``://``, has an empty host and path; no rule fits
 it and it belongs to the empty template; unlabelled pages count as no evidence; of
@@ -129,22 +132,44 @@ def template_tree(urls: DataFrame) -> DataFrame:
     )
     leaves = leaves.withColumn("path_key", F.array_join("segments", "/"))
     leaves = durable(leaves)
-    seen = leaves.agg(
-        F.sum("labelled").alias("n"), F.sum("bad").alias("b"), F.max(F.size("segments")).alias("depth")
-    ).first()
+    seen = leaves.agg(F.sum("labelled").alias("n"), F.sum("bad").alias("b")).first()
     overall = seen["b"] / seen["n"] if seen["n"] else 0.0
     per_host = leaves.groupBy("host").agg(
         ((F.sum("bad") + SMOOTHING * overall) / (F.sum("labelled") + SMOOTHING)).alias("purity")
     )
-    grown = leaves.join(per_host, "host").withColumn("template", F.lit(""))
-    placed = []
-    for level in range(seen["depth"] or 0):
+    grown = durable(leaves.join(per_host, "host").withColumn("template", F.lit("")))
+    placed, level = [], 0
+    while True:
+        settled, grown = _settled(grown, level)
+        placed.append(settled)
+        if grown.isEmpty():
+            break
         grown = durable(_grow(grown, level))
         # a path that ends here has counted for its parent and keeps its template from now on
         ended = F.size("segments") <= level
         placed.append(grown.filter(ended))
         grown = grown.filter(~ended)
-    return reduce(DataFrame.unionByName, [*placed, grown]).select("host", "path_key", "template", "purity")
+        level += 1
+    names = ["host", "path_key", "template", "purity"]
+    return reduce(DataFrame.unionByName, [part.select(*names) for part in placed])
+
+
+def _settled(grown: DataFrame, level: int) -> tuple[DataFrame, DataFrame]:
+    """Paths of templates that no later round can part, with their final template and purity, and the others.
+
+    All their branches are similar to their parent, so every segment left is a wildcard.
+    """
+    groups = grown.groupBy("host", "template").agg(F.sum("labelled").alias("all_n"), F.count(F.lit(1)).alias("paths"))
+    known = durable(grown.join(groups, ["host", "template"]))
+    alone = (F.col("all_n") == 0) | (F.col("paths") == 1)
+    left = F.greatest(F.size("segments") - level, F.lit(0))
+    share = F.when(F.col("all_n") > 0, F.col("bad") / F.col("all_n"))
+    # each segment left moves the purity towards the share by the same part
+    nearer = share + (F.col("purity") - share) * F.pow(SMOOTHING / (F.col("all_n") + SMOOTHING), left)
+    final = known.filter(alone).withColumns(
+        {"template": F.concat("template", F.repeat(F.lit("/*"), left)), "purity": F.coalesce(nearer, F.col("purity"))}
+    )
+    return final, known.filter(~alone).drop("all_n", "paths")
 
 
 def judge(pages: DataFrame, labels: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:

@@ -129,7 +129,7 @@ def revisits(pages: list[tuple]) -> dict:
         by_url[canonical(url)].append((i * 60, i, body or ""))
     result = {}
     for i, url, body in pages:
-        earlier = [one for one in by_url[canonical(url)] if one[0] < i * 60 + 60_030]
+        earlier = [one for one in by_url[canonical(url)] if canonical(url) and one[0] < i * 60 + 60_030]
         last = max(earlier, default=None)
         outcome = "unresolved" if last is None else "resolved" if last[2] == (body or "") else "mismatch"
         result[i] = (canonical(url), outcome, last[1] if outcome == "resolved" else None)
@@ -161,3 +161,37 @@ def conversation(turns: list[tuple]) -> tuple:
     ordered = sorted((t is not None, t or 0, r or "", x or "") for t, r, x in turns)
     loss = "".join(x for *_, r, x in ordered if r == "assistant")
     return len(ordered), sha("".join(f"{r}\n{x}\n" for *_, r, x in ordered)), len(loss), sha(loss)
+
+
+def template_tree(paths: list[tuple]) -> dict:
+    """(host, segments): (template, purity) from (host, segments, labelled, bad), level by level over all paths."""
+    smoothing, similar = 10.0, 1.96
+    n, b = sum(p[2] for p in paths), sum(p[3] for p in paths)
+    overall = b / n if n else 0.0
+    state = {}
+    for host in {p[0] for p in paths}:
+        mine = [p for p in paths if p[0] == host]
+        purity = (sum(p[3] for p in mine) + smoothing * overall) / (sum(p[2] for p in mine) + smoothing)
+        state |= {(host, p[1]): ("", purity, p[2], p[3]) for p in mine}
+    for level in range(max((len(p[1]) for p in paths), default=0)):
+        groups = defaultdict(list)
+        for (host, segments), (template, *_) in state.items():
+            if len(segments) >= level and template.count("/") == level:
+                groups[host, template].append((host, segments))
+        for (_, template), members in groups.items():
+            branches = defaultdict(list)
+            for key in members:
+                branches[key[1][level] if len(key[1]) > level else ""].append(key)
+            all_n, all_b = (sum(state[k][i] for k in members) for i in (2, 3))
+            share = all_b / all_n if all_n else 0.0
+            nodes = defaultdict(list)
+            for segment, keys in branches.items():
+                bn, bb = (sum(state[k][i] for k in keys) for i in (2, 3))
+                like = segment and abs(bb - bn * share) <= similar * (bn * share * (1 - share)) ** 0.5
+                nodes["*" if like else segment] += keys
+            for branch, keys in nodes.items():
+                if branch:
+                    purity = (sum(state[k][3] for k in keys) + smoothing * state[keys[0]][1]) / (sum(state[k][2] for k in keys) + smoothing)
+                    for k in keys:
+                        state[k] = (f"{template}/{branch}", purity, *state[k][2:])
+    return {key: value[:2] for key, value in state.items()}
