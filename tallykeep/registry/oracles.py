@@ -778,14 +778,63 @@ _SAME = {
     "history_appended_cohort_matrix": "cohort_matrix_invoice_table",
     "history_retention_decay": "retention_decay",
     "history_retention_decay_limited": "retention_decay_limited",
+    "members_group_yearly_genre": "group_yearly_genre",
+    "members_group_yearly_artist": "group_yearly_artist",
+    "members_appended_group_yearly_genre": "group_yearly_genre",
 }
 
+_ORDERS = {
+    "events_all": "dt, InvoiceId",
+    "ts_monthly": "month",
+    "geo_yearly": "year, country",
+    "group_kpis_artist": "group_val",
+    "group_kpis_country": "group_val",
+    "group_yearly_genre": "year, genre",
+    "group_yearly_artist": "year, artist",
+    "cohort_matrix": "cohort_month, month_offset",
+    "retention_decay": "month_offset",
+    "topn_artist": "metric, rank",
+    "group_bar_artist": "total_metric DESC, year, artist",
+}
+
+
+def _numbered(sql: str, order: str) -> str:
+    keys = ", ".join(f"{key} NULLS LAST" for key in order.split(", "))
+    return f"SELECT *, row_number() OVER (ORDER BY {keys}) AS position FROM ({sql})"
+
+
+_CENTS = "CAST(ROUND({0} * 100) AS BIGINT)"
+
+
+def _median_lines() -> str:
+    return _with(f"""SELECT genre, COUNT(*) AS n, median({_CENTS.format('amount')}) / 100.0 AS median
+      FROM sales WHERE genre IS NOT NULL AND artist IS NOT NULL GROUP BY genre""")
+
+
+def _median_purchases(by: str | None) -> str:
+    key, group = (f"{by}, ", f"GROUP BY {by}") if by else ("", "HAVING COUNT(*) > 0")
+    return _with(f"""SELECT {key}COUNT(*) AS n, median({_CENTS.format('amount')}) / 100.0 AS median
+      FROM (SELECT e.InvoiceId, e.country, SUM(s.amount) AS amount FROM {SET} e JOIN sales s ON s.InvoiceId = e.InvoiceId
+            WHERE {_months('e.dt', LONG)} GROUP BY e.InvoiceId, e.country) {group}""")
+
+
+def _median_gaps() -> str:
+    names = ("gap_life", "gap_window", "gap_winback", "gap_retention")
+    each = [f"SELECT '{name}' AS gap, COUNT({name}) AS n, CAST(median({name}) AS DOUBLE) AS median FROM derived HAVING COUNT({name}) > 0" for name in names]
+    return _with(" UNION ALL ".join(each), *_derived_ctes(SET, YEAR))
+
 
 def oracle_sql() -> dict[str, str]:
     direct = _direct()
     direct["history_cohort_matrix_part_months"] = _matrix(SET, MID_MONTH)
     direct["history_cohort_matrix_century"] = _matrix(SET, CENTURY)
-    return direct | {name: direct[other] for name, other in _SAME.items()}
+    direct["members_group_yearly_artist_one_year"] = _yearly("artist", YEAR)
+    direct["median_line_revenue_genre"] = _median_lines()
+    direct["median_purchase_country"] = _median_purchases("country")
+    direct["median_purchase"] = _median_purchases(None)
+    direct["median_gaps"] = _median_gaps()
+    positions = {f"ordered_{name}": _numbered(direct[name], order) for name, order in _ORDERS.items()}
+    return direct | positions | {name: direct[other] for name, other in _SAME.items()}
 
 
 def _direct() -> dict[str, str]:

@@ -11,14 +11,14 @@ from pyspark.sql import functions as F
 from tallykeep.functions.countries import SCHEMA, country_dimension, listed, with_flag, with_iso3
 from tallykeep.functions.display import format_kpi
 from tallykeep.model import SalesModel
-from tallykeep.operators import behaviour, catalog, cohorts, core, geo, groups, history, timeseries, topn, yearly
+from tallykeep.operators import behaviour, catalog, cohorts, core, geo, groups, history, medians, members, timeseries, topn, yearly
 from tallykeep.operators.filters import SalesFilter
 from tallykeep.operators.groups import ARTIST, COUNTRY, GENRE
 from tallykeep.operators.scope import Scope, all_invoices, working_set
 from tallykeep.plans import metadata, pipeline, tagged
 from tallykeep.session import MEGABYTE, shared_folder, stamp
 from tallykeep.sources import dated
-from tallykeep.sources.sinks import settled
+from tallykeep.sources.sinks import read_ordered, settled, write_ordered
 from tallykeep.sources.star import SCHEMAS, read_star
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -675,5 +675,119 @@ def history_retention_decay_limited(spark, folder):
     return history.retention_decay(_history(spark, folder, _everything), LONG, 6)
 
 
+# From the stored bitmaps of months and groups, which are written from the given tables once per session
+
+
+def _members(spark: SparkSession, folder: str, group: str) -> DataFrame:
+    def write(path: str) -> None:
+        members.write_members(members.summarise(_set(spark, folder), group), path)
+
+    return members.read_members(spark, _stored_once(spark, folder, f"members of {group}", write))
+
+
+def _appended_members(spark: SparkSession, folder: str, group: str) -> DataFrame:
+    """The same summary from that of some lines and that of the others; invoices are in both."""
+
+    def write(path: str) -> None:
+        model = _model(spark, folder)
+        odd = F.coalesce(F.col("TrackId") % 2 == 1, F.lit(False))
+        halves = [members.summarise(working_set(replace(model, lines=model.lines.filter(part))), group) for part in (odd, ~odd)]
+        members.write_members(members.merged(*halves), path)
+
+    return members.read_members(spark, _stored_once(spark, folder, f"appended members of {group}", write))
+
+
+def _members_yearly(spark: SparkSession, folder: str, known: DataFrame, group: str, dates) -> DataFrame:
+    return members.yearly_summary(known, members.sizes_of(_everything(spark, folder), group), group, dates)
+
+
+@_query
+def members_group_yearly_genre(spark, folder):
+    return _members_yearly(spark, folder, _members(spark, folder, GENRE), GENRE, LONG)
+
+
+@_query
+def members_group_yearly_artist(spark, folder):
+    return _members_yearly(spark, folder, _members(spark, folder, ARTIST), ARTIST, LONG)
+
+
+@_query
+def members_group_yearly_artist_one_year(spark, folder):
+    return _members_yearly(spark, folder, _members(spark, folder, ARTIST), ARTIST, YEAR)
+
+
+@_query
+def members_appended_group_yearly_genre(spark, folder):
+    return _members_yearly(spark, folder, _appended_members(spark, folder, GENRE), GENRE, LONG)
+
+
+# Exact medians
+
+
+# Small enough that the given tables take rounds as large ones do.
+MEDIAN_SORTABLE = 500
+
+
+def _in_money(found: DataFrame) -> DataFrame:
+    return found.withColumn("median", F.col("median") / 100.0)
+
+
+@_query
+def median_line_revenue_genre(spark, folder):
+    lines = _model(spark, folder).described_lines().filter(F.col("genre").isNotNull())
+    return _in_money(medians.exact_median(lines, ["genre"], "cents", MEDIAN_SORTABLE))
+
+
+@_query
+def median_purchase_country(spark, folder):
+    sold = core.sold_invoices(_set(spark, folder), LONG, country=True)
+    return _in_money(medians.exact_median(sold, ["country"], "cents", MEDIAN_SORTABLE))
+
+
+@_query
+def median_purchase(spark, folder):
+    return _in_money(medians.exact_median(core.sold_invoices(_set(spark, folder), LONG), [], "cents", MEDIAN_SORTABLE))
+
+
+@_query
+def median_gaps(spark, folder):
+    """The median gaps of the retention summary, all from one table of values."""
+    customers = behaviour.behaviour_of(_set(spark, folder), YEAR)
+    names = ("gap_life", "gap_window", "gap_winback", "gap_retention")
+    gaps = customers.select(F.inline(F.array(*[F.struct(F.lit(name).alias("gap"), F.col(name).alias("days")) for name in names])))
+    return medians.exact_median(gaps, ["gap"], "days", MEDIAN_SORTABLE)
+
+
+# Reports in their documented order, stored by ranges, with the position of every row
+
+# Query, and the report whose order it has.
+ORDERED = {
+    "events_all": "events",
+    "ts_monthly": "monthly",
+    "geo_yearly": "geo",
+    "group_kpis_artist": "groups",
+    "group_kpis_country": "groups",
+    "group_yearly_genre": "yearly_genre",
+    "group_yearly_artist": "yearly_artist",
+    "cohort_matrix": "cohorts",
+    "retention_decay": "decay",
+    "topn_artist": "top",
+    "group_bar_artist": "bars",
+}
+
+
+def _positions(name: str, report: str) -> Query:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        def write(path: str) -> None:
+            write_ordered(_QUERIES[name](spark, folder), report, path)
+
+        return read_ordered(spark, _stored_once(spark, folder, f"ordered {name}", write))
+
+    return run
+
+
+_QUERIES.update({f"ordered_{name}": _positions(name, report) for name, report in ORDERED.items()})
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)

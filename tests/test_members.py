@@ -1,0 +1,72 @@
+"""Bitmaps of months and groups: equal to the operator over lines, merging, what is read."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from store import store
+from tallykeep.operators import members, yearly
+from tallykeep.operators.filters import SalesFilter
+from tallykeep.operators.scope import all_invoices, working_set
+
+GROUPS = ["Genre", "Artist"]
+WHOLE = [("2015-01-01", "2020-12-31"), ("2019-02-01", "2020-01-31"), ("1990-01-01", "1990-12-31")]
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    rng = random.Random(11)
+    days = [f"{year}-{month:02}-{day:02}" for year in (1969, 2015, 2019, 2020) for month in (1, 2, 11) for day in (1, 28)]
+    # ids on both sides of the ends of a bitmap
+    places = [0, -1, -32_768, 32_768, 32_769, 1_000_000]
+    numbers = [place + step for place in places for step in range(0, 60, 3)]
+    invoices = [(i, rng.choice([None, 0, -5, 32_768, 32_769, 7]), rng.choice(days), rng.choice([None, "Peru", "Chile"])) for i in numbers]
+    lines = [(rng.choice(numbers), rng.choice([1, 2, 3, 4, 5, 6, 7, 99]), rng.randint(1, 3)) for _ in range(300)]
+    return store(spark, invoices, lines)
+
+
+def rows(frame):
+    return sorted(map(repr, frame.select(*sorted(frame.columns)).collect()))
+
+
+def answer(scope, group, dates):
+    return members.yearly_summary(members.summarise(scope, group), members.sizes_of(scope, group), group, dates)
+
+
+@pytest.mark.parametrize("group", GROUPS)
+@pytest.mark.parametrize("dates", WHOLE)
+def test_equals_the_operator_over_lines(model, group, dates):
+    for scope in (all_invoices(model), working_set(model, SalesFilter(country=["Peru"]))):
+        assert rows(answer(scope, group, dates)) == rows(yearly.yearly_summary(scope, group, dates))
+
+
+def test_appending_equals_rebuilding(spark, model, tmp_path):
+    from dataclasses import replace
+
+    scope, keep = all_invoices(model), F.col("TrackId") % 2 == 0
+    halves = [members.summarise(all_invoices(replace(model, lines=model.lines.filter(part))), "Genre") for part in (keep, ~keep)]
+    members.write_members(members.merged(*halves), str(tmp_path))
+    grown = members.read_members(spark, str(tmp_path))
+    for dates in WHOLE:
+        ours = members.yearly_summary(grown, members.sizes_of(scope, "Genre"), "Genre", dates)
+        assert rows(ours) == rows(yearly.yearly_summary(scope, "Genre", dates))
+
+
+def test_no_line_is_read_and_months_are_pruned(spark, model, tmp_path):
+    members.write_members(members.summarise(all_invoices(model), "Artist"), str(tmp_path))
+    known = members.read_members(spark, str(tmp_path))
+    report = members.yearly_summary(known, spark.createDataFrame([("Ann", 2)], "artist string, num_tracks long"), "Artist", WHOLE[1])
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month" in plan and "Window" not in plan and "InvoiceId" not in plan
+
+
+def test_part_months_are_refused(model):
+    with pytest.raises(ValueError, match="whole months"):
+        answer(all_invoices(model), "Genre", ("2019-02-02", "2019-03-31"))
+
+
+def test_without_lines(spark):
+    nothing = all_invoices(store(spark, [], []))
+    assert members.summarise(nothing, "Genre").collect() == []
+    assert answer(nothing, "Genre", None).collect() == []
