@@ -42,10 +42,13 @@ _BASE = {
 }
 _NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 
+# Parts and groups of any number and length: every repetition is possessive and needs nothing
+# after it, so a start that fails has read one part only.
 _GENERATORS = {
-    "email_spelled": r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]{1,64}+ ?[\[(]? ?(?:at|AT) ?[\])]? ?[A-Za-z0-9\-]{1,63}+"
-    r"(?: ?[\[(]? ?(?:dot|DOT) ?[\])]? ?[A-Za-z0-9\-]{1,63}+){1,4}",
-    "phone_national": r"(?<![0-9A-Za-z+.\-])[(]?[0-9]{2,4}[)]?(?:[ .\-]{1,2}[0-9]{2,5}){1,4}+(?![0-9A-Za-z])",
+    "email_spelled": r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]++ ?[\[(]? ?(?:at|AT) ?[\])]? ?[A-Za-z0-9\-]++"
+    r"(?: ?[\[(]? ?(?:dot|DOT) ?[\])]? ?[A-Za-z0-9\-]++)++",
+    # two groups or more, or one that starts with a zero
+    "phone_national": r"(?<![0-9A-Za-z+.\-])(?:[(]?[0-9]{2,}+(?![A-Za-z])[)]?(?:[ .\-]{1,2}[0-9]{2,}+(?![A-Za-z]))++|0[0-9]{6,}+(?![A-Za-z]))",
     "secret": r"(?<![A-Za-z0-9_\-])[A-Za-z0-9_\-]{20,}+",
 }
 
@@ -65,7 +68,7 @@ FEATURES = (
 
 # Trees, their depth, and the precision a threshold must show on held-out rows.
 TREES, TREE_DEPTH = 8, 3
-LABELLED_ROWS = 3000
+LABELLED_ROWS = 4500
 WANTED_PRECISION = 0.99
 
 
@@ -172,6 +175,14 @@ def labelled_table(spark: SparkSession) -> DataFrame:
     mail_word = F.element_at(F.split(F.lit("mail |contact: |write to |reach me "), r"\|"), number(5, 4) + 1)
     secret_word = F.element_at(F.split(F.lit("token = \"|api_key: |secret=|password = '|bearer "), r"\|"), number(5, 5) + 1)
     plain = F.concat(prose, F.lit(" "))
+    labels = F.concat(site, F.repeat(F.concat(F.lit(" dot "), F.substring(word, F.lit(1), number(6, 4) + 1)), number(3, 8) + 1))
+    letters = F.substring(F.translate(F.lower(random), "0123456789-_", ""), F.lit(1), number(3, 100) + 20)
+    run = F.concat(F.lit("0"), digits(6, 9))
+    area = F.concat(F.lit("0"), digits(6, 3), F.lit(" "), digits(7, 6))
+    hyphened = F.concat(F.lit("0"), digits(6, 2), F.lit("-"), digits(7, 7))
+    pairs = F.concat_ws(" ", *[digits(salt, 2) for salt in range(6, 12)])
+    many_pairs = F.concat(pairs, F.repeat(F.concat(F.lit(" "), digits(12, 2)), number(3, 60) + 3))
+    numbers = F.concat(digits(6, 2), F.repeat(F.concat(F.lit(" "), digits(7, 2), F.lit(" "), digits(8, 3)), number(3, 30) + 4))
     rows = [
         ("phone_national", F.concat(F.lit("("), digits(6, 3), F.lit(") "), digits(7, 3), F.lit("-"), digits(8, 4)), plain, 1),
         ("phone_national", F.concat(digits(6, 3), F.lit("-"), digits(7, 3), F.lit("-"), digits(8, 4)), plain, 1),
@@ -183,17 +194,38 @@ def labelled_table(spark: SparkSession) -> DataFrame:
         ("phone_national", F.concat(digits(6, 3), F.lit(" "), digits(7, 3)), plain, 0),
         ("phone_national", F.concat(digits(6, 4), F.lit(" "), digits(7, 4), digits(8, 1)), plain, 0),
         ("phone_national", F.concat(digits(6, 3), F.lit(" "), digits(7, 2), F.lit(" "), digits(8, 2), F.lit(" "), digits(9, 2)), plain, 0),
+        # written without groups, in uneven groups, in many pairs
+        ("phone_national", run, phone_word, 1),
+        ("phone_national", area, phone_word, 1),
+        ("phone_national", hyphened, phone_word, 1),
+        ("phone_national", pairs, phone_word, 1),
+        ("phone_national", run, plain, 0),
+        ("phone_national", area, plain, 0),
+        ("phone_national", hyphened, plain, 0),
+        ("phone_national", pairs, plain, 0),
+        # lists of numbers, whatever word precedes them
+        ("phone_national", numbers, plain, 0),
+        ("phone_national", numbers, phone_word, 0),
+        ("phone_national", many_pairs, plain, 0),
+        ("phone_national", many_pairs, phone_word, 0),
         ("email_spelled", F.concat(word, F.lit(" (at) "), site, F.lit(" (dot) com")), plain, 1),
         ("email_spelled", F.concat(word, F.lit("[at]"), site, F.lit("[dot]org")), plain, 1),
         ("email_spelled", F.concat(word, F.lit(" at "), site, F.lit(" dot com")), mail_word, 1),
         ("email_spelled", F.concat(word, F.lit(" at "), site, F.lit(" dot "), word), plain, 0),
         ("email_spelled", F.concat(word, F.lit("at"), site, F.lit("dot"), word), plain, 0),
+        # long local parts, hosts of many labels
+        ("email_spelled", F.concat(F.repeat(word, number(3, 20) + 4), F.lit(" at "), site, F.lit(" dot com")), mail_word, 1),
+        ("email_spelled", F.concat(word, F.lit(" at "), labels, F.lit(" dot com")), mail_word, 1),
+        ("email_spelled", F.concat(word, F.lit(" at "), labels, F.lit(" dot "), word), plain, 0),
         ("secret", hexes, secret_word, 1),
         ("secret", F.concat(F.lit("sk-"), F.base64(F.unhex(F.sha1(F.col("id").cast("string").cast("binary"))))), secret_word, 1),
         ("secret", F.concat(F.repeat(word, 3), F.repeat(site, 3)), plain, 0),
         ("secret", F.concat(F.repeat(word, 3), F.repeat(site, 3)), secret_word, 0),
         ("secret", F.concat(F.lit("section-"), number(6, 99).cast("string"), F.lit("-"), F.repeat(word, 4)), plain, 0),
         ("secret", F.lpad(digits(6, 9), 24, "1234567890"), plain, 0),
+        # runs of letters that are no words
+        ("secret", letters, plain, 0),
+        ("secret", letters, mail_word, 0),
         # longer than any single line of hex digits or words
         ("secret", long, secret_word, 1),
         ("secret", F.substring(F.lower(F.hex(F.concat(*blocks))), F.lit(1), number(3, 800) + 201), secret_word, 1),

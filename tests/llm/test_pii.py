@@ -127,3 +127,32 @@ def test_patterns_take_linear_time_without_deep_recursion(spark, kind):
     rows = [(i, text) for i, text in enumerate(texts)]
     table = spark.createDataFrame(rows, "doc_id long, text string")
     assert table.filter(pii.F.col("text").rlike(pii._BASE[kind])).count() <= len(rows)
+
+
+@pytest.mark.parametrize(
+    ("text", "wanted"),
+    [
+        ("call 12 34 56 78 90 12 now", "call [PHONE_NATIONAL] now"),
+        ("call 0123456789", "call [PHONE_NATIONAL]"),
+        ("phone: 0171 234567", "phone: [PHONE_NATIONAL]"),
+        ("tel 030-1234567", "tel [PHONE_NATIONAL]"),
+        ("phone 12 34 56 78 90kg", "phone [PHONE_NATIONAL] 90kg"),
+        ("see page 030-1234567 of", None),
+        ("in 2012 2013 2014 2015 2016 we", None),
+        ("call " + "12 34 " * 40, None),
+        ("of this " + "12 " * 50, None),
+        ("mail " + "a" * 70 + " at corp dot com", "mail [EMAIL_SPELLED]"),
+        ("write to ann at a dot b dot c dot d dot e dot f dot com", "write to [EMAIL_SPELLED]"),
+        ("of this " + "q" * 70 + " and", None),
+    ],
+)
+def test_added_spans_of_any_length(spark, text, wanted):
+    table = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert pii.redact(table).first().text == (text if wanted is None else wanted)
+
+
+@pytest.mark.parametrize("kind", pii.ADDED_KINDS)
+def test_generators_take_linear_time(spark, kind):
+    parts = ["1" * 99, "12 ", "12 34a", "a dot ", "a at a dot ", "(12) ", "0123456a", "a-", "at at ", "12.12 34. "]
+    table = spark.createDataFrame([(i, part * 40_000) for i, part in enumerate(parts)], "doc_id long, text string")
+    assert table.filter(pii.F.size(pii.F.regexp_extract_all("text", pii.F.lit(pii._GENERATORS[kind]), pii.F.lit(0))) < 0).count() == 0
