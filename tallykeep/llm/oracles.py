@@ -1,8 +1,7 @@
 """DuckDB SQL for the queries that SQL can express over whole tables.
 
 Written from the definitions, over words and windows as rows; nothing is hashed, sampled
-or searched. The other queries are tested against plain Python: op4 (boosted trees), op5
-(parsed records), op6 (a trained tree), op8 (a tokenizer) and op9 (a learned tree).
+or searched. The other queries are tested against plain Python: op4 (boosted trees), op6 (a trained tree), op8 (a tokenizer) and op9 (a learned tree).
 """
 
 from __future__ import annotations
@@ -104,6 +103,36 @@ def _op3() -> str:
     FROM d LEFT JOIN kept k ON k.doc_id = d.doc_id"""
 
 
+def _op5() -> str:
+    """The crawl of the pages as rows; a 304 is answered by an as-of join of captures."""
+    each, again = 60, 60_030
+    rest = "regexp_replace(regexp_replace(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.\\-]*://', ''), '#.*$', '', 's')"
+    host = "regexp_replace(regexp_replace(lower(regexp_extract(rest, '^[^/?]*')), '^www\\.', ''), ':(80|443)$', '')"
+    shown = "strftime(make_timestamp({at} * 1000000), '%Y-%m-%dT%H:%M:%SZ')"
+    return f"""WITH rests AS (SELECT page_id, {rest} AS rest, coalesce(html, '') AS html FROM pages WHERE page_id IS NOT NULL),
+    split AS (
+      SELECT page_id, html, {host} AS host, regexp_replace(regexp_extract(rest, '^[^/?]*([^?]*)', 1), '/+$', '') AS path,
+        list_sort(list_filter(string_split(regexp_extract(rest, '\\?(.*)$', 1, 's'), '&'),
+          lambda one: one <> '' AND NOT regexp_matches(one, '^(utm_[^=&]*|ref|fbclid|gclid)(=[^&]*)?$'))) AS kept
+      FROM rests),
+    captures AS (
+      SELECT page_id, page_id * {each} AS seconds, '"' || md5(html) || '"' AS tag, octet_length(encode(html)) AS n,
+        host || path || CASE WHEN len(kept) > 0 THEN '?' || array_to_string(kept, '&') ELSE '' END AS url_key
+      FROM split),
+    revisits AS (SELECT page_id, seconds + {again} AS seconds, tag, url_key FROM captures),
+    met AS (
+      SELECT r.page_id, r.url_key, r.seconds, r.tag, s.page_id AS source, s.seconds AS source_at, s.tag AS source_tag, s.n
+      FROM revisits r ASOF LEFT JOIN (SELECT * FROM captures WHERE url_key <> '') s ON r.url_key = s.url_key AND r.seconds > s.seconds),
+    judged AS (
+      SELECT *, CASE WHEN source IS NULL THEN 'unresolved' WHEN tag = source_tag THEN 'resolved' ELSE 'mismatch' END AS outcome
+      FROM met)
+    SELECT page_id, url_key, seconds AS "at", outcome, CASE WHEN outcome = 'resolved' THEN source END AS source_page_id,
+      CASE WHEN outcome = 'resolved' THEN source_at END AS source_at,
+      CASE WHEN outcome = 'resolved' THEN 'cache-control: max-age=60' || chr(10) || 'content-length: ' || n || chr(10)
+        || 'content-type: text/html' || chr(10) || 'date: ' || {shown.format(at='seconds')} || chr(10) || 'etag: ' || tag END AS header
+    FROM judged"""
+
+
 def _op7() -> str:
     width, percent = decontaminate.SHINGLE_WORDS, decontaminate.CONTAINED_PERCENT
     return f"""WITH items AS (
@@ -227,6 +256,7 @@ def oracle_sql() -> dict[str, str]:
         "op1_ngram_jaccard_join": _op1(),
         "op2_quality_rules": _op2(),
         "op3_substring_dedup": _op3(),
+        "op5_warc_revisits": _op5(),
         "op7_decontamination": _op7(),
         "op10_chat_formatting": _op10(),
         "op11_importance_resampling": _op11(),

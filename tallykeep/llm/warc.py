@@ -22,6 +22,9 @@ extra columns are ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -43,11 +46,43 @@ NOT_UPDATED = (
 _TRACKING = r"(?:utm_[^=&]*|ref|fbclid|gclid)(?:=[^&]*)?"
 
 
+def _content_end(value: Column) -> Column:
+    """Bytes behind the start of a version line up to the end of the record's block, by its
+    Content-Length; null without one, or where the head does not end in ``value``."""
+    gap = CRLF + CRLF
+    head = F.substring_index(value, gap, 1)
+    stated = F.regexp_extract(head, r"(?i)\nContent-Length:[ \t]*([0-9]{1,18})[ \t]*(?:\r|$)", 1)
+    return F.when(value.contains(gap) & (stated != ""), F.octet_length(head) + len(gap) + F.try_to_number(stated, F.lit("9" * 18)).cast("long"))
+
+
+def _belonging(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(piece, start) of pieces inside the record that starts with another piece.
+
+    Rows (file, piece, bytes, starts, content_end) come in file order; one record is remembered.
+    """
+    file, at, end, start = None, 0, 0, None
+    for batch in batches:
+        inside: tuple[list, list] = ([], [])
+        for name, piece, size, starts, content_end in zip(*(column.to_pylist() for column in batch.columns)):
+            if name != file:
+                file, at, end, start = name, 0, 0, None
+            if starts and at >= end:
+                start, end = piece, at + len(VERSION_START) + (content_end or 0)
+            elif start is not None:
+                inside[0].append(piece)
+                inside[1].append(start)
+            at += size + len(VERSION_START)
+        yield pa.RecordBatch.from_arrays([pa.array(one, pa.int64()) for one in inside], names=["piece", "start"])
+
+
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """(raw): the records of WARC files, read and split by Spark's text source.
+    """(raw): the records of WARC files, plain or compressed, read and split by Spark's text source.
 
-    A record starts at a version line that a WARC field follows. Pieces that start
-    elsewhere belong to the record before them; only records with such pieces are shuffled.
+    A record starts at a version line that a WARC field follows and that lies behind the block of
+    the record before it, whose bytes Content-Length counts; so a payload may quote whole records.
+    What follows the block is cut off. A record without Content-Length reaches to the next start.
+    Pieces that start no record belong to the one before them; sizes of pieces are dealt by
+    file, texts only where a record has several pieces.
     """
     starts = F.col("value").rlike(r"(?i)^[01]\r\n(WARC-|Content-(Length|Type):)")
     pieces = spark.read.option("lineSep", VERSION_START).text(path).select(
@@ -57,17 +92,19 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
         starts.alias("starts"),
         "value",
     )
-    so_far = Window.partitionBy("file").orderBy("block", "piece").rowsBetween(Window.unboundedPreceding, 0)
-    start = F.last(F.when(F.col("starts"), F.col("piece")), ignorenulls=True).over(so_far)
-    rest = pieces.drop("value").withColumn("start", start).filter(~F.col("starts") & F.col("start").isNotNull())
-    rest = durable(rest.select("piece", "start"))
-    cut = rest.select(F.col("start").alias("piece")).distinct()
-    first = pieces.filter("starts")
+    sizes = pieces.select("file", "block", "piece", F.octet_length("value").alias("bytes"), "starts", _content_end(F.col("value")).alias("content_end"))
+    in_order = sizes.repartition("file").sortWithinPartitions("file", "block", "piece").drop("block")
+    inside = durable(in_order.mapInArrow(_belonging, "piece long, start long"))
+    cut = inside.select(F.col("start").alias("piece")).distinct()
+    first = pieces.filter("starts").join(inside, "piece", "left_anti")
     whole = first.join(cut, "piece", "left_anti").select("value")
-    parts = first.join(cut, "piece", "left_semi").withColumn("start", F.col("piece")).unionByName(pieces.join(rest, "piece"))
+    parts = first.join(cut, "piece", "left_semi").withColumn("start", F.col("piece")).unionByName(pieces.join(inside, "piece"))
     ordered = F.array_sort(F.collect_list(F.struct("block", "piece", "value")))
     joined = parts.groupBy("start").agg(F.array_join(F.transform(ordered, lambda one: one["value"]), VERSION_START).alias("value"))
-    return whole.unionByName(joined.select("value")).select(F.concat(F.lit(VERSION_START), "value").alias("raw"))
+    end = _content_end(F.col("value"))
+    block_only = F.when(end.isNotNull(), F.substring(F.col("value").cast("binary"), F.lit(1), end.cast("int")).cast("string"))
+    records = whole.unionByName(joined.select("value"))
+    return records.select(F.concat(F.lit(VERSION_START), F.coalesce(block_only, "value")).alias("raw"))
 
 
 def canonical_url(url: Column) -> Column:
