@@ -58,3 +58,9 @@ def test_records_without_a_usable_length_reach_to_the_next(spark, tmp_path):
 def test_a_length_beyond_the_file_keeps_what_there_is(spark, tmp_path):
     (tmp_path / "a.warc").write_bytes(record("one", message("cut sho"), 10**6))
     assert payloads(spark, tmp_path) == {"one": "cut sho"}
+
+
+def test_files_without_a_record_give_none(spark, tmp_path):
+    (tmp_path / "a.warc").write_bytes(b"")
+    (tmp_path / "b.warc").write_bytes(b"no record here, though WARC/1.0 is named\r\n")
+    assert payloads(spark, tmp_path) == {}
