@@ -6,9 +6,9 @@ any run of months are then bit counts of united bitmaps: no line is read again,
 counted by listing it, and no window is used. Summaries merge, so new lines are summarised
 on their own and added.
 
-A bitmap covers 32,768 neighbouring ids, so ids should be dense: of ids spread over the
-whole range of numbers, each may cost a bitmap of its own (4 KB before compression).
-Ids may be zero or negative. Undated invoices and lines without a group are in no month.
+A bitmap is a word of 64 neighbouring ids, so a row is as small for ids that are few or far
+apart as for dense ones, and a task holds numbers, not blocks of bytes. Ids may be zero or
+negative. Undated invoices and lines without a group are in no month.
 """
 
 from __future__ import annotations
@@ -24,9 +24,12 @@ from tallykeep.operators.scope import Scope
 
 INVOICE, CUSTOMER, TRACK, BILLED = "invoice", "customer", "track", "country"
 
-SCHEMA = "group_val string, kind string, bucket bigint, name string, bits binary, qty bigint, cents bigint, month int"
+SCHEMA = "group_val string, kind string, word bigint, name string, bits bigint, qty bigint, cents bigint, month int"
 
-_KEYS = ("month", "group_val", "kind", "bucket", "name")
+_KEYS = ("month", "group_val", "kind", "word", "name")
+
+# Ids of a word are those with the same upper bits.
+_WORD_BITS = 6
 
 
 def _entry(kind: str, number: Column | None = None, name: Column | None = None, sums: bool = False) -> Column:
@@ -39,11 +42,17 @@ def _entry(kind: str, number: Column | None = None, name: Column | None = None,
     )
 
 
+def _bit(number: Column) -> Column:
+    """The word with the bit of an id only."""
+    place = number.bitwiseAND(F.lit((1 << _WORD_BITS) - 1)).cast("int")
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), place)
+
+
 def summarise(scope: Scope, group: str) -> DataFrame:
-    """One row per month, group, kind and bucket of ids, or name of a country.
+    """One row per month, group, kind and word of ids, or name of a country.
 
-    The sums of the lines stand at the bitmaps of their invoices. Repeated ids fold in
-    each task before the first shuffle, so a hot customer or track is one row per task.
+    The sums of the lines stand at the words of their invoices. Repeated ids fold in
+    each task before the only shuffle, so a hot customer or track is one row per task.
     """
     invoices = scope.invoices_for_lines(country=True).filter(F.col("dt").isNotNull())
     lines = scope.model.lines_of(invoices).withColumn("group_val", F.col(group_column(group)))
@@ -53,20 +62,13 @@ def summarise(scope: Scope, group: str) -> DataFrame:
         _entry(TRACK, F.col("TrackId")),
         _entry(BILLED, name=F.col("country")),
     )
-    once = (
+    marked = (
         lines.filter(F.col("group_val").isNotNull())
         .select(month_index(F.col("dt")).cast("int").alias("month"), "group_val", F.inline(entries))
         .filter(F.col("id").isNotNull() | F.col("name").isNotNull())
-        .groupBy("month", "group_val", "kind", "id", "name")
-        .agg(F.sum("qty").alias("qty"), F.sum("cents").alias("cents"))
-    )
-    bits = F.bitmap_construct_agg(F.bitmap_bit_position("id"))
-    return (
-        once.withColumn("bucket", F.bitmap_bucket_number("id"))
-        .groupBy(*_KEYS)
-        .agg(bits.alias("bits"), F.sum("qty").alias("qty"), F.sum("cents").alias("cents"))
-        .withColumn("bits", F.when(F.col("kind") != BILLED, F.col("bits")))
+        .withColumns({"word": F.shiftright("id", _WORD_BITS), "bits": _bit(F.col("id"))})
     )
+    return _united(marked, *_KEYS)
 
 
 def merged(one: DataFrame, other: DataFrame) -> DataFrame:
@@ -76,13 +78,13 @@ def merged(one: DataFrame, other: DataFrame) -> DataFrame:
 
 def _united(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.groupBy(*keys).agg(
-        F.bitmap_or_agg("bits").alias("bits"), F.sum("qty").alias("qty"), F.sum("cents").alias("cents")
-    ).withColumn("bits", F.when(F.col("kind") != BILLED, F.col("bits")))
+        F.bit_or("bits").alias("bits"), F.sum("qty").alias("qty"), F.sum("cents").alias("cents")
+    )
 
 
 def write_members(members: DataFrame, folder: str) -> None:
-    """Store a summary by month, replacing what is there."""
-    members.write.mode("overwrite").partitionBy("month").parquet(folder)
+    """Store a summary by month, replacing what is there; a large month is split, so no task holds more of it."""
+    members.hint("rebalance", "month").write.mode("overwrite").partitionBy("month").parquet(folder)
 
 
 def read_members(spark: SparkSession, folder: str) -> DataFrame:
@@ -102,26 +104,23 @@ def in_whole_months(members: DataFrame, date_range: DateRange | None) -> DataFra
 def _seen_before(parts: DataFrame) -> DataFrame:
     """(year, group_val, kind, n): how many customers or tracks were sold to, or sold, in an earlier year.
 
-    The size of an intersection is that of both sets less that of their union. The join of
-    a bucket with its earlier years has at most a row per pair of years.
+    A word lists its years once, a row each; what they held before meets the groups again by year and word.
     """
     of_year = parts.filter(F.col("kind").isin(CUSTOMER, TRACK))
-    ever = of_year.groupBy("year", "kind", "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
-    earlier = ever.select(F.col("year").alias("earlier"), "kind", "bucket", F.col("bits").alias("before"))
-    before = (
-        ever.select("year", "kind", "bucket")
-        .join(earlier, ["kind", "bucket"])
-        .filter("earlier < year")
-        .groupBy("year", "kind", "bucket")
-        .agg(F.bitmap_or_agg("before").alias("before"))
-    )
-    both = of_year.join(before, ["year", "kind", "bucket"])
-    apart = F.bitmap_count("bits") + F.bitmap_count("before")
-    return (
-        both.select("year", "group_val", "kind", "bucket", apart.alias("apart"), F.explode(F.array("bits", "before")).alias("one"))
-        .groupBy("year", "group_val", "kind", "bucket")
-        .agg((F.min("apart") - F.bitmap_count(F.bitmap_or_agg("one"))).alias("n"))
-        .select("year", "group_val", F.concat("kind", F.lit(" seen")).alias("kind"), "n")
+    ever = of_year.groupBy("year", "kind", "word").agg(F.bit_or("bits").alias("bits"))
+    listed = ever.groupBy("kind", "word").agg(F.collect_list(F.struct("year", "bits")).alias("years"))
+
+    def before(year: Column) -> Column:
+        earlier = F.filter("years", lambda other: other["year"] < year["year"])
+        held = F.aggregate(earlier, F.lit(0).cast("bigint"), lambda bits, other: bits.bitwiseOR(other["bits"]))
+        return F.struct(year["year"].alias("year"), held.alias("before"))
+
+    known = listed.select("kind", "word", F.inline(F.transform("years", before)))
+    return of_year.join(known, ["year", "kind", "word"]).select(
+        "year",
+        "group_val",
+        F.concat("kind", F.lit(" seen")).alias("kind"),
+        F.bit_count(F.col("bits").bitwiseAND(F.col("before"))).cast("bigint").alias("n"),
     )
 
 
@@ -132,8 +131,8 @@ def yearly_summary(members: DataFrame, sizes: DataFrame, group: str, date_range:
     """
     name = group_column(group)
     chosen = in_whole_months(members, date_range).withColumn("year", F.floor(F.col("month") / 12).cast("int"))
-    parts = _united(chosen, "year", "group_val", "kind", "bucket", "name")
-    n = F.when(F.col("kind") == BILLED, F.lit(1).cast("bigint")).otherwise(F.bitmap_count("bits"))
+    parts = _united(chosen, "year", "group_val", "kind", "word", "name")
+    n = F.when(F.col("kind") == BILLED, F.lit(1).cast("bigint")).otherwise(F.bit_count("bits"))
     counted = parts.select("year", "group_val", "kind", n.alias("n"), "qty", "cents")
     counted = counted.unionByName(_seen_before(parts), allowMissingColumns=True)
 

@@ -12,8 +12,14 @@ MEGABYTE = 1024 * 1024
 
 # Stored bytes behind one shuffle partition. Only the columns in use are shuffled, a
 # fraction of that; AQE merges what still turns out small.
-BYTES_PER_SHUFFLE_PARTITION = 512 * MEGABYTE
-
+BYTES_PER_SHUFFLE_PARTITION = 16 * MEGABYTE
+# Stored bytes one task reads, and shuffled ones AQE merges for it. Columns with few values are
+# stored and shuffled packed: as rows of an aggregation or sort they take twenty times that or more.
+BYTES_PER_SCAN = 32 * MEGABYTE
+BYTES_PER_MERGED_PARTITION = 16 * MEGABYTE
+
+_SCAN_BYTES = "spark.sql.files.maxPartitionBytes"
+_MERGED_BYTES = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 _INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 _HASH_JOIN_BYTES = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
 # Lets AQE split a hot join key even where an aggregation on the same key follows the
@@ -42,6 +48,7 @@ def tune(
 ) -> SparkSession:
     """Apply the runtime settings, leaving alone whatever the user has set.
 
+    What one task reads or merges is bounded, so its memory does not grow with the data.
     With ``input_bytes``, the number of shuffle partitions grows with the data, without
     a limit. Settings act when a query runs, so they are only ever raised: reading a
     small model leaves a large one, read before, with the partitions it needs.
@@ -50,6 +57,8 @@ def tune(
     to be no larger; by default that is left to Spark.
     """
     _set(spark, _SPLIT_SKEWED, "true")
+    _set(spark, _SCAN_BYTES, str(BYTES_PER_SCAN))
+    _set(spark, _MERGED_BYTES, str(BYTES_PER_MERGED_PARTITION))
     if hash_join_bytes is not None:
         _set(spark, _HASH_JOIN_BYTES, str(hash_join_bytes))
     if input_bytes is not None:

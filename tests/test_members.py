@@ -70,3 +70,35 @@ def test_without_lines(spark):
     nothing = all_invoices(store(spark, [], []))
     assert members.summarise(nothing, "Genre").collect() == []
     assert answer(nothing, "Genre", None).collect() == []
+
+
+def test_rows_are_numbers_and_fold_without_sorting(spark, model):
+    """Blocks of 4 KB per row, sorted in every task, once grew with what a task was dealt."""
+    known = members.summarise(all_invoices(model), "Artist")
+    assert {kind for _, kind in known.dtypes} <= {"int", "bigint", "string"}
+    sizes = spark.createDataFrame([("Ann", 2)], "artist string, num_tracks long")
+    for frame in (known, members.merged(known, known), members.yearly_summary(known, sizes, "Artist", WHOLE[1])):
+        assert "SortAggregate" not in frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_far_ids_cost_a_row_each(spark):
+    numbers = [0, 63, 64, -1, -64, -65, 2**62, -(2**62)]
+    invoices = [(i, number, "2020-02-03", "Peru") for i, number in enumerate(range(len(numbers)), 1)]
+    sold = store(spark, invoices, [(i, 1, 1) for i, *_ in invoices])
+    far = {i: number for i, number in enumerate(numbers, 1)}
+    wide = F.element_at(F.create_map(*[F.lit(v).cast("bigint") for pair in far.items() for v in pair]), F.col("InvoiceId").cast("bigint"))
+    from dataclasses import replace
+
+    scope = all_invoices(replace(sold, headers=sold.headers.withColumn("CustomerId", wide), billed=sold.billed.withColumn("CustomerId", wide)))
+    known = members.summarise(scope, "Genre")
+    assert known.filter("kind = 'customer'").agg(F.sum(F.bit_count("bits"))).first()[0] == len(numbers)
+    assert known.filter("kind = 'customer'").count() == 6
+    assert rows(answer(scope, "Genre", WHOLE[0])) == rows(yearly.yearly_summary(scope, "Genre", WHOLE[0]))
+
+
+def test_a_month_is_not_written_by_every_task(spark, model, tmp_path):
+    import os
+
+    known = members.summarise(all_invoices(model), "Genre").repartition(8, F.rand(1))
+    members.write_members(known, str(tmp_path))
+    assert all(len([f for f in os.listdir(tmp_path / m) if f.endswith(".parquet")]) == 1 for m in os.listdir(tmp_path) if m.startswith("month="))

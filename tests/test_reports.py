@@ -218,6 +218,14 @@ def test_a_small_model_leaves_the_large_one_its_partitions(spark):
     assert fresh.conf.get(session._INITIAL_PARTITIONS) == large
 
 
+def test_tune_bounds_what_a_task_reads_and_merges(spark):
+    fresh = spark.newSession()
+    session.tune(fresh, 6 * 1024**3)
+    bounds = [fresh.conf.get(f"spark.sql.{key}") for key in ("files.maxPartitionBytes", "adaptive.advisoryPartitionSizeInBytes")]
+    assert bounds == [str(session.BYTES_PER_SCAN), str(session.BYTES_PER_MERGED_PARTITION)]
+    assert int(fresh.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum")) >= 6 * 1024 // 16
+
+
 def test_tune_keeps_user_settings(spark):
     chosen = {
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "false",
