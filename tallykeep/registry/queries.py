@@ -16,7 +16,7 @@ from tallykeep.operators.filters import SalesFilter
 from tallykeep.operators.groups import ARTIST, COUNTRY, GENRE
 from tallykeep.operators.scope import Scope, all_invoices, working_set
 from tallykeep.plans import metadata, pipeline, tagged
-from tallykeep.session import MEGABYTE, shared_folder, stamp
+from tallykeep.session import MEGABYTE, shared_folder, stamp, stored_bytes
 from tallykeep.sources import dated
 from tallykeep.sources.sinks import read_ordered, settled, write_ordered
 from tallykeep.sources.star import SCHEMAS, read_star
@@ -43,7 +43,7 @@ NATION_CODES = [
     ("NATION_19", "name", "IN", "IND", "India"),
 ]
 
-# Ranges of lines in the dated layout of the given tables.
+# Ranges of lines in the dated layout of the given tables, at least.
 LINE_FILES = 8
 
 _QUERIES: dict[str, Query] = {}
@@ -517,7 +517,8 @@ def _stored_once(spark: SparkSession, folder: str, kind: str, write: Callable[[s
 def _dated(spark: SparkSession, folder: str) -> SalesModel:
     """The given tables in the dated layout; written anew when their files have changed."""
     def write(path: str) -> None:
-        dated.write_dated(_model(spark, folder), path, line_files=LINE_FILES, group_bytes=MEGABYTE)
+        ranges = dated.line_ranges(stored_bytes(spark, f"{folder.rstrip('/')}/lineitem.parquet"), LINE_FILES)
+        dated.write_dated(_model(spark, folder), path, line_files=ranges, group_bytes=MEGABYTE)
 
     return dated.read_dated(spark, _stored_once(spark, folder, "dated", write), paired_dimensions=True)
 

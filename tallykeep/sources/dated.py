@@ -25,8 +25,9 @@ from tallykeep.functions.dates import DateRange, month_index, whole_months
 from tallykeep.model import SalesModel, rolled_up
 from tallykeep.session import MEGABYTE, stored_bytes
 
-# Stored bytes of a file of lines, about, and of a row group, the unit of skipping.
-FILE_BYTES = 256 * MEGABYTE
+# Stored bytes of a file of lines, about, and of a row group, the unit of skipping. A task sorts
+# the lines of a file, as rows ten times their stored size and more.
+FILE_BYTES = 32 * MEGABYTE
 GROUP_BYTES = 16 * MEGABYTE
 # Distinct genres or artists of a row group its bloom filter is made for.
 BLOOM_VALUES = 10_000
@@ -44,13 +45,18 @@ SCHEMAS = {
 DIMENSIONS = ("tracks", "genres", "artists", "countries")
 
 
+def line_ranges(stored: int, least: int = 1) -> int:
+    """Ranges of lines for so many stored bytes of them, so that none grows with the data."""
+    return max(least, math.ceil(stored / FILE_BYTES))
+
+
 def write_dated(
     model: SalesModel, folder: str, line_files: int | None = None, group_bytes: int = GROUP_BYTES
 ) -> None:
     """Store a model below ``folder``, replacing what is there.
 
     ``line_files`` is the number of ranges of lines, by default as many as their stored size asks for;
-    it is the only figure here that should grow with the data.
+    it is the only figure here that should grow with the data (see :func:`line_ranges`).
     """
     spark = model.spark
     folder = folder.rstrip("/")
@@ -61,7 +67,7 @@ def write_dated(
     if line_files is None:
         lines.write.mode("overwrite").parquet(f"{folder}/unsorted")
         lines = _read(spark, folder, "unsorted", SCHEMAS["lines"])
-        line_files = max(1, math.ceil(stored_bytes(spark, f"{folder}/unsorted") / FILE_BYTES))
+        line_files = line_ranges(stored_bytes(spark, f"{folder}/unsorted"))
     order = ["month", "genre", "artist"]
     spread = F.xxhash64("InvoiceId", "TrackId")
     ranged = lines.repartitionByRange(line_files, *order, spread).sortWithinPartitions(*order)
@@ -73,9 +79,8 @@ def write_dated(
 
     totals = rolled_up(_read(spark, folder, "lines"))
     summed = _in(billed.join(totals, "InvoiceId", "left"), "invoices")
-    summed.repartition("month", F.pmod(F.xxhash64("InvoiceId"), F.lit(line_files))).write.mode("overwrite").partitionBy(
-        "month"
-    ).parquet(f"{folder}/invoices")
+    # a month is in few tasks, a large one is split by its measured size
+    summed.hint("rebalance", "month").write.mode("overwrite").partitionBy("month").parquet(f"{folder}/invoices")
     first_usable = F.min(F.when(F.col("usable"), F.col("dt"))).alias("first_usable")
     known = _read(spark, folder, "invoices").filter(F.col("CustomerId").isNotNull())
     known.groupBy("CustomerId").agg(F.min("dt").alias("first_any"), first_usable).write.mode("overwrite").parquet(

@@ -96,3 +96,26 @@ def test_undated_and_empty_stores(spark, tmp_path):
         for scope in (working_set, all_invoices):
             for report in (timeseries.monthly_summary, core.purchase_kpis, core.customer_kpis, core.core_kpis):
                 assert dicts(report(scope(again), march)) == dicts(report(scope(model), march))
+
+
+def test_ranges_of_lines_follow_their_stored_size(spark, tmp_path, monkeypatch):
+    """What a task sorts must not grow with the tables that a query is given."""
+    from tallykeep.registry import queries
+
+    asked = {}
+    monkeypatch.setattr(queries.dated, "write_dated", lambda model, path, **given: asked.update(given))
+    monkeypatch.setattr(queries.dated, "read_dated", lambda *_, **__: None)
+    monkeypatch.setattr(queries, "_STORES", {})
+    monkeypatch.setattr(dated, "FILE_BYTES", 10_000)
+    queries._dated(spark, FOLDER)
+    assert asked["line_files"] > 50
+
+
+def test_a_month_of_invoices_is_one_file_until_it_is_large(spark, tmp_path):
+    import os
+
+    model = read_star(spark, FOLDER)
+    dated.write_dated(model, str(tmp_path), line_files=64)
+    months = [m for m in os.listdir(tmp_path / "invoices") if m.startswith("month=")]
+    assert len(months) > 12
+    assert all(len([f for f in os.listdir(tmp_path / "invoices" / m) if f.endswith(".parquet")]) == 1 for m in months)
