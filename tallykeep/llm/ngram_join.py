@@ -31,6 +31,7 @@ links by any of them; extra columns are ignored; an empty table gives an empty r
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
@@ -40,10 +41,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallykeep.llm.common import bounded_batches, durable, free_name, partitions, with_digest
+from tallykeep.llm.common import bounded_batches, durable, free_name, partitions, shared_root, with_digest
 from tallykeep.llm.graph import components
 from tallykeep.llm.packing import PACKED, packed, unpacked
 from tallykeep.llm.words import digest, mix, shingle_sets
+from tallykeep.session import remove_folder
 
 # Shingles of a set per group of its point, about; more groups bound more tightly.
 SHINGLES_PER_GROUP = 8
@@ -536,30 +538,46 @@ def _candidate_links(docs: DataFrame, nodes: DataFrame, slots: DataFrame, link:
     return rows.mapInArrow(_candidates(link), "a long, b long")
 
 
-def _joined_cells(docs: DataFrame, cells: DataFrame, link: Linking) -> DataFrame:
-    """(a, b): verified links between the sets of each cell (cluster, first, second, side, low, component, doc_id)."""
-    parts = partitions(docs.sparkSession)
+def _joined_cells(texts: DataFrame, cells: DataFrame, link: Linking) -> DataFrame:
+    """(a, b): verified links between the sets of each cell (cluster, first, second, side, low, component, doc_id).
+
+    ``cells`` either bear their ``text`` or find it in ``texts`` (low, doc_id, text).
+    """
     key = ["cluster", "first", "second"]
-    wanted = docs.join(cells.select(*key, "side", "low", "component", "doc_id"), "doc_id")
-    ordered = wanted.repartition(parts, *key).sortWithinPartitions(*key)
+    borne = cells if "text" in cells.columns else texts.join(cells, ["low", "doc_id"])
+    wanted = borne.select(*key, "side", "low", "component", "text")
+    ordered = wanted.repartition(partitions(cells.sparkSession), *key).sortWithinPartitions(*key)
     return ordered.mapInArrow(_verified(link), "a long, b long").distinct()
 
 
 def _links(docs: DataFrame, nodes: DataFrame, candidates: DataFrame, link: Linking) -> DataFrame:
-    """(a, b): verified links between sets that connect all linked ones."""
+    """(a, b): verified links between sets that connect all linked ones.
+
+    Gathered sets find their texts once; where later rounds need them again, they read those of
+    large gatherings from the shared folder, and no other text moves.
+    """
+    spark = docs.sparkSession
     gatherings = components(candidates).select(F.col("node").alias("low"), F.col("component").alias("cluster"))
     shares = F.ceil(F.sum("n") / CELL_SHINGLES).cast("long")
     held = nodes.select("low", "n", "doc_id").join(gatherings, "low")
     sizes = held.groupBy("cluster").agg(F.count("*").alias("members"), shares.alias("shares"))
     placed = durable(held.join(durable(sizes), "cluster").withColumn("component", F.col("low")))
-    links = durable(_joined_cells(docs, _with_pivots(placed, 0), link))
     large = placed.filter(F.col("shares") > 1)
-    for salt in range(1, 1 if large.isEmpty() else ROUNDS + 1):
+    texts = docs.join(placed, "doc_id")
+    if large.isEmpty():
+        return durable(_joined_cells(texts, _with_pivots(texts, 0), link))
+    folder = f"{shared_root(spark).rstrip('/')}/tallykeep-gathered-{uuid.uuid4().hex}"
+    texts.write.parquet(folder)
+    texts = spark.read.parquet(folder)
+    links = durable(_joined_cells(texts, _with_pivots(texts, 0), link))
+    again = texts.filter(F.col("shares") > 1).select("low", "doc_id", "text")
+    for salt in range(1, ROUNDS + 1):
         apart = durable(_still_apart(large, links))
         if apart.isEmpty():
             break
         cells = _with_pivots(apart, salt) if salt < ROUNDS else _with_all(apart)
-        links = durable(links.unionByName(_joined_cells(docs, cells, link)))
+        links = durable(links.unionByName(_joined_cells(again, cells, link)))
+    remove_folder(spark, folder)
     return links
 
 

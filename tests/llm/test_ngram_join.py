@@ -75,6 +75,31 @@ def test_texts_and_links_grow_with_a_group_not_its_square(spark, monkeypatch):
         assert max(seen) <= 2 * copies
 
 
+def test_texts_of_the_corpus_are_read_for_one_round_only(spark, monkeypatch, tmp_path):
+    """Later rounds read the texts of large gatherings, which are few, and leave no file behind."""
+    import os
+
+    monkeypatch.setattr(ngram_join, "CELL_SHINGLES", 600)
+    monkeypatch.setattr(ngram_join, "PIVOTS", 0)
+    joined, asked = ngram_join._joined_cells, []
+
+    def looking(texts, cells, link):
+        if "text" not in cells.columns:
+            asked.append(texts.count())
+        else:
+            asked.append(0)
+        return joined(texts, cells, link)
+
+    monkeypatch.setattr(ngram_join, "_joined_cells", looking)
+    root = spark.conf.get("spark.checkpoint.dir").removeprefix("file:")
+    docs = corpus(2, 2, 30, (120, 160))
+    few = len(docs)
+    docs += [(10_000 + i, " ".join(f"o{i}_{k}" for k in range(30))) for i in range(300)]
+    assert found(spark, docs) == plain.components(docs, 4, 85)
+    assert len(asked) > 1 and asked[0] == 0 and max(asked) <= few
+    assert not [name for name in os.listdir(root) if "gathered" in name]
+
+
 def test_words_that_hash_alike_are_not_equal(spark):
     """Words of opposite repeating patterns, which collide under powers modulo 2 ** 64."""
     one = "a"
